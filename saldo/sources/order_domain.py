@@ -1,0 +1,218 @@
+"""Raw finance tables derived from an order-processing schema.
+
+Customers stay customers, an order is a subscription, a line item is an invoice
+and a ledger line; orders also stand in for campaigns and cash reports. The
+defects that cleaning must repair (spellings, blanks, NULLs, sign flips, copies)
+follow from the row's own key, so every row of the source takes part and each
+run sees the same data.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from saldo.functions.values import round2
+
+
+def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def _pick(key: str, values: list[str | float | None]) -> Column:
+    """The list entry at the key's remainder."""
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (F.col(key) % len(values) + 1).cast("int"))
+
+
+def _null_at(key: str, every: int, value: Column) -> Column:
+    return F.when(F.col(key) % every != 0, value)
+
+
+def _copies(df: DataFrame, key: str, every: int) -> DataFrame:
+    """Repeat the rows of some keys once, numbered by ``copy``."""
+    numbers = F.when(F.col(key) % every == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return df.withColumn("copy", F.explode(numbers))
+
+
+def _padded(key: str, every: int) -> Column:
+    text = F.col(key).cast("string")
+    return F.when(F.col(key) % every == 0, F.concat(text, F.lit(" "))).otherwise(text)
+
+
+def _date(name: str) -> Column:
+    return F.col(name).cast("date")
+
+
+def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
+    first_order = (
+        _table(spark, folder, "orders")
+        .groupBy(F.col("o_custkey").alias("c_custkey"))
+        .agg(F.min(_date("o_orderdate")).alias("first_order"))
+    )
+    nation = _table(spark, folder, "nation")
+    region = _table(spark, folder, "region")
+    customer = _copies(_table(spark, folder, "customer"), "c_custkey", 50)
+    joined = (
+        customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+        .join(first_order, "c_custkey", "left")
+    )
+    region_spelling = (
+        F.when(F.col("r_name") == "AMERICA", _pick("c_custkey", ["North America", "north america", "NA"]))
+        .when(F.col("r_name") == "EUROPE", _pick("c_custkey", ["EMEA", "emea "]))
+        .when(F.col("r_name") == "ASIA", _pick("c_custkey", ["APAC", "apac"]))
+        .otherwise(F.col("r_name"))
+    )
+    return joined.select(
+        _padded("c_custkey", 13).alias("customer_id"),
+        F.when(F.col("copy") == 1, F.upper("c_name")).otherwise(F.col("c_name")).alias("customer_name"),
+        _null_at("c_custkey", 10, F.col("c_mktsegment")).alias("industry"),
+        region_spelling.alias("region"),
+        _null_at("c_custkey", 20, F.col("n_name")).alias("country"),
+        _null_at("c_custkey", 33, F.col("first_order")).alias("signup_date"),
+        _pick(
+            "c_custkey", ["Organic", "Paid Search", "Partner", "Outbound", "Referral", "paid search", "REFERRAL"]
+        ).alias("acquisition_channel"),
+        _pick("c_custkey", ["Active", "Churned", "active", "ACTIVE ", " paused ", None]).alias("account_status"),
+        _null_at("c_custkey", 40, _pick("c_custkey", ["Basic", "Growth", "Pro", "Enterprise", "enterprise "])).alias(
+            "plan_name"
+        ),
+        _pick("c_custkey", ["Monthly", "Annual", "monthly", "annual"]).alias("billing_frequency"),
+    )
+
+
+def raw_subscriptions(spark: SparkSession, folder: str) -> DataFrame:
+    key = F.col("o_orderkey")
+    start = _date("o_orderdate")
+    end = F.when(key % 33 == 0, F.date_sub(start, 30)).when(
+        F.col("o_orderstatus") == "F", F.date_add(start, (key % 420 + 120).cast("int"))
+    )
+    price = round2(F.col("o_totalprice") / 1000)
+    signed = F.when(key % 31 == 0, -price).otherwise(price)
+    mrr = F.when(F.col("copy") == 1, signed * 1.1).otherwise(signed)
+    status = (
+        F.when(F.col("o_orderstatus") == "F", _pick("o_orderkey", ["cancelled", "CANCELLED"]))
+        .when(F.col("o_orderstatus") == "O", _pick("o_orderkey", ["Active", "active"]))
+        .otherwise("paused ")
+    )
+    return _copies(_table(spark, folder, "orders"), "o_orderkey", 50).select(
+        _padded("o_orderkey", 7).alias("subscription_id"),
+        _padded("o_custkey", 13).alias("customer_id"),
+        _null_at("o_orderkey", 97, start).alias("start_date"),
+        end.alias("end_date"),
+        _null_at("o_orderkey", 40, _pick("o_orderkey", ["Basic", "Growth", "Pro", "Enterprise", "enterprise "])).alias(
+            "plan_name"
+        ),
+        _null_at("o_orderkey", 71, mrr).alias("mrr"),
+        (mrr * 12).alias("arr"),
+        _null_at("o_orderkey", 29, status).alias("subscription_status"),
+        _pick("o_orderkey", [0.0, 5.0, 10.0, 15.0, 20.0, None]).alias("discount_pct"),
+        _pick("o_orderkey", ["USD", "usd", "Usd", "US$", "CAD", "cad", None]).alias("currency"),
+    )
+
+
+def raw_invoices(spark: SparkSession, folder: str) -> DataFrame:
+    lineitem = _table(spark, folder, "lineitem")
+    orders = _table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    amount = round2(F.col("l_extendedprice") * (1 - F.col("l_discount")))
+    tax = round2(amount * F.col("l_tax"))
+    status = (
+        F.when(F.col("l_returnflag") == "R", "VOID").when(F.col("l_returnflag") == "A", "paid").otherwise("Open ")
+    )
+    return lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("invoice_id"),
+        _padded("o_custkey", 13).alias("customer_id"),
+        F.col("l_orderkey").cast("string").alias("subscription_id"),
+        _null_at("l_partkey", 101, _date("l_shipdate")).alias("invoice_date"),
+        _null_at("l_partkey", 47, F.date_add(_date("o_orderdate"), 30)).alias("due_date"),
+        amount.alias("amount"),
+        _null_at("l_suppkey", 43, tax).alias("tax"),
+        round2(amount + tax + F.when(F.col("l_partkey") % 20 == 0, 12.34).otherwise(0.0)).alias("total_amount"),
+        _null_at("l_partkey", 37, status).alias("invoice_status"),
+    )
+
+
+# Ledger account code and two spellings of its name, by part type.
+_ACCOUNTS = {
+    "ECONOMY": ("5000", "Cost of Service", "cost of service "),
+    "LARGE": ("6100", "Sales and Marketing", "S&M"),
+    "MEDIUM": ("6200", "Research and Development", "R&D"),
+    "PROMO": ("6300", "General and Administrative", "g&a"),
+    "SMALL": ("1010", "Cash", "cash"),
+    "STANDARD": ("9999", "Misc Expense", "Suspense"),
+}
+
+
+def _by_part_type(entry: int) -> Column:
+    pairs = [F.lit(v) for part_type, account in _ACCOUNTS.items() for v in (part_type, account[entry])]
+    return F.create_map(*pairs)[F.col("p_type")]
+
+
+def raw_gl(spark: SparkSession, folder: str) -> DataFrame:
+    part = _table(spark, folder, "part").select("p_partkey", "p_type", "p_brand")
+    supplier = _table(spark, folder, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    joined = (
+        _table(spark, folder, "lineitem")
+        .join(part, F.col("l_partkey") == F.col("p_partkey"))
+        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    )
+    name = F.when(F.col("l_linenumber") % 2 == 0, _by_part_type(1)).otherwise(_by_part_type(2))
+    amount = F.when(F.col("l_linestatus") == "F", -F.col("l_extendedprice")).otherwise(F.col("l_extendedprice"))
+    cost_center = F.when(F.col("l_suppkey") % 10 == 0, "").otherwise(
+        F.concat(F.lit("CC"), (F.col("l_suppkey") % 10).cast("string"))
+    )
+    return joined.select(
+        F.concat(F.lit("GL"), F.concat_ws("-", "l_orderkey", "l_linenumber")).alias("gl_txn_id"),
+        _date("l_shipdate").alias("txn_date"),
+        _null_at("l_partkey", 33, _by_part_type(0)).alias("account_code"),
+        _null_at("l_partkey", 59, name).alias("account_name"),
+        _null_at("l_partkey", 19, F.col("p_brand")).alias("department"),
+        cost_center.alias("cost_center"),
+        _null_at("l_suppkey", 23, F.col("s_name")).alias("vendor_customer"),
+        _null_at("l_partkey", 89, amount).alias("amount"),
+        _pick("l_orderkey", ["DR", "CR", "dr", "cr ", None]).alias("dr_cr"),
+        _pick("s_nationkey", ["SaaS HoldCo", "SaaS Canada", "SaaS US", "saas us"]).alias("entity"),
+        _null_at("l_orderkey", 11, F.concat(F.lit("order "), F.col("l_orderkey").cast("string"))).alias("memo"),
+    )
+
+
+def raw_sales_marketing(spark: SparkSession, folder: str) -> DataFrame:
+    key = F.col("o_orderkey")
+    channels = ["Paid Search", "LinkedIn", "Partner", "Outbound", "Organic", "paid search", "PARTNER"]
+    return _copies(_table(spark, folder, "orders"), "o_orderkey", 60).select(
+        _null_at("o_orderkey", 51, _date("o_orderdate")).alias("period"),
+        _pick("o_orderkey", channels).alias("channel"),
+        _null_at("o_orderkey", 20, F.concat(F.lit("Campaign "), F.col("o_orderpriority"))).alias("campaign_name"),
+        F.when(key % 25 == 0, -F.col("o_totalprice")).otherwise(F.col("o_totalprice")).alias("spend"),
+        _null_at("o_orderkey", 33, (key % 500).cast("double")).alias("leads"),
+        (key % 40 - 1).cast("double").alias("won_customers"),
+    )
+
+
+def raw_cash(spark: SparkSession, folder: str) -> DataFrame:
+    joined = (
+        _table(spark, folder, "orders")
+        .join(_table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(_table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    )
+    entities = ["SaaS HoldCo", "saas us", "SaaS Canada", "saas holdco", "SaaS HoldCo "]
+    return joined.select(
+        _null_at("o_orderkey", 53, _date("o_orderdate")).alias("period"),
+        _pick("n_regionkey", entities).alias("entity"),
+        F.col("c_acctbal").alias("beginning_cash"),
+        _null_at("o_orderkey", 25, F.col("o_totalprice")).alias("ending_cash"),
+    )
+
+
+RAW_TABLES = {
+    "customers": raw_customers,
+    "subscriptions": raw_subscriptions,
+    "invoices": raw_invoices,
+    "gl": raw_gl,
+    "sales_marketing": raw_sales_marketing,
+    "cash": raw_cash,
+}
+
+
+def raw_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    return {name: read(spark, folder) for name, read in RAW_TABLES.items()}
