@@ -56,8 +56,10 @@ Plan = Callable[[Finance], DataFrame]
 
 
 def _column(table: str, key: str, column: str, standardize: Callable) -> Plan:
-    return lambda f: f.raw[table].select(
-        key, F.col(column).alias("raw_value"), standardize(F.col(column)).alias("clean_value")
+    return lambda f: (
+        f.raw[table]
+        .select(key, F.col(column).alias("raw_value"), X.strip(F.col(column)).alias("stripped"))
+        .select(key, "raw_value", standardize(F.col("stripped")).alias("clean_value"))
     )
 
 
@@ -84,7 +86,7 @@ def _arr_growth(f: Finance) -> DataFrame:
 
 PLANS: dict[str, Plan] = {
     "clean_text": _clean_text,
-    "title_case": lambda f: f.table("part").select("p_partkey", X.title_case(F.col("p_name")).alias("titled")),
+    "title_case": lambda f: f.table("part").select("p_partkey", X.title_case(X.strip(F.col("p_name"))).alias("titled")),
     "std_status": _column("customers", "customer_id", "account_status", X.std_status),
     "std_region": _column("customers", "customer_id", "region", X.std_region),
     "std_channel": _column("customers", "customer_id", "acquisition_channel", X.std_channel),
@@ -92,8 +94,8 @@ PLANS: dict[str, Plan] = {
     "std_plan": _column("subscriptions", "subscription_id", "plan_name", X.std_plan),
     "std_currency": _column("subscriptions", "subscription_id", "currency", X.std_currency),
     "std_entity": _column("gl", "gl_txn_id", "entity", X.std_entity),
-    "std_id": _column("subscriptions", "customer_id", "subscription_id", X.std_id),
-    "std_side": _column("gl", "gl_txn_id", "dr_cr", X.std_side),
+    "std_id": _column("subscriptions", "customer_id", "subscription_id", lambda c: c),
+    "std_side": _column("gl", "gl_txn_id", "dr_cr", F.upper),
     "gl_category": _column("gl", "gl_txn_id", "account_name", X.gl_category),
     "clean_customers": lambda f: f.clean["customers"],
     "clean_subscriptions": lambda f: f.clean["subscriptions"],

@@ -1,7 +1,8 @@
 """Text standardizers as native column expressions (no Python UDFs).
 
-Every ``std_*`` function turns NULL into ``Unknown``, looks the stripped and
-case-folded value up in a literal map and title-cases whatever is not in it.
+``strip`` comes first, once per column: the other functions take stripped text.
+Every ``std_*`` function turns NULL into ``Unknown``, looks the case-folded value
+up in a literal map and title-cases whatever is not in it.
 """
 
 from __future__ import annotations
@@ -68,8 +69,9 @@ def strip(c: Column) -> Column:
     ``btrim`` with a character set is several times the cost of looking at the
     two end characters, so it only runs for the values that need it.
     """
-    ends_blank = F.substring(c, 1, 1).isin(*WHITESPACE) | F.substring(c, -1, 1).isin(*WHITESPACE)
-    return F.when(ends_blank, F.btrim(c, F.lit(WHITESPACE))).otherwise(c)
+    blanks = F.lit(WHITESPACE)
+    ends_blank = F.contains(blanks, F.substring(c, 1, 1)) | F.contains(blanks, F.substring(c, -1, 1))
+    return F.when(ends_blank, F.btrim(c, blanks)).otherwise(c)
 
 
 def clean_text(c: Column) -> Column:
@@ -99,29 +101,29 @@ def null_tokens_to_null(df: DataFrame, tokens: tuple[str, ...] = NULL_TOKENS) ->
     )
 
 
-def title_case(c: Column) -> Column:
-    """Strip, then a capital after anything that is not a letter.
+def title_case(text: Column) -> Column:
+    """A capital after anything that is not a letter, lower case elsewhere.
 
     ``initcap`` only capitalizes after blanks, but is exact (and twice as fast)
     where no ASCII letter follows another kind of separator.
     """
-    text = strip(c)
     runs = F.regexp_extract_all(text, F.lit(rf"([{_CASED}]+|[^{_CASED}]+)"), F.lit(1))
     by_run = F.array_join(
-        F.transform(runs, lambda run: F.concat(F.upper(F.left(run, F.lit(1))), F.lower(F.substr(run, F.lit(2))))), ""
+        F.transform(runs, lambda run: F.concat(F.upper(F.substring(run, 1, 1)), F.lower(F.substring(run, 2, 2**31 - 1)))),
+        "",
     )
     plain = text.rlike(r"^[A-Za-z ]*+[^A-Za-z\x80-\x{10FFFF}]*+$")
     return F.when(plain, F.initcap(text)).otherwise(by_run)
 
 
 def _lookup(mapping: dict[str, str], key: Column, fallback: Column) -> Column:
-    entries = F.create_map(*[F.lit(text) for pair in mapping.items() for text in pair])
-    return F.coalesce(entries[key], fallback)
+    entries = ", ".join(f"'{text}'" for pair in mapping.items() for text in pair)
+    return F.coalesce(F.expr(f"map({entries})")[key], fallback)
 
 
-def _standardize(c: Column, mapping: dict[str, str]) -> Column:
-    key = F.lower(strip(c))
-    return F.when(c.isNull(), UNKNOWN).otherwise(_lookup(mapping, key, title_case(key)))
+def _standardize(text: Column, mapping: dict[str, str]) -> Column:
+    key = F.lower(text)
+    return F.when(text.isNull(), UNKNOWN).otherwise(_lookup(mapping, key, title_case(text)))
 
 
 def std_status(c: Column) -> Column:
@@ -150,19 +152,10 @@ def std_plan(c: Column) -> Column:
 
 def std_currency(c: Column) -> Column:
     """Currencies are upper-cased; an unlisted one stays as it is."""
-    key = F.upper(strip(c))
+    key = F.upper(c)
     return F.when(c.isNull(), UNKNOWN).otherwise(_lookup(CURRENCIES, key, key))
 
 
 def gl_category(account_name: Column) -> Column:
     """Reporting category of a ledger account; ``Other`` when unmapped."""
     return _lookup(ACCOUNT_CATEGORIES, F.lower(account_name), F.lit("Other"))
-
-
-def std_side(c: Column) -> Column:
-    """Debit / credit marker: upper-cased, NULL stays NULL."""
-    return F.upper(strip(c))
-
-
-def std_id(c: Column) -> Column:
-    return strip(c.cast("string"))

@@ -22,8 +22,8 @@ def billing_schedule(subscriptions: DataFrame, horizon: str) -> DataFrame:
     """
     t = X.trim_text_columns(subscriptions)
     terms = t.select(
-        X.std_id(F.col("subscription_id")).alias("subscription_id"),
-        X.std_id(F.col("customer_id")).alias("customer_id"),
+        F.col("subscription_id").cast("string").alias("subscription_id"),
+        F.col("customer_id").cast("string").alias("customer_id"),
         parse_date(t, "start_date"),
         F.coalesce(parse_date(t, "end_date"), F.lit(horizon).cast("date")).alias("until"),
         round2(

@@ -25,7 +25,7 @@ def clean_customers(raw: DataFrame) -> DataFrame:
     """One row per customer: the earliest signup."""
     t = X.trim_text_columns(raw)
     cleaned = t.select(
-        X.std_id(F.col("customer_id")).alias("customer_id"),
+        F.col("customer_id").cast("string").alias("customer_id"),
         _or(X.title_case(F.col("customer_name")), "Unknown Customer").alias("customer_name"),
         _or(X.title_case(F.col("industry")), X.UNKNOWN).alias("industry"),
         X.std_region(F.col("region")).alias("region"),
@@ -49,8 +49,8 @@ def valid_subscriptions(raw: DataFrame) -> DataFrame:
     t = X.trim_text_columns(raw)
     cleaned = (
         t.select(
-            X.std_id(F.col("subscription_id")).alias("subscription_id"),
-            X.std_id(F.col("customer_id")).alias("customer_id"),
+            F.col("subscription_id").cast("string").alias("subscription_id"),
+            F.col("customer_id").cast("string").alias("customer_id"),
             parse_date(t, "start_date"),
             parse_date(t, "end_date"),
             X.std_plan(F.col("plan_name")).alias("plan_name"),
@@ -108,9 +108,9 @@ def clean_invoices(raw: DataFrame) -> DataFrame:
     late = F.col("due_date").isNull() | (F.col("due_date") < F.col("invoice_date"))
     cleaned = (
         t.select(
-            X.std_id(F.col("invoice_id")).alias("invoice_id"),
-            X.std_id(F.col("customer_id")).alias("customer_id"),
-            X.std_id(F.col("subscription_id")).alias("subscription_id"),
+            F.col("invoice_id").cast("string").alias("invoice_id"),
+            F.col("customer_id").cast("string").alias("customer_id"),
+            F.col("subscription_id").cast("string").alias("subscription_id"),
             parse_date(t, "invoice_date"),
             parse_date(t, "due_date"),
             _or(parse_number(t, "amount"), 0).alias("amount"),
@@ -139,7 +139,7 @@ def clean_gl(raw: DataFrame) -> DataFrame:
     """One row per ledger transaction: the latest date; accounts mapped to categories."""
     t = X.trim_text_columns(raw)
     cleaned = t.select(
-        X.std_id(F.col("gl_txn_id")).alias("gl_txn_id"),
+        F.col("gl_txn_id").cast("string").alias("gl_txn_id"),
         parse_date(t, "txn_date"),
         _or(F.col("account_code").cast("string"), X.UNKNOWN).alias("account_code"),
         F.lower(_or(F.col("account_name"), X.UNKNOWN)).alias("account_name"),
@@ -147,7 +147,7 @@ def clean_gl(raw: DataFrame) -> DataFrame:
         _or(F.col("cost_center"), X.UNKNOWN).alias("cost_center"),
         _or(F.col("vendor_customer"), X.UNKNOWN).alias("vendor_customer"),
         parse_number(t, "amount"),
-        X.std_side(F.col("dr_cr")).alias("dr_cr"),
+        F.upper("dr_cr").alias("dr_cr"),
         X.std_entity(F.col("entity")).alias("entity"),
         _or(F.col("memo"), X.UNKNOWN).alias("memo"),
         *_seq(t),
