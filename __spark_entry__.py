@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 import oracles
 from saldo.functions import text as X
@@ -55,27 +54,28 @@ class Finance:
 Plan = Callable[[Finance], DataFrame]
 
 
-def _column(table: str, key: str, column: str, standardize: Callable) -> Plan:
+def _column(table: str, key: str, column: str, standardize: Callable[[str], str]) -> Plan:
     return lambda f: (
         f.raw[table]
-        .select(key, F.col(column).alias("raw_value"), X.strip(F.col(column)).alias("stripped"))
-        .select(key, "raw_value", standardize(F.col("stripped")).alias("clean_value"))
+        .selectExpr(key, f"{column} AS raw_value", f"{X.strip(column)} AS stripped")
+        .selectExpr(key, "raw_value", f"{standardize('stripped')} AS clean_value")
     )
 
 
 def _clean_text(f: Finance) -> DataFrame:
-    padded = F.concat(F.lit(" "), F.col("c_mktsegment"), F.lit("  "))
-    return f.table("customer").select("c_custkey", X.clean_text(padded).alias("cleaned"))
+    padded = f.table("customer").selectExpr("c_custkey", "concat(' ', c_mktsegment, '  ') AS padded")
+    return padded.selectExpr("c_custkey", f"{X.clean_text('padded')} AS cleaned")
 
 
 def _kpi_describe(f: Finance) -> DataFrame:
     """The profile with its inexact figures rounded, so that two engines can agree on them."""
+    inexact = ("mean", "std", "p25", "p50", "p75")
     profile = describe(f.clean["kpi_base"], quality.PROFILED_KPIS)
-    return profile.withColumns({c: F.round(c, 4) for c in ("mean", "std", "p25", "p50", "p75")})
+    return profile.selectExpr(*[f"round({c}, 4) AS {c}" if c in inexact else c for c in profile.columns])
 
 
-def _checks(*groups: Callable[[], quality.Checks]) -> Plan:
-    return lambda f: quality.check_tables(f.clean, *[group() for group in groups])
+def _checks(*groups: quality.Checks) -> Plan:
+    return lambda f: quality.check_tables(f.clean, *groups)
 
 
 def _arr_growth(f: Finance) -> DataFrame:
@@ -86,7 +86,9 @@ def _arr_growth(f: Finance) -> DataFrame:
 
 PLANS: dict[str, Plan] = {
     "clean_text": _clean_text,
-    "title_case": lambda f: f.table("part").select("p_partkey", X.title_case(X.strip(F.col("p_name"))).alias("titled")),
+    "title_case": lambda f: f.table("part").selectExpr(
+        "p_partkey", f"{X.title_case(X.strip('p_name'))} AS titled"
+    ),
     "std_status": _column("customers", "customer_id", "account_status", X.std_status),
     "std_region": _column("customers", "customer_id", "region", X.std_region),
     "std_channel": _column("customers", "customer_id", "acquisition_channel", X.std_channel),
@@ -94,8 +96,8 @@ PLANS: dict[str, Plan] = {
     "std_plan": _column("subscriptions", "subscription_id", "plan_name", X.std_plan),
     "std_currency": _column("subscriptions", "subscription_id", "currency", X.std_currency),
     "std_entity": _column("gl", "gl_txn_id", "entity", X.std_entity),
-    "std_id": _column("subscriptions", "customer_id", "subscription_id", lambda c: c),
-    "std_side": _column("gl", "gl_txn_id", "dr_cr", F.upper),
+    "std_id": _column("subscriptions", "customer_id", "subscription_id", X.std_id),
+    "std_side": _column("gl", "gl_txn_id", "dr_cr", X.std_side),
     "gl_category": _column("gl", "gl_txn_id", "account_name", X.gl_category),
     "clean_customers": lambda f: f.clean["customers"],
     "clean_subscriptions": lambda f: f.clean["subscriptions"],
@@ -128,14 +130,14 @@ PLANS: dict[str, Plan] = {
     "kpi_base": lambda f: f.clean["kpi_base"],
     "exec_summary": lambda f: kpis.exec_summary(kpis.monthly_kpis(f.kpi_star)),
     "arr_growth": _arr_growth,
-    "dq_duplicates": _checks(quality.duplicate_checks),
-    "dq_nulls": _checks(quality.null_checks),
-    "dq_allowed_values": _checks(quality.allowed_value_checks),
-    "dq_date_order": _checks(lambda: quality.date_order_checks(oracles.AS_OF)),
-    "dq_business_rules": _checks(quality.business_rule_checks),
-    "dq_invoice_math": _checks(quality.invoice_math_checks),
-    "dq_cac": _checks(quality.cac_checks, quality.zero_win_cac_checks),
-    "dq_kpi_ranges": _checks(quality.kpi_range_checks),
+    "dq_duplicates": _checks(quality.DUPLICATES),
+    "dq_nulls": _checks(quality.CRITICAL_NULLS),
+    "dq_allowed_values": _checks(quality.ALLOWED_VALUES),
+    "dq_date_order": _checks(quality.date_order(oracles.AS_OF)),
+    "dq_business_rules": _checks(quality.BUSINESS_RULES),
+    "dq_invoice_math": _checks(quality.INVOICE_MATH),
+    "dq_cac": _checks(quality.CAC, quality.ZERO_WIN_CAC),
+    "dq_kpi_ranges": _checks(quality.KPI_RANGES),
     "dq_summary": lambda f: quality.issue_summary(f.clean, oracles.AS_OF),
     "kpi_describe": _kpi_describe,
     "raw_audit": lambda f: quality.raw_audit(f.raw),

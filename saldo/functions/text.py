@@ -1,4 +1,8 @@
-"""Text standardizers as native column expressions (no Python UDFs).
+"""Text standardizers as SQL expressions (no Python UDFs).
+
+Functions here take and return SQL text, for ``selectExpr`` and ``expr``: a
+cleaner's whole projection reaches the JVM as a handful of parsed strings, where
+the same tree built from Column calls costs thousands of round trips.
 
 ``strip`` comes first, once per column: the other functions take stripped text.
 Every ``std_*`` function turns NULL into ``Unknown``, looks the case-folded value
@@ -7,8 +11,7 @@ up in a literal map and title-cases whatever is not in it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 UNKNOWN = "Unknown"
@@ -60,102 +63,110 @@ ACCOUNT_CATEGORIES = {
     "misc expense": "Other",
 }
 
+_BLANKS = "'" + "".join(f"\\u{ord(c):04x}" for c in WHITESPACE) + "'"
 _CASED = r"\p{Lu}\p{Ll}\p{Lt}"
 
 
-def strip(c: Column) -> Column:
+def literals(values: list[str] | tuple[str, ...]) -> str:
+    """SQL list of text literals."""
+    return ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values)
+
+
+def strip(c: str) -> str:
     """Remove whitespace of any kind at both ends.
 
     ``btrim`` with a character set is several times the cost of looking at the
     two end characters, so it only runs for the values that need it.
     """
-    blanks = F.lit(WHITESPACE)
-    ends_blank = F.contains(blanks, F.substring(c, 1, 1)) | F.contains(blanks, F.substring(c, -1, 1))
-    return F.when(ends_blank, F.btrim(c, blanks)).otherwise(c)
+    ends_blank = f"contains({_BLANKS}, left({c}, 1)) OR contains({_BLANKS}, right({c}, 1))"
+    return f"CASE WHEN {ends_blank} THEN btrim({c}, {_BLANKS}) ELSE {c} END"
 
 
-def clean_text(c: Column) -> Column:
+def clean_text(c: str) -> str:
     """Strip; blank becomes NULL."""
-    return F.nullif(strip(c), F.lit(""))
+    return f"nullif({strip(c)}, '')"
 
 
-def trim_text_columns(df: DataFrame) -> DataFrame:
-    """``clean_text`` over every string column of a table."""
-    return df.select(
+def _over_text_columns(df: DataFrame, change) -> DataFrame:
+    return df.selectExpr(
         *[
-            clean_text(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
+            f"{change(f.name)} AS {f.name}" if isinstance(f.dataType, T.StringType) else f.name
             for f in df.schema.fields
         ]
     )
 
 
+def trim_text_columns(df: DataFrame) -> DataFrame:
+    """``clean_text`` over every string column of a table."""
+    return _over_text_columns(df, clean_text)
+
+
 def null_tokens_to_null(df: DataFrame, tokens: tuple[str, ...] = NULL_TOKENS) -> DataFrame:
     """Turn null spellings of every string column into NULL."""
-    return df.select(
-        *[
-            F.when(~F.col(f.name).isin(*tokens), F.col(f.name)).alias(f.name)
-            if isinstance(f.dataType, T.StringType)
-            else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )
+    return _over_text_columns(df, lambda c: f"CASE WHEN {c} NOT IN ({literals(tokens)}) THEN {c} END")
 
 
-def title_case(text: Column) -> Column:
+def title_case(text: str) -> str:
     """A capital after anything that is not a letter, lower case elsewhere.
 
     ``initcap`` only capitalizes after blanks, but is exact (and twice as fast)
     where no ASCII letter follows another kind of separator.
     """
-    runs = F.regexp_extract_all(text, F.lit(rf"([{_CASED}]+|[^{_CASED}]+)"), F.lit(1))
-    by_run = F.array_join(
-        F.transform(runs, lambda run: F.concat(F.upper(F.substring(run, 1, 1)), F.lower(F.substring(run, 2, 2**31 - 1)))),
-        "",
-    )
-    plain = text.rlike(r"^[A-Za-z ]*+[^A-Za-z\x80-\x{10FFFF}]*+$")
-    return F.when(plain, F.initcap(text)).otherwise(by_run)
+    runs = f"regexp_extract_all({text}, r'([{_CASED}]+|[^{_CASED}]+)', 1)"
+    by_run = f"array_join(transform({runs}, r -> concat(upper(left(r, 1)), lower(substr(r, 2)))), '')"
+    plain = rf"{text} RLIKE r'^[A-Za-z ]*+[^A-Za-z\x80-\x{{10FFFF}}]*+$'"
+    return f"CASE WHEN {plain} THEN initcap({text}) ELSE {by_run} END"
 
 
-def _lookup(mapping: dict[str, str], key: Column, fallback: Column) -> Column:
-    entries = ", ".join(f"'{text}'" for pair in mapping.items() for text in pair)
-    return F.coalesce(F.expr(f"map({entries})")[key], fallback)
+def _lookup(mapping: dict[str, str], key: str, fallback: str) -> str:
+    entries = literals([text for pair in mapping.items() for text in pair])
+    return f"coalesce(map({entries})[{key}], {fallback})"
 
 
-def _standardize(text: Column, mapping: dict[str, str]) -> Column:
-    key = F.lower(text)
-    return F.when(text.isNull(), UNKNOWN).otherwise(_lookup(mapping, key, title_case(text)))
+def _standardize(text: str, mapping: dict[str, str]) -> str:
+    known = _lookup(mapping, f"lower({text})", title_case(text))
+    return f"CASE WHEN {text} IS NULL THEN '{UNKNOWN}' ELSE {known} END"
 
 
-def std_status(c: Column) -> Column:
+def std_status(c: str) -> str:
     return _standardize(c, STATUSES)
 
 
-def std_region(c: Column) -> Column:
+def std_region(c: str) -> str:
     return _standardize(c, REGIONS)
 
 
-def std_channel(c: Column) -> Column:
+def std_channel(c: str) -> str:
     return _standardize(c, CHANNELS)
 
 
-def std_entity(c: Column) -> Column:
+def std_entity(c: str) -> str:
     return _standardize(c, ENTITIES)
 
 
-def std_billing(c: Column) -> Column:
+def std_billing(c: str) -> str:
     return _standardize(c, BILLING_FREQUENCIES)
 
 
-def std_plan(c: Column) -> Column:
+def std_plan(c: str) -> str:
     return _standardize(c, PLANS)
 
 
-def std_currency(c: Column) -> Column:
+def std_currency(c: str) -> str:
     """Currencies are upper-cased; an unlisted one stays as it is."""
-    key = F.upper(c)
-    return F.when(c.isNull(), UNKNOWN).otherwise(_lookup(CURRENCIES, key, key))
+    return f"CASE WHEN {c} IS NULL THEN '{UNKNOWN}' ELSE {_lookup(CURRENCIES, f'upper({c})', f'upper({c})')} END"
+
+
+def std_side(c: str) -> str:
+    """Debit / credit marker: upper-cased, NULL stays NULL."""
+    return f"upper({c})"
+
+
+def std_id(c: str) -> str:
+    """Identifiers are text, whatever type they arrive in."""
+    return f"CAST({c} AS STRING)"
 
 
-def gl_category(account_name: Column) -> Column:
+def gl_category(account_name: str) -> str:
     """Reporting category of a ledger account; ``Other`` when unmapped."""
-    return _lookup(ACCOUNT_CATEGORIES, F.lower(account_name), F.lit("Other"))
+    return _lookup(ACCOUNT_CATEGORIES, f"lower({account_name})", "'Other'")

@@ -1,67 +1,64 @@
-"""Dates, numbers and money as column expressions."""
+"""Dates, numbers and money as SQL expressions."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 # Money is summed as whole ten-thousandths, so that a sum is exact and does not
 # depend on the order in which partitions arrive.
-MONEY_UNITS = 10_000.0
+_UNITS = 10000
 
 _ISO_DATE = r"^\d{4}-\d{2}-\d{2}"
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
-def parse_date(df: DataFrame, name: str) -> Column:
+def parse_date(df: DataFrame, name: str) -> str:
     """A date column of any type as DATE; text that is no ISO date becomes NULL."""
-    c = F.col(name)
     if isinstance(df.schema[name].dataType, T.StringType):
-        return F.when(c.rlike(_ISO_DATE), c.try_cast("date")).alias(name)
-    return c.cast("date").alias(name)
+        return f"CASE WHEN {name} RLIKE r'{_ISO_DATE}' THEN try_cast({name} AS DATE) END"
+    return f"CAST({name} AS DATE)"
 
 
-def parse_number(df: DataFrame, name: str) -> Column:
+def parse_number(df: DataFrame, name: str) -> str:
     """A numeric column of any type as DOUBLE; text that is no number becomes NULL."""
-    c = F.col(name)
     dtype = df.schema[name].dataType
     if isinstance(dtype, T.StringType):
-        return F.when(c.rlike(_NUMBER), c.try_cast("double")).alias(name)
+        return f"CASE WHEN {name} RLIKE r'{_NUMBER}' THEN try_cast({name} AS DOUBLE) END"
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return F.nanvl(c.cast("double"), F.lit(None).cast("double")).alias(name)
-    return c.cast("double").alias(name)
+        return f"nanvl(CAST({name} AS DOUBLE), CAST(NULL AS DOUBLE))"
+    return f"CAST({name} AS DOUBLE)"
 
 
-def round2(c: Column) -> Column:
+def round2(x: str) -> str:
     """Two decimals, half to even on the scaled value."""
-    return F.rint(c * 100) / 100
+    return f"(rint(({x}) * 100) / 100)"
 
 
-def month_start(c: Column) -> Column:
-    return F.trunc(c, "month")
+def month_start(d: str) -> str:
+    return f"trunc({d}, 'month')"
 
 
-def month_index(c: Column) -> Column:
+def month_index(d: str) -> str:
     """Months since year 0: consecutive months are consecutive integers."""
-    return F.year(c) * 12 + F.month(c) - 1
+    return f"(year({d}) * 12 + month({d}) - 1)"
 
 
-def month_of_index(c: Column) -> Column:
-    return F.make_date(F.floor(c / 12).cast("int"), (c % 12 + 1).cast("int"), F.lit(1))
+def month_of_index(i: str) -> str:
+    return f"make_date(CAST({i} DIV 12 AS INT), CAST({i} % 12 + 1 AS INT), 1)"
 
 
-def first_month_index(c: Column) -> Column:
+def first_month_index(d: str) -> str:
     """Index of the first month whose first day is on or after the date."""
-    return month_index(c) + F.when(F.dayofmonth(c) > 1, 1).otherwise(0)
+    return f"({month_index(d)} + CASE WHEN day({d}) > 1 THEN 1 ELSE 0 END)"
 
 
-def money_sum(c: Column) -> Column:
+def money_sum(x: str) -> str:
     """Exact, order-independent sum of money as DOUBLE."""
-    units = F.rint(c * MONEY_UNITS).cast("bigint").cast("decimal(20,0)")
-    return F.sum(units).cast("double") / MONEY_UNITS
+    units = f"CAST(CAST(rint(({x}) * {_UNITS}) AS BIGINT) AS DECIMAL(20, 0))"
+    return f"(CAST(sum({units}) AS DOUBLE) / {_UNITS})"
 
 
-def ratio(numerator: Column, denominator: Column, when: Column) -> Column:
+def ratio(numerator: str, denominator: str, when: str) -> str:
     """A quotient that is NULL unless its guard holds."""
-    return F.when(when, numerator / denominator)
+    return f"CASE WHEN {when} THEN ({numerator}) / ({denominator}) END"

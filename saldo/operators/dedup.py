@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 # File-order column that the CSV scan adds; it settles ties where it exists.
 SEQ = "_seq"
 
 
-def _keep_one(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
+def _keep_one(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     # A row_number filter becomes a group limit on both sides of the shuffle:
     # each task forwards one row per key, so a hot key costs one row per task.
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank", SEQ)
+    rank = f"row_number() OVER (PARTITION BY {key} ORDER BY {', '.join(order)}) AS _rank"
+    return df.selectExpr("*", rank).filter("_rank = 1").drop("_rank", SEQ)
 
 
 def _tie_columns(df: DataFrame, key: str, used: list[str]) -> list[str]:
@@ -23,14 +22,10 @@ def _tie_columns(df: DataFrame, key: str, used: list[str]) -> list[str]:
 def keep_first(df: DataFrame, key: str, by: list[str]) -> DataFrame:
     """First row per key by ascending columns, NULLs last; ties by file order or all other columns."""
     order = by + _tie_columns(df, key, by)
-    return _keep_one(df, key, [F.col(c).asc_nulls_last() for c in order])
+    return _keep_one(df, key, [f"{c} ASC NULLS LAST" for c in order])
 
 
 def keep_last(df: DataFrame, key: str, by: list[str]) -> DataFrame:
     """Last row per key by ascending columns with NULLs last, so a NULL wins; ties as in ``keep_first``."""
     ties = _tie_columns(df, key, by)
-    return _keep_one(
-        df,
-        key,
-        [F.col(c).desc_nulls_first() for c in by] + [F.col(c).desc_nulls_last() for c in ties],
-    )
+    return _keep_one(df, key, [f"{c} DESC NULLS FIRST" for c in by] + [f"{c} DESC NULLS LAST" for c in ties])

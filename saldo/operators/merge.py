@@ -5,7 +5,8 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from saldo.operators.aggregate import aggregate
 
 
 def merge_on_period(*tables: DataFrame) -> DataFrame:
@@ -17,4 +18,4 @@ def merge_on_period(*tables: DataFrame) -> DataFrame:
     """
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
     measures = [c for c in stacked.columns if c != "period"]
-    return stacked.filter("period is not null").groupBy("period").agg(*[F.max(c).alias(c) for c in measures])
+    return aggregate(stacked.filter("period IS NOT NULL"), ["period"], {c: f"max(`{c}`)" for c in measures})

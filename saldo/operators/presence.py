@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from saldo.functions.values import first_month_index, month_index, month_of_index
+from saldo.operators.aggregate import aggregate
 
 # Month index of an interval that never ends; lies after every real month.
 _NEVER = 12 * 100_000
@@ -21,34 +21,24 @@ def presence_changes(intervals: DataFrame, member: str, start: str, end: str) ->
     however many rows a member has. The part of each that the member's earlier
     ones have not covered then counts +1 at its first month and -1 after its last.
     """
-    longest = (
-        intervals.filter(F.col(member).isNotNull() & F.col(start).isNotNull())
-        .select(
-            F.col(member).alias("member"),
-            first_month_index(F.col(start)).alias("first"),
-            F.coalesce(month_index(F.col(end)), F.lit(_NEVER)).alias("last"),
+    months = (
+        intervals.filter(f"{member} IS NOT NULL AND {start} IS NOT NULL")
+        .selectExpr(
+            f"{member} AS member",
+            f"{first_month_index(start)} AS first",
+            f"coalesce({month_index(end)}, {_NEVER}) AS last",
         )
         .filter("first <= last")
-        .groupBy("member", "first")
-        .agg(F.max("last").alias("last"))
     )
-    earlier = Window.partitionBy("member").orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
-    uncovered = longest.withColumn("first", F.greatest("first", F.max("last").over(earlier) + 1)).filter("first <= last")
-    return (
-        uncovered.select(
-            F.explode(
-                F.array(
-                    F.struct(F.col("first").alias("month"), F.lit(1).alias("change")),
-                    F.struct((F.col("last") + 1).alias("month"), F.lit(-1).alias("change")),
-                )
-            ).alias("c")
-        )
-        .filter(F.col("c.month") <= _NEVER)
-        .groupBy(month_of_index(F.col("c.month")).alias("period"))
-        .agg(F.sum("c.change").alias("change"))
+    longest = aggregate(months, ["member", "first"], {"last": "max(last)"})
+    earlier = "PARTITION BY member ORDER BY first ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    uncovered = longest.selectExpr("greatest(first, max(last) OVER (" + earlier + ") + 1) AS first", "last").filter(
+        "first <= last"
     )
+    changes = uncovered.selectExpr("stack(2, first, 1, last + 1, -1) AS (month, change)").filter(f"month <= {_NEVER}")
+    return aggregate(changes, [f"{month_of_index('month')} AS period"], {"change": "sum(change)"})
 
 
-def running_presence(change: str) -> Column:
+def running_presence(change: str) -> str:
     """Members present at ``period``: the running sum of changes over month-grain rows."""
-    return F.sum(change).over(Window.orderBy("period").rowsBetween(Window.unboundedPreceding, 0))
+    return f"sum({change}) OVER (ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from saldo.functions import text as X
 from saldo.functions.values import parse_date, parse_number, round2
@@ -21,30 +20,31 @@ def billing_schedule(subscriptions: DataFrame, horizon: str) -> DataFrame:
     of several rows with one id, the first is billed.
     """
     t = X.trim_text_columns(subscriptions)
-    terms = t.select(
-        F.col("subscription_id").cast("string").alias("subscription_id"),
-        F.col("customer_id").cast("string").alias("customer_id"),
-        parse_date(t, "start_date"),
-        F.coalesce(parse_date(t, "end_date"), F.lit(horizon).cast("date")).alias("until"),
-        round2(
-            F.coalesce(parse_number(t, "mrr"), F.lit(0))
-            * (1 - F.coalesce(parse_number(t, "discount_pct"), F.lit(0)) / 100)
-        ).alias("amount"),
-        *([F.col(SEQ)] if SEQ in t.columns else []),
+    discounted = f"coalesce({parse_number(t, 'mrr')}, 0) * (1 - coalesce({parse_number(t, 'discount_pct')}, 0) / 100)"
+    terms = t.selectExpr(
+        f"{X.std_id('subscription_id')} AS subscription_id",
+        f"{X.std_id('customer_id')} AS customer_id",
+        f"{parse_date(t, 'start_date')} AS start_date",
+        f"coalesce({parse_date(t, 'end_date')}, DATE'{horizon}') AS until",
+        f"{round2(discounted)} AS amount",
+        *([SEQ] if SEQ in t.columns else []),
     )
-    terms = keep_first(terms, "subscription_id", []).filter("start_date is not null")
-    first = F.trunc(F.add_months(F.date_sub("start_date", 1), 1), "month")
-    months = F.when(F.col("until") < F.col("start_date"), F.array("start_date")).when(
-        first <= F.col("until"), F.sequence(first, F.col("until"), F.expr("interval 1 month"))
-    )
-    tax = round2(F.col("amount") * TAX_RATE)
-    return terms.withColumn("invoice_date", F.explode(months)).select(
-        F.concat("subscription_id", F.date_format("invoice_date", "-yyyyMM")).alias("invoice_id"),
-        "customer_id",
-        "subscription_id",
-        "invoice_date",
-        F.date_add("invoice_date", PAYMENT_DAYS).alias("due_date"),
-        "amount",
-        tax.alias("tax"),
-        round2(F.col("amount") + tax).alias("total_amount"),
+    first_month = "trunc(add_months(date_sub(start_date, 1), 1), 'month')"
+    months = f"""CASE WHEN until < start_date THEN array(start_date)
+        WHEN {first_month} <= until THEN sequence({first_month}, until, INTERVAL 1 MONTH) END"""
+    tax = round2(f"amount * {TAX_RATE}D")
+    return (
+        keep_first(terms, "subscription_id", [])
+        .filter("start_date IS NOT NULL")
+        .selectExpr("*", f"explode({months}) AS invoice_date")
+        .selectExpr(
+            "concat(subscription_id, date_format(invoice_date, '-yyyyMM')) AS invoice_id",
+            "customer_id",
+            "subscription_id",
+            "invoice_date",
+            f"date_add(invoice_date, {PAYMENT_DAYS}) AS due_date",
+            "amount",
+            f"{tax} AS tax",
+            f"{round2(f'amount + {tax}')} AS total_amount",
+        )
     )

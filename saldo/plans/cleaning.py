@@ -5,36 +5,32 @@ Inputs may be all text (CSV scan) or typed; both end in the same schema.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from saldo.functions import text as X
 from saldo.functions.values import month_start, parse_date, parse_number, round2
+from saldo.operators.aggregate import aggregate
 from saldo.operators.dedup import SEQ, keep_first, keep_last
 
 
-def _seq(df: DataFrame) -> list[Column]:
-    return [F.col(SEQ)] if SEQ in df.columns else []
-
-
-def _or(c: Column, default: str | int) -> Column:
-    return F.coalesce(c, F.lit(default))
+def _seq(df: DataFrame) -> list[str]:
+    return [SEQ] if SEQ in df.columns else []
 
 
 def clean_customers(raw: DataFrame) -> DataFrame:
     """One row per customer: the earliest signup."""
     t = X.trim_text_columns(raw)
-    cleaned = t.select(
-        F.col("customer_id").cast("string").alias("customer_id"),
-        _or(X.title_case(F.col("customer_name")), "Unknown Customer").alias("customer_name"),
-        _or(X.title_case(F.col("industry")), X.UNKNOWN).alias("industry"),
-        X.std_region(F.col("region")).alias("region"),
-        _or(X.title_case(F.col("country")), X.UNKNOWN).alias("country"),
-        parse_date(t, "signup_date"),
-        X.std_channel(F.col("acquisition_channel")).alias("acquisition_channel"),
-        X.std_status(F.col("account_status")).alias("account_status"),
-        X.std_plan(F.col("plan_name")).alias("plan_name"),
-        X.std_billing(F.col("billing_frequency")).alias("billing_frequency"),
+    cleaned = t.selectExpr(
+        f"{X.std_id('customer_id')} AS customer_id",
+        f"coalesce({X.title_case('customer_name')}, 'Unknown Customer') AS customer_name",
+        f"coalesce({X.title_case('industry')}, 'Unknown') AS industry",
+        f"{X.std_region('region')} AS region",
+        f"coalesce({X.title_case('country')}, 'Unknown') AS country",
+        f"{parse_date(t, 'signup_date')} AS signup_date",
+        f"{X.std_channel('acquisition_channel')} AS acquisition_channel",
+        f"{X.std_status('account_status')} AS account_status",
+        f"{X.std_plan('plan_name')} AS plan_name",
+        f"{X.std_billing('billing_frequency')} AS billing_frequency",
         *_seq(t),
     )
     return keep_first(cleaned, "customer_id", ["signup_date"])
@@ -47,29 +43,26 @@ def valid_subscriptions(raw: DataFrame) -> DataFrame:
     start. The plan is the row's own; ``fill_plans`` looks missing ones up.
     """
     t = X.trim_text_columns(raw)
-    cleaned = (
-        t.select(
-            F.col("subscription_id").cast("string").alias("subscription_id"),
-            F.col("customer_id").cast("string").alias("customer_id"),
-            parse_date(t, "start_date"),
-            parse_date(t, "end_date"),
-            X.std_plan(F.col("plan_name")).alias("plan_name"),
-            parse_number(t, "mrr"),
-            X.std_status(F.col("subscription_status")).alias("subscription_status"),
-            _or(parse_number(t, "discount_pct"), 0).alias("discount_pct"),
-            X.std_currency(F.col("currency")).alias("currency"),
-            *_seq(t),
-        )
-        .filter("mrr > 0 and start_date is not null and (end_date is null or end_date >= start_date)")
-    )
-    return keep_last(cleaned, "subscription_id", ["start_date", "end_date"]).select(
+    cleaned = t.selectExpr(
+        f"{X.std_id('subscription_id')} AS subscription_id",
+        f"{X.std_id('customer_id')} AS customer_id",
+        f"{parse_date(t, 'start_date')} AS start_date",
+        f"{parse_date(t, 'end_date')} AS end_date",
+        f"{X.std_plan('plan_name')} AS plan_name",
+        f"{parse_number(t, 'mrr')} AS mrr",
+        f"{X.std_status('subscription_status')} AS subscription_status",
+        f"coalesce({parse_number(t, 'discount_pct')}, 0) AS discount_pct",
+        f"{X.std_currency('currency')} AS currency",
+        *_seq(t),
+    ).filter("mrr > 0 AND start_date IS NOT NULL AND (end_date IS NULL OR end_date >= start_date)")
+    return keep_last(cleaned, "subscription_id", ["start_date", "end_date"]).selectExpr(
         "subscription_id",
         "customer_id",
         "start_date",
         "end_date",
         "plan_name",
         "mrr",
-        round2(F.col("mrr") * 12).alias("arr"),
+        f"{round2('mrr * 12')} AS arr",
         "subscription_status",
         "discount_pct",
         "currency",
@@ -82,14 +75,10 @@ def fill_plans(subscriptions: DataFrame, customers: DataFrame) -> DataFrame:
     Only customers with a known plan can change a row. The join side is picked
     by size at run time; adaptive execution splits a hot customer.
     """
-    plans = customers.filter(F.col("plan_name") != X.UNKNOWN).select(
-        "customer_id", F.col("plan_name").alias("customer_plan")
-    )
-    own = F.when(F.col("plan_name") != X.UNKNOWN, F.col("plan_name"))
-    return (
-        subscriptions.join(plans, "customer_id", "left")
-        .withColumn("plan_name", F.coalesce(own, "customer_plan", F.lit(X.UNKNOWN)))
-        .select(*subscriptions.columns)
+    plans = customers.filter("plan_name <> 'Unknown'").selectExpr("customer_id", "plan_name AS customer_plan")
+    filled = "coalesce(nullif(plan_name, 'Unknown'), customer_plan, 'Unknown') AS plan_name"
+    return subscriptions.join(plans, "customer_id", "left").selectExpr(
+        *[filled if c == "plan_name" else c for c in subscriptions.columns]
     )
 
 
@@ -105,23 +94,19 @@ def clean_subscriptions(raw: DataFrame, customers: DataFrame) -> DataFrame:
 def clean_invoices(raw: DataFrame) -> DataFrame:
     """One row per invoice: the latest date; due dates and totals repaired, void rows flagged."""
     t = X.trim_text_columns(raw)
-    late = F.col("due_date").isNull() | (F.col("due_date") < F.col("invoice_date"))
-    cleaned = (
-        t.select(
-            F.col("invoice_id").cast("string").alias("invoice_id"),
-            F.col("customer_id").cast("string").alias("customer_id"),
-            F.col("subscription_id").cast("string").alias("subscription_id"),
-            parse_date(t, "invoice_date"),
-            parse_date(t, "due_date"),
-            _or(parse_number(t, "amount"), 0).alias("amount"),
-            _or(parse_number(t, "tax"), 0).alias("tax"),
-            X.std_status(F.col("invoice_status")).alias("invoice_status"),
-            *_seq(t),
-        )
-        .filter("invoice_id is not null and invoice_date is not null and customer_id is not null")
-        .withColumn("due_date", F.when(late, F.date_add("invoice_date", 30)).otherwise(F.col("due_date")))
-    )
-    return keep_last(cleaned, "invoice_id", ["invoice_date"]).select(
+    invoice_date, due_date = parse_date(t, "invoice_date"), parse_date(t, "due_date")
+    cleaned = t.selectExpr(
+        f"{X.std_id('invoice_id')} AS invoice_id",
+        f"{X.std_id('customer_id')} AS customer_id",
+        f"{X.std_id('subscription_id')} AS subscription_id",
+        f"{invoice_date} AS invoice_date",
+        f"CASE WHEN {due_date} >= {invoice_date} THEN {due_date} ELSE date_add({invoice_date}, 30) END AS due_date",
+        f"coalesce({parse_number(t, 'amount')}, 0) AS amount",
+        f"coalesce({parse_number(t, 'tax')}, 0) AS tax",
+        f"{X.std_status('invoice_status')} AS invoice_status",
+        *_seq(t),
+    ).filter("invoice_id IS NOT NULL AND invoice_date IS NOT NULL AND customer_id IS NOT NULL")
+    return keep_last(cleaned, "invoice_id", ["invoice_date"]).selectExpr(
         "invoice_id",
         "customer_id",
         "subscription_id",
@@ -129,67 +114,61 @@ def clean_invoices(raw: DataFrame) -> DataFrame:
         "due_date",
         "amount",
         "tax",
-        round2(F.col("amount") + F.col("tax")).alias("total_amount"),
+        f"{round2('amount + tax')} AS total_amount",
         "invoice_status",
-        (F.col("invoice_status") == "Void").alias("is_void"),
+        "invoice_status = 'Void' AS is_void",
     )
 
 
 def clean_gl(raw: DataFrame) -> DataFrame:
     """One row per ledger transaction: the latest date; accounts mapped to categories."""
     t = X.trim_text_columns(raw)
-    cleaned = t.select(
-        F.col("gl_txn_id").cast("string").alias("gl_txn_id"),
-        parse_date(t, "txn_date"),
-        _or(F.col("account_code").cast("string"), X.UNKNOWN).alias("account_code"),
-        F.lower(_or(F.col("account_name"), X.UNKNOWN)).alias("account_name"),
-        _or(X.title_case(F.col("department")), X.UNKNOWN).alias("department"),
-        _or(F.col("cost_center"), X.UNKNOWN).alias("cost_center"),
-        _or(F.col("vendor_customer"), X.UNKNOWN).alias("vendor_customer"),
-        parse_number(t, "amount"),
-        F.upper("dr_cr").alias("dr_cr"),
-        X.std_entity(F.col("entity")).alias("entity"),
-        _or(F.col("memo"), X.UNKNOWN).alias("memo"),
+    cleaned = t.selectExpr(
+        f"{X.std_id('gl_txn_id')} AS gl_txn_id",
+        f"{parse_date(t, 'txn_date')} AS txn_date",
+        f"coalesce({X.std_id('account_code')}, 'Unknown') AS account_code",
+        "lower(coalesce(account_name, 'Unknown')) AS account_name",
+        f"coalesce({X.title_case('department')}, 'Unknown') AS department",
+        "coalesce(cost_center, 'Unknown') AS cost_center",
+        "coalesce(vendor_customer, 'Unknown') AS vendor_customer",
+        f"{parse_number(t, 'amount')} AS amount",
+        f"{X.std_side('dr_cr')} AS dr_cr",
+        f"{X.std_entity('entity')} AS entity",
+        "coalesce(memo, 'Unknown') AS memo",
         *_seq(t),
-    ).filter("gl_txn_id is not null and txn_date is not null and amount is not null")
-    return keep_last(cleaned, "gl_txn_id", ["txn_date"]).withColumn(
-        "account_category", X.gl_category(F.col("account_name"))
+    ).filter("gl_txn_id IS NOT NULL AND txn_date IS NOT NULL AND amount IS NOT NULL")
+    return keep_last(cleaned, "gl_txn_id", ["txn_date"]).selectExpr(
+        "*", f"{X.gl_category('account_name')} AS account_category"
     )
 
 
 def clean_sales_marketing(raw: DataFrame) -> DataFrame:
     """Month-grain campaign rows with CAC; exact duplicates dropped."""
     t = X.trim_text_columns(raw)
-    floor0 = lambda name: F.greatest(_or(parse_number(t, name), 0), F.lit(0.0)).alias(name)
-    return (
-        t.select(
-            month_start(parse_date(t, "period")).alias("period"),
-            X.std_channel(F.col("channel")).alias("channel"),
-            _or(F.col("campaign_name"), "Unknown Campaign").alias("campaign_name"),
-            F.abs(_or(parse_number(t, "spend"), 0)).alias("spend"),
-            floor0("leads"),
-            floor0("won_customers"),
-        )
-        .filter("period is not null")
-        .dropDuplicates()
-        .withColumn("cac", F.when(F.col("won_customers") > 0, round2(F.col("spend") / F.col("won_customers"))))
-    )
+    cleaned = t.selectExpr(
+        f"{month_start(parse_date(t, 'period'))} AS period",
+        f"{X.std_channel('channel')} AS channel",
+        "coalesce(campaign_name, 'Unknown Campaign') AS campaign_name",
+        f"abs(coalesce({parse_number(t, 'spend')}, 0)) AS spend",
+        f"greatest(coalesce({parse_number(t, 'leads')}, 0), 0) AS leads",
+        f"greatest(coalesce({parse_number(t, 'won_customers')}, 0), 0) AS won_customers",
+    ).filter("period IS NOT NULL")
+    cac = f"CASE WHEN won_customers > 0 THEN {round2('spend / won_customers')} END AS cac"
+    return cleaned.dropDuplicates().selectExpr("*", cac)
 
 
 def clean_cash(raw: DataFrame) -> DataFrame:
     """One row per month and entity with the largest balances; a missing ending is the beginning."""
     t = X.trim_text_columns(raw)
-    return (
-        t.select(
-            month_start(parse_date(t, "period")).alias("period"),
-            X.std_entity(F.col("entity")).alias("entity"),
-            parse_number(t, "beginning_cash"),
-            F.coalesce(parse_number(t, "ending_cash"), parse_number(t, "beginning_cash")).alias("ending_cash"),
-        )
-        .filter("period is not null")
-        .groupBy("period", "entity")
-        .agg(F.max("beginning_cash").alias("beginning_cash"), F.max("ending_cash").alias("ending_cash"))
-    )
+    beginning, ending = parse_number(t, "beginning_cash"), parse_number(t, "ending_cash")
+    balances = t.selectExpr(
+        f"{month_start(parse_date(t, 'period'))} AS period",
+        f"{X.std_entity('entity')} AS entity",
+        f"{beginning} AS beginning_cash",
+        f"coalesce({ending}, {beginning}) AS ending_cash",
+    ).filter("period IS NOT NULL")
+    largest = {"beginning_cash": "max(beginning_cash)", "ending_cash": "max(ending_cash)"}
+    return aggregate(balances, ["period", "entity"], largest)
 
 
 # How each clean table follows from the raw tables, in build order.

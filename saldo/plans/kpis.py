@@ -6,10 +6,12 @@ merges, windows and formulas only ever see month-grain rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from saldo.functions.text import literals
 from saldo.functions.values import money_sum, month_start, ratio, round2
+from saldo.operators.aggregate import aggregate
 from saldo.operators.merge import merge_on_period
 from saldo.operators.presence import presence_changes, running_presence
 
@@ -18,111 +20,128 @@ GL_CATEGORIES = ["COGS", "Cash", "G&A", "Other", "R&D", "Sales & Marketing"]
 GL_MEASURES = {"cogs": "COGS", "sales_marketing": "Sales & Marketing", "rnd": "R&D", "ga": "G&A"}
 LIVE_STATUSES = ["Active", "Paused"]
 
+SPINE_MEASURES = [
+    "revenue",
+    "new_customers",
+    "new_arr_booked",
+    *GL_MEASURES,
+    "total_marketing_spend",
+    "leads",
+    "marketing_won_customers",
+    "cac",
+    "ending_cash",
+]
+MONTHLY_KPI_COLUMNS = [
+    "period",
+    *SPINE_MEASURES,
+    "active_customers",
+    "churned_customers",
+    "churn_pct",
+    "gross_margin",
+    "burn_rate",
+    "runway_months",
+    "arpu",
+    "ltv",
+    "ltv_cac",
+    "prior_month_arr",
+    "arr_growth_pct",
+]
+KPI_BASE_COLUMNS = [
+    "period",
+    "revenue",
+    "new_customers",
+    "new_arr_booked",
+    "customer_signups",
+    *GL_CATEGORIES,
+    "total_marketing_spend",
+    "marketing_won_customers",
+    "leads",
+    "cac",
+    "ending_cash",
+    "active_customers",
+    "churned_customers",
+    "churn_pct",
+    "gross_margin",
+    "burn_rate",
+    "runway_months",
+    "arr_growth_pct",
+    "arpu",
+    "ltv",
+    "ltv_cac",
+]
+
 
 def monthly_revenue(revenue: DataFrame, keep_void_months: bool = True) -> DataFrame:
     """Recognised (not void) invoice amounts by month; a month of void invoices only is 0 or left out."""
-    live = ~F.coalesce("is_void", F.lit(False))
     if not keep_void_months:
-        revenue = revenue.filter(live)
-    return revenue.groupBy("period").agg(
-        money_sum(F.when(live, F.col("amount")).otherwise(0.0)).alias("revenue")
-    )
+        revenue = revenue.filter("NOT coalesce(is_void, false)")
+    recognised = "CASE WHEN coalesce(is_void, false) THEN 0 ELSE amount END"
+    return aggregate(revenue, ["period"], {"revenue": money_sum(recognised)})
 
 
 def monthly_bookings(subscriptions: DataFrame) -> DataFrame:
     """New customers and newly booked ARR by start month, in one aggregate."""
-    return subscriptions.groupBy("period").agg(
-        F.count_distinct("customer_id").alias("new_customers"),
-        money_sum(F.col("arr")).alias("new_arr_booked"),
-    )
+    booked = {"new_customers": "count(DISTINCT customer_id)", "new_arr_booked": money_sum("arr")}
+    return aggregate(subscriptions, ["period"], booked)
 
 
 def monthly_signups(customers: DataFrame) -> DataFrame:
-    return (
-        customers.filter("signup_date is not null")
-        .groupBy(month_start(F.col("signup_date")).alias("period"))
-        .agg(F.count_distinct("customer_id").alias("customer_signups"))
+    dated = customers.filter("signup_date IS NOT NULL")
+    return aggregate(
+        dated, [f"{month_start('signup_date')} AS period"], {"customer_signups": "count(DISTINCT customer_id)"}
     )
 
 
+def _category_sum(category: str) -> str:
+    return money_sum(f"CASE WHEN account_category = '{category}' THEN amount ELSE 0 END")
+
+
 def gl_summary(gl: DataFrame) -> DataFrame:
     """Ledger amounts of the four reported categories by month."""
-    return gl.groupBy("period").agg(
-        *[
-            money_sum(F.when(F.col("account_category") == category, F.col("amount")).otherwise(0.0)).alias(name)
-            for name, category in GL_MEASURES.items()
-        ]
-    )
+    return aggregate(gl, ["period"], {name: _category_sum(category) for name, category in GL_MEASURES.items()})
 
 
 def gl_pivot(gl: DataFrame) -> DataFrame:
     """Ledger amounts by month with one column per category; 0 where there are none."""
-    return (
-        gl.groupBy("period")
-        .pivot("account_category", GL_CATEGORIES)
-        .agg(money_sum(F.col("amount")))
-        .fillna(0.0, GL_CATEGORIES)
-    )
+    by_category = gl.groupBy("period").pivot("account_category", GL_CATEGORIES)
+    return by_category.agg(F.expr(money_sum("amount"))).fillna(0.0, GL_CATEGORIES)
 
 
 def monthly_marketing(sales_marketing: DataFrame, round_cac: bool = False) -> DataFrame:
-    totals = sales_marketing.groupBy("period").agg(
-        money_sum(F.col("spend")).alias("total_marketing_spend"),
-        money_sum(F.col("leads")).alias("leads"),
-        money_sum(F.col("won_customers")).alias("marketing_won_customers"),
-    )
-    won = F.col("marketing_won_customers")
-    cac = ratio(F.col("total_marketing_spend"), won, when=won > 0)
-    return totals.withColumn("cac", round2(cac) if round_cac else cac)
+    totals = {
+        "total_marketing_spend": money_sum("spend"),
+        "leads": money_sum("leads"),
+        "marketing_won_customers": money_sum("won_customers"),
+    }
+    cac = ratio("total_marketing_spend", "marketing_won_customers", when="marketing_won_customers > 0")
+    return aggregate(sales_marketing, ["period"], totals).selectExpr("*", f"{round2(cac) if round_cac else cac} AS cac")
 
 
 def monthly_cash(cash: DataFrame) -> DataFrame:
-    return cash.groupBy("period").agg(money_sum(F.col("ending_cash")).alias("ending_cash"))
+    return aggregate(cash, ["period"], {"ending_cash": money_sum("ending_cash")})
 
 
 def churned_customers(subscriptions: DataFrame) -> DataFrame:
     """Distinct customers of cancelled subscriptions by end month."""
-    return (
-        subscriptions.filter("subscription_status = 'Cancelled' and end_date is not null")
-        .groupBy(month_start(F.col("end_date")).alias("period"))
-        .agg(F.count_distinct("customer_id").alias("churned_customers"))
+    ended = subscriptions.filter("subscription_status = 'Cancelled' AND end_date IS NOT NULL")
+    return aggregate(
+        ended, [f"{month_start('end_date')} AS period"], {"churned_customers": "count(DISTINCT customer_id)"}
     )
 
 
 def _active_changes(subscriptions: DataFrame) -> DataFrame:
-    live = subscriptions.filter(F.col("subscription_status").isin(*LIVE_STATUSES))
+    live = subscriptions.filter(f"subscription_status IN ({literals(LIVE_STATUSES)})")
     return presence_changes(live, "customer_id", "start_date", "end_date")
 
 
 def active_customers(subscriptions: DataFrame, months: DataFrame) -> DataFrame:
     """Customers with a live subscription on the first day of each given ``month_start``."""
-    spine = months.select(F.col("month_start").alias("period")).distinct().withColumn("asked", F.lit(True))
+    asked = months.select("month_start").distinct().selectExpr("month_start AS period", "true AS asked")
     return (
-        merge_on_period(spine, _active_changes(subscriptions))
-        .withColumn("active_customers", F.coalesce(running_presence("change"), F.lit(0)))
+        merge_on_period(asked, _active_changes(subscriptions))
+        .selectExpr("period", "asked", f"coalesce({running_presence('change')}, 0) AS active_customers")
         .filter("asked")
-        .select("period", "active_customers")
-    )
-
-
-_SPINE_ZEROS = [
-    "revenue",
-    "new_customers",
-    "new_arr_booked",
-    *GL_MEASURES,
-    "total_marketing_spend",
-    "leads",
-    "marketing_won_customers",
-    "ending_cash",
-]
-
-
-def kpi_spine(star: dict[str, DataFrame]) -> DataFrame:
-    """One row per month with activity in any fact; absent measures are 0, an undefined CAC stays NULL."""
-    return (
-        merge_on_period(*_spine_parts(star))
-        .fillna(0, _SPINE_ZEROS)
-        .select("period", *_SPINE_ZEROS[:-1], "cac", "ending_cash")
+        .drop("asked")
     )
 
 
@@ -136,83 +155,69 @@ def _spine_parts(star: dict[str, DataFrame]) -> list[DataFrame]:
     ]
 
 
+def _zero_filled(columns: list[str], keep_null: tuple[str, ...] = ()) -> list[str]:
+    return [c if c in keep_null else f"coalesce(`{c}`, 0) AS `{c}`" for c in columns]
+
+
+def kpi_spine(star: dict[str, DataFrame]) -> DataFrame:
+    """One row per month with activity in any fact; absent measures are 0, an undefined CAC stays NULL."""
+    merged = merge_on_period(*_spine_parts(star))
+    return merged.selectExpr("period", *_zero_filled(SPINE_MEASURES, keep_null=("cac",)))
+
+
 def _with_customer_counts(spine_parts: list[DataFrame], subscriptions: DataFrame) -> DataFrame:
     """Merge the spine with churn and active customers, keeping the spine's months only.
 
     Months that only carry a presence change still count towards the running
     sum, so they leave after it.
     """
-    spine = [part.withColumn("in_spine", F.lit(True)) for part in spine_parts]
+    spine = [part.selectExpr("*", "true AS in_spine") for part in spine_parts]
     return (
         merge_on_period(*spine, churned_customers(subscriptions), _active_changes(subscriptions))
-        .withColumn("active_customers", F.coalesce(running_presence("change"), F.lit(0)))
+        .selectExpr("*", f"coalesce({running_presence('change')}, 0) AS active_customers")
         .filter("in_spine")
         .drop("in_spine", "change")
     )
 
 
-def _burn(cogs: str, sales_marketing: str, rnd: str, ga: str) -> Column:
-    return F.col(sales_marketing) + F.col(rnd) + F.col(ga) + F.col(cogs) - F.col("revenue")
-
-
-def _margins(df: DataFrame, cogs: str, burn: Column) -> DataFrame:
-    """Churn, margin, burn, runway and ARPU; a ratio is NULL where it is undefined."""
-    active, revenue = F.col("active_customers"), F.col("revenue")
-    return df.withColumns(
-        {
-            "churn_pct": ratio(F.col("churned_customers"), active, when=active > 0),
-            "gross_margin": ratio(revenue - F.col(cogs), revenue, when=revenue != 0),
-            "burn_rate": burn,
-            "arpu": ratio(revenue, active, when=active > 0),
-        }
-    ).withColumn("runway_months", ratio(F.col("ending_cash"), F.col("burn_rate"), when=F.col("burn_rate") > 0))
-
-
-def _lifetime_value(df: DataFrame) -> DataFrame:
-    churn, cac = F.col("churn_pct"), F.col("cac")
-    return df.withColumn(
-        "ltv", ratio(F.col("arpu") * F.col("gross_margin"), churn, when=churn > 0)
-    ).withColumn("ltv_cac", ratio(F.col("ltv"), cac, when=cac > 0))
+def _margins(cogs: str, burn: str) -> list[str]:
+    """Churn, margin, burn and ARPU; a ratio is NULL where it is undefined."""
+    return [
+        f"{ratio('churned_customers', 'active_customers', when='active_customers > 0')} AS churn_pct",
+        f"{ratio(f'revenue - {cogs}', 'revenue', when='revenue <> 0')} AS gross_margin",
+        f"{burn} - revenue AS burn_rate",
+        f"{ratio('revenue', 'active_customers', when='active_customers > 0')} AS arpu",
+    ]
 
 
-MONTHLY_KPI_COLUMNS = [
-    "period",
-    *_SPINE_ZEROS[:-1],
-    "cac",
-    "ending_cash",
-    "active_customers",
-    "churned_customers",
-    "churn_pct",
-    "gross_margin",
-    "burn_rate",
-    "runway_months",
-    "arpu",
-    "ltv",
-    "ltv_cac",
-    "prior_month_arr",
-    "arr_growth_pct",
+# Formulas over the margins; the second needs the first.
+_LIFETIME = [
+    f"{ratio('ending_cash', 'burn_rate', when='burn_rate > 0')} AS runway_months",
+    f"{ratio('arpu * gross_margin', 'churn_pct', when='churn_pct > 0')} AS ltv",
 ]
+_LTV_CAC = f"{ratio('ltv', 'cac', when='cac > 0')} AS ltv_cac"
 
 
 def monthly_kpis(star: dict[str, DataFrame]) -> DataFrame:
     """The monthly KPI view: one row per month with activity, in month order."""
     counted = _with_customer_counts(_spine_parts(star), star["fact_subscription"])
-    kpis = _lifetime_value(
-        _margins(
-            counted.fillna(0, [*_SPINE_ZEROS, "churned_customers"]),
-            "cogs",
-            _burn("cogs", "sales_marketing", "rnd", "ga"),
+    kpis = (
+        counted.selectExpr(
+            "period", *_zero_filled([*SPINE_MEASURES, "active_customers", "churned_customers"], keep_null=("cac",))
         )
+        .selectExpr("*", *_margins("cogs", "sales_marketing + rnd + ga + cogs"))
+        .selectExpr("*", *_LIFETIME)
+        .selectExpr("*", _LTV_CAC)
     )
     return with_arr_growth(kpis).select(*MONTHLY_KPI_COLUMNS).orderBy("period")
 
 
 def with_arr_growth(months: DataFrame) -> DataFrame:
     """Booked ARR of the previous row and the growth over it; a month gap is stepped over."""
-    arr, prior = F.col("new_arr_booked"), F.col("prior_month_arr")
-    return months.withColumn(
-        "prior_month_arr", F.lag("new_arr_booked").over(Window.orderBy("period"))
-    ).withColumn("arr_growth_pct", ratio(arr - prior, prior, when=prior != 0))
+    growth = ratio("new_arr_booked - prior_month_arr", "prior_month_arr", when="prior_month_arr <> 0")
+    return months.selectExpr("*", "lag(new_arr_booked) OVER (ORDER BY period) AS prior_month_arr").selectExpr(
+        "*", f"{growth} AS arr_growth_pct"
+    )
 
 
 def exec_summary(kpis: DataFrame) -> DataFrame:
@@ -227,37 +232,11 @@ def exec_summary(kpis: DataFrame) -> DataFrame:
         "latest_cac": "cac",
         "latest_ltv_cac": "ltv_cac",
     }
-    return kpis.agg(
-        F.max("period").alias("latest_period"),
-        *[F.max_by(column, "period").alias(name) for name, column in latest.items()],
+    return kpis.selectExpr(
+        "max(period) AS latest_period", *[f"max_by({column}, period) AS {name}" for name, column in latest.items()]
     )
 
 
-KPI_BASE_COLUMNS = [
-    "period",
-    "revenue",
-    "new_customers",
-    "new_arr_booked",
-    "customer_signups",
-    *GL_CATEGORIES,
-    "total_marketing_spend",
-    "marketing_won_customers",
-    "leads",
-    "cac",
-    "ending_cash",
-    "active_customers",
-    "churned_customers",
-    "churn_pct",
-    "gross_margin",
-    "burn_rate",
-    "runway_months",
-    "arr_growth_pct",
-    "arpu",
-    "ltv",
-    "ltv_cac",
-]
-
-
 def kpi_base(star: dict[str, DataFrame]) -> DataFrame:
     """The wide monthly base table.
 
@@ -274,14 +253,17 @@ def kpi_base(star: dict[str, DataFrame]) -> DataFrame:
     ]
     counted = _with_customer_counts(parts, star["fact_subscription"])
     cash = star["fact_cash"].select("period", "entity", "ending_cash")
-    months = counted.join(cash, "period", "left").fillna(0)
-    kpis = _lifetime_value(_margins(months, "COGS", _burn("COGS", "Sales & Marketing", "R&D", "G&A")))
-    prior = F.lag("new_arr_booked").over(Window.orderBy("period", "entity"))
+    by_entity = "OVER (ORDER BY period, entity)"
+    growth = ratio("new_arr_booked", f"lag(new_arr_booked) {by_entity}", when=f"lag(new_arr_booked) {by_entity} <> 0")
+    filled = [c for c in counted.columns if c != "period"] + ["ending_cash"]
     return (
-        kpis.withColumn("_prior", prior)
-        .withColumn("arr_growth_pct", ratio(F.col("new_arr_booked"), F.col("_prior"), when=F.col("_prior") != 0) - 1)
+        counted.join(cash, "period", "left")
+        .selectExpr("period", "entity", *_zero_filled(filled))
+        .selectExpr("*", *_margins("`COGS`", "`Sales & Marketing` + `R&D` + `G&A` + `COGS`"), f"{growth} - 1 AS arr_growth_pct")
+        .selectExpr("*", *_LIFETIME)
+        .selectExpr("*", _LTV_CAC)
         .orderBy("period", "entity")
-        .select(*KPI_BASE_COLUMNS)
+        .select(*[f"`{c}`" for c in KPI_BASE_COLUMNS])
     )
 
 

@@ -7,10 +7,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+from saldo.functions.text import literals
 from saldo.functions.values import round2
+from saldo.operators.aggregate import aggregate
 from saldo.operators.checks import count_if, nulls, run_checks, surplus_duplicates, unexpected_values
 
 # The labels a clean column may hold.
@@ -54,103 +55,87 @@ PROFILED_KPIS = [
     "ltv_cac",
 ]
 
-Checks = dict[str, dict[str, Column]]
+# Counters by table and name, as SQL aggregates.
+Checks = dict[str, dict[str, str]]
 
+DUPLICATES: Checks = {
+    "customers": {"duplicate_customer_id": surplus_duplicates("customer_id")},
+    "subscriptions": {"duplicate_subscription_id": surplus_duplicates("subscription_id")},
+    "invoices": {"duplicate_invoice_id": surplus_duplicates("invoice_id")},
+    "gl": {"duplicate_gl_txn_id": surplus_duplicates("gl_txn_id")},
+    "cash": {"duplicate_cash_rows": surplus_duplicates("period", "entity")},
+    "kpi_base": {"duplicate_kpi_periods": surplus_duplicates("period")},
+}
 
-def duplicate_checks() -> Checks:
-    return {
-        "customers": {"duplicate_customer_id": surplus_duplicates("customer_id")},
-        "subscriptions": {"duplicate_subscription_id": surplus_duplicates("subscription_id")},
-        "invoices": {"duplicate_invoice_id": surplus_duplicates("invoice_id")},
-        "gl": {"duplicate_gl_txn_id": surplus_duplicates("gl_txn_id")},
-        "cash": {"duplicate_cash_rows": surplus_duplicates("period", "entity")},
-        "kpi_base": {"duplicate_kpi_periods": surplus_duplicates("period")},
-    }
-
+CRITICAL_NULLS: Checks = {
+    table: {f"null_{table}_{column}": nulls(column) for column in columns}
+    for table, columns in CRITICAL_COLUMNS.items()
+}
 
-def null_checks() -> Checks:
-    return {
-        table: {f"null_{table}_{column}": nulls(column) for column in columns}
-        for table, columns in CRITICAL_COLUMNS.items()
-    }
+ALLOWED_VALUES: Checks = {
+    "customers": {
+        "unexpected_customer_statuses": unexpected_values("account_status", CUSTOMER_STATUSES),
+        "unexpected_region_values": unexpected_values("region", REGIONS),
+    },
+    "subscriptions": {
+        "unexpected_subscription_statuses": unexpected_values("subscription_status", SUBSCRIPTION_STATUSES),
+        "unexpected_currency_values": unexpected_values("currency", CURRENCIES),
+    },
+    "invoices": {"unexpected_invoice_statuses": unexpected_values("invoice_status", INVOICE_STATUSES)},
+    "gl": {"unexpected_gl_categories": unexpected_values("account_category", GL_CATEGORIES)},
+    "cash": {"unexpected_entity_values": unexpected_values("entity", ENTITIES)},
+}
 
 
-def allowed_value_checks() -> Checks:
+def date_order(as_of: str | None = None) -> Checks:
+    """Dates out of order; a signup is in the future of the given day or of today."""
+    today = f"DATE'{as_of}'" if as_of else "current_date()"
     return {
-        "customers": {
-            "unexpected_customer_statuses": unexpected_values("account_status", CUSTOMER_STATUSES),
-            "unexpected_region_values": unexpected_values("region", REGIONS),
-        },
-        "subscriptions": {
-            "unexpected_subscription_statuses": unexpected_values("subscription_status", SUBSCRIPTION_STATUSES),
-            "unexpected_currency_values": unexpected_values("currency", CURRENCIES),
-        },
-        "invoices": {"unexpected_invoice_statuses": unexpected_values("invoice_status", INVOICE_STATUSES)},
-        "gl": {"unexpected_gl_categories": unexpected_values("account_category", GL_CATEGORIES)},
-        "cash": {"unexpected_entity_values": unexpected_values("entity", ENTITIES)},
+        "customers": {"future_signup_dates": count_if(f"signup_date > {today}")},
+        "subscriptions": {"bad_subscription_dates": count_if("end_date < start_date")},
+        "invoices": {"bad_invoice_dates": count_if("due_date < invoice_date")},
     }
 
 
-def date_order_checks(as_of: str | None = None) -> Checks:
-    today = F.lit(as_of).cast("date") if as_of else F.current_date()
-    return {
-        "customers": {"future_signup_dates": count_if(F.col("signup_date") > today)},
-        "subscriptions": {"bad_subscription_dates": count_if(F.col("end_date") < F.col("start_date"))},
-        "invoices": {"bad_invoice_dates": count_if(F.col("due_date") < F.col("invoice_date"))},
-    }
-
+BUSINESS_RULES: Checks = {
+    "subscriptions": {
+        "nonpositive_mrr_rows": count_if("mrr <= 0"),
+        "nonpositive_arr_rows": count_if("arr <= 0"),
+    },
+    "sales_marketing": {
+        "negative_spend_rows": count_if("spend < 0"),
+        "negative_won_customers_rows": count_if("won_customers < 0"),
+        "negative_leads_rows": count_if("leads < 0"),
+    },
+    "cash": {"null_ending_cash_rows": nulls("ending_cash")},
+}
 
-def business_rule_checks() -> Checks:
-    return {
-        "subscriptions": {
-            "nonpositive_mrr_rows": count_if(F.col("mrr") <= 0),
-            "nonpositive_arr_rows": count_if(F.col("arr") <= 0),
-        },
-        "sales_marketing": {
-            "negative_spend_rows": count_if(F.col("spend") < 0),
-            "negative_won_customers_rows": count_if(F.col("won_customers") < 0),
-            "negative_leads_rows": count_if(F.col("leads") < 0),
-        },
-        "cash": {"null_ending_cash_rows": nulls("ending_cash")},
+_EXPECTED_TOTAL = round2("coalesce(amount, 0) + coalesce(tax, 0)")
+INVOICE_MATH: Checks = {
+    "invoices": {
+        "bad_invoice_math": count_if(f"{round2(f'{_EXPECTED_TOTAL} - coalesce(total_amount, 0)')} <> 0"),
+        "void_flag_mismatch": count_if("NOT (is_void <=> coalesce(invoice_status = 'Void', false))"),
     }
+}
 
+_EXPECTED_CAC = f"CASE WHEN won_customers > 0 THEN {round2('spend / won_customers')} END"
+CAC: Checks = {"sales_marketing": {"cac_mismatch_rows": count_if(f"NOT ({round2('cac')} <=> {_EXPECTED_CAC})")}}
 
-def invoice_math_checks() -> Checks:
-    zero = F.lit(0.0)
-    expected = round2(F.coalesce("amount", zero) + F.coalesce("tax", zero))
-    is_void = F.coalesce(F.col("invoice_status") == "Void", F.lit(False))
-    return {
-        "invoices": {
-            "bad_invoice_math": count_if(round2(expected - F.coalesce("total_amount", zero)) != 0),
-            "void_flag_mismatch": count_if(~F.col("is_void").eqNullSafe(is_void)),
-        }
-    }
-
-
-def cac_checks() -> Checks:
-    won = F.col("won_customers")
-    expected = F.when(won > 0, round2(F.col("spend") / won))
-    return {"sales_marketing": {"cac_mismatch_rows": count_if(~round2(F.col("cac")).eqNullSafe(expected))}}
-
-
-def zero_win_cac_checks() -> Checks:
-    """Reported beside the CAC check, but not part of the issue total."""
-    wrong = (F.col("won_customers") <= 0) & F.col("cac").isNotNull()
-    return {"sales_marketing": {"zero_win_with_cac_rows": count_if(wrong)}}
-
+# Reported beside the CAC check, but not part of the issue total.
+ZERO_WIN_CAC: Checks = {
+    "sales_marketing": {"zero_win_with_cac_rows": count_if("won_customers <= 0 AND cac IS NOT NULL")}
+}
 
-def kpi_range_checks() -> Checks:
-    outside = lambda name, low, high: count_if((F.col(name) < low) | (F.col(name) > high))
-    return {
-        "kpi_base": {
-            "negative_kpi_revenue_rows": count_if(F.col("revenue") < 0),
-            "negative_active_customer_rows": count_if(F.col("active_customers") < 0),
-            "suspicious_churn_rows": outside("churn_pct", 0, 1.5),
-            "suspicious_gross_margin_rows": outside("gross_margin", -5, 5),
-            "negative_runway_rows": count_if(F.col("runway_months") < 0),
-            "negative_cac_rows": count_if(F.col("cac") < 0),
-        }
+KPI_RANGES: Checks = {
+    "kpi_base": {
+        "negative_kpi_revenue_rows": count_if("revenue < 0"),
+        "negative_active_customer_rows": count_if("active_customers < 0"),
+        "suspicious_churn_rows": count_if("churn_pct NOT BETWEEN 0 AND 1.5"),
+        "suspicious_gross_margin_rows": count_if("gross_margin NOT BETWEEN -5 AND 5"),
+        "negative_runway_rows": count_if("runway_months < 0"),
+        "negative_cac_rows": count_if("cac < 0"),
     }
+}
 
 
 def check_tables(tables: dict[str, DataFrame], *groups: Checks) -> DataFrame:
@@ -166,60 +151,54 @@ def check_tables(tables: dict[str, DataFrame], *groups: Checks) -> DataFrame:
 
 def issue_summary(tables: dict[str, DataFrame], as_of: str | None = None) -> DataFrame:
     """All 32 counters with their total and the verdict; the critical NULL counts are one counter."""
-    counters = check_tables(
-        tables,
-        duplicate_checks(),
-        null_checks(),
-        allowed_value_checks(),
-        date_order_checks(as_of),
-        business_rule_checks(),
-        invoice_math_checks(),
-        cac_checks(),
-        kpi_range_checks(),
-    )
-    critical = [f"null_{table}_{column}" for table, columns in CRITICAL_COLUMNS.items() for column in columns]
-    name = F.when(F.col("check_name").isin(critical), "critical_nulls_total").otherwise(F.col("check_name"))
-    total = F.sum("issues").over(Window.partitionBy())
+    groups = [
+        DUPLICATES, CRITICAL_NULLS, ALLOWED_VALUES, date_order(as_of), BUSINESS_RULES, INVOICE_MATH, CAC, KPI_RANGES,
+    ]
+    counters = check_tables(tables, *groups)
+    critical = literals([name for checks in CRITICAL_NULLS.values() for name in checks])
+    name = f"CASE WHEN check_name IN ({critical}) THEN 'critical_nulls_total' ELSE check_name END AS check_name"
     return (
-        counters.groupBy(name.alias("check_name"))
-        .agg(F.sum("issues").alias("issues"))
-        .withColumn("total_issues", total)
-        .withColumn("verdict", F.when(F.col("total_issues") == 0, "PASS").otherwise("WARNING"))
+        aggregate(counters, [name], {"issues": "sum(issues)"})
+        .selectExpr("*", "sum(issues) OVER () AS total_issues")
+        .selectExpr("*", "CASE WHEN total_issues = 0 THEN 'PASS' ELSE 'WARNING' END AS verdict")
     )
 
 
+# Counters of the raw audit, by table and figure.
+AUDIT_COUNTS: Checks = {
+    "customers": {
+        "rows": "count(*)",
+        "duplicate customer_id": surplus_duplicates("customer_id"),
+        "missing industry": nulls("industry"),
+    },
+    "subscriptions": {"rows": "count(*)"},
+    "invoices": {"rows": "count(*)", "duplicate invoice_id": surplus_duplicates("invoice_id")},
+    "gl": {"rows": "count(*)"},
+}
+AUDIT_VALUES = [
+    ("customers", "account_status"),
+    ("subscriptions", "subscription_status"),
+    ("subscriptions", "currency"),
+    ("invoices", "invoice_status"),
+]
+
+
 def raw_audit(raw: dict[str, DataFrame], name_sample: int = 15) -> DataFrame:
     """Profile of the raw tables, before any cleaning: (table_name, figure, value), one row per listed value."""
-    counts = {
-        "customers": {
-            "rows": F.count("*"),
-            "duplicate customer_id": surplus_duplicates("customer_id"),
-            "missing industry": nulls("industry"),
-        },
-        "subscriptions": {"rows": F.count("*")},
-        "invoices": {"rows": F.count("*"), "duplicate invoice_id": surplus_duplicates("invoice_id")},
-        "gl": {"rows": F.count("*")},
-    }
-    listed = [
-        ("customers", "account_status"),
-        ("subscriptions", "subscription_status"),
-        ("subscriptions", "currency"),
-        ("invoices", "invoice_status"),
-    ]
     figures = [
-        run_checks(raw[table], table, checks).select(
-            "table_name", F.col("check_name").alias("figure"), F.col("issues").cast("string").alias("value")
+        run_checks(raw[table], table, checks).selectExpr(
+            "table_name", "check_name AS figure", "CAST(issues AS STRING) AS value"
         )
-        for table, checks in counts.items()
+        for table, checks in AUDIT_COUNTS.items()
     ]
-    values = [_distinct_values(raw[table], table, column) for table, column in listed]
+    values = [_distinct_values(raw[table], table, column) for table, column in AUDIT_VALUES]
     names = _distinct_values(raw["gl"], "gl", "account_name").orderBy("value").limit(name_sample)
     return reduce(DataFrame.unionByName, [*figures, *values, names])
 
 
 def _distinct_values(df: DataFrame, table: str, column: str) -> DataFrame:
     return (
-        df.filter(F.col(column).isNotNull())
-        .select(F.lit(table).alias("table_name"), F.lit(f"{column} value").alias("figure"), F.col(column).alias("value"))
+        df.filter(f"{column} IS NOT NULL")
+        .selectExpr(f"'{table}' AS table_name", f"'{column} value' AS figure", f"{column} AS value")
         .distinct()
     )

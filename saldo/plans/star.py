@@ -5,9 +5,9 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from saldo.functions.values import month_start
+from saldo.operators.aggregate import aggregate
 
 # Date columns of each clean table that feed the date dimension.
 DATE_COLUMNS = {
@@ -27,25 +27,25 @@ def dim_date(clean: dict[str, DataFrame]) -> DataFrame:
     union: its map side already reduces every task to the dates it has seen.
     """
     dates = [
-        clean[table].select(F.explode(F.array(*columns)).alias("date_key")).filter("date_key is not null")
+        clean[table].selectExpr(f"stack({len(columns)}, {', '.join(columns)}) AS date_key").filter("date_key IS NOT NULL")
         for table, columns in DATE_COLUMNS.items()
     ]
-    return reduce(DataFrame.union, dates).distinct().select("date_key", *_calendar("date_key", with_start=True))
+    return reduce(DataFrame.union, dates).distinct().selectExpr(
+        "date_key", *_calendar("date_key"), f"{month_start('date_key')} AS month_start"
+    )
 
 
 def dim_month(dates: DataFrame) -> DataFrame:
     months = dates.select("month_start").distinct()
-    return months.select("month_start", *_calendar("month_start")).orderBy("month_start")
+    return months.selectExpr("month_start", *_calendar("month_start")).orderBy("month_start")
 
 
-def _calendar(date: str, with_start: bool = False) -> list:
-    d = F.col(date)
+def _calendar(d: str) -> list[str]:
     return [
-        F.year(d).alias("year"),
-        F.month(d).alias("month_num"),
-        F.date_format(d, "yyyy-MM").alias("year_month"),
-        *([month_start(d).alias("month_start")] if with_start else []),
-        F.quarter(d).alias("quarter_num"),
+        f"year({d}) AS year",
+        f"month({d}) AS month_num",
+        f"date_format({d}, 'yyyy-MM') AS year_month",
+        f"quarter({d}) AS quarter_num",
     ]
 
 
@@ -70,20 +70,17 @@ def dim_plan(subscriptions: DataFrame) -> DataFrame:
 
 def dim_account(gl: DataFrame) -> DataFrame:
     """One row per account code; name and category are smallest values of their own."""
-    return (
-        gl.filter("account_code is not null")
-        .groupBy("account_code")
-        .agg(F.min("account_name").alias("account_name"), F.min("account_category").alias("account_category"))
-    )
+    smallest = {"account_name": "min(account_name)", "account_category": "min(account_category)"}
+    return aggregate(gl.filter("account_code IS NOT NULL"), ["account_code"], smallest)
 
 
 def fact_revenue(invoices: DataFrame) -> DataFrame:
-    return invoices.select(
+    return invoices.selectExpr(
         "invoice_id",
         "customer_id",
         "subscription_id",
         "invoice_date",
-        month_start(F.col("invoice_date")).alias("period"),
+        f"{month_start('invoice_date')} AS period",
         "due_date",
         "amount",
         "tax",
@@ -94,11 +91,11 @@ def fact_revenue(invoices: DataFrame) -> DataFrame:
 
 
 def fact_subscription(subscriptions: DataFrame) -> DataFrame:
-    return subscriptions.select(
+    return subscriptions.selectExpr(
         "subscription_id",
         "customer_id",
         "start_date",
-        month_start(F.col("start_date")).alias("period"),
+        f"{month_start('start_date')} AS period",
         "end_date",
         "plan_name",
         "mrr",
@@ -110,10 +107,10 @@ def fact_subscription(subscriptions: DataFrame) -> DataFrame:
 
 
 def fact_gl(gl: DataFrame) -> DataFrame:
-    return gl.select(
+    return gl.selectExpr(
         "gl_txn_id",
         "txn_date",
-        month_start(F.col("txn_date")).alias("period"),
+        f"{month_start('txn_date')} AS period",
         "account_code",
         "account_name",
         "account_category",
@@ -165,7 +162,7 @@ COUNTED_TABLES = (
 
 def mart_row_counts(star: dict[str, DataFrame]) -> DataFrame:
     counts = [
-        star[name].agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        star[name].selectExpr("count(*) AS row_count").selectExpr(f"'{name}' AS table_name", "row_count")
         for name in COUNTED_TABLES
     ]
     return reduce(DataFrame.unionByName, counts)

@@ -9,126 +9,106 @@ run sees the same data.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from saldo.functions.values import round2
+from saldo.operators.aggregate import aggregate
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _pick(key: str, values: list[str | float | None]) -> Column:
+def _pick(key: str, *values: str | float | None) -> str:
     """The list entry at the key's remainder."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (F.col(key) % len(values) + 1).cast("int"))
+    items = ", ".join("NULL" if v is None else f"'{v}'" if isinstance(v, str) else f"{v}D" for v in values)
+    return f"array({items})[CAST({key} % {len(values)} AS INT)]"
 
 
-def _null_at(key: str, every: int, value: Column) -> Column:
-    return F.when(F.col(key) % every != 0, value)
+def _null_at(key: str, every: int, value: str) -> str:
+    return f"CASE WHEN {key} % {every} <> 0 THEN {value} END"
 
 
 def _copies(df: DataFrame, key: str, every: int) -> DataFrame:
     """Repeat the rows of some keys once, numbered by ``copy``."""
-    numbers = F.when(F.col(key) % every == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return df.withColumn("copy", F.explode(numbers))
+    return df.selectExpr("*", f"explode(CASE WHEN {key} % {every} = 0 THEN array(0, 1) ELSE array(0) END) AS copy")
 
 
-def _padded(key: str, every: int) -> Column:
-    text = F.col(key).cast("string")
-    return F.when(F.col(key) % every == 0, F.concat(text, F.lit(" "))).otherwise(text)
-
-
-def _date(name: str) -> Column:
-    return F.col(name).cast("date")
+def _padded(key: str, every: int) -> str:
+    return f"concat(CAST({key} AS STRING), CASE WHEN {key} % {every} = 0 THEN ' ' ELSE '' END)"
 
 
 def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
-    first_order = (
-        _table(spark, folder, "orders")
-        .groupBy(F.col("o_custkey").alias("c_custkey"))
-        .agg(F.min(_date("o_orderdate")).alias("first_order"))
+    first_order = aggregate(
+        _table(spark, folder, "orders"), ["o_custkey AS c_custkey"], {"first_order": "min(CAST(o_orderdate AS DATE))"}
     )
-    nation = _table(spark, folder, "nation")
-    region = _table(spark, folder, "region")
+    nation = _table(spark, folder, "nation").selectExpr("n_nationkey AS c_nationkey", "n_name", "n_regionkey")
+    region = _table(spark, folder, "region").selectExpr("r_regionkey AS n_regionkey", "r_name")
     customer = _copies(_table(spark, folder, "customer"), "c_custkey", 50)
-    joined = (
-        customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .join(first_order, "c_custkey", "left")
-    )
-    region_spelling = (
-        F.when(F.col("r_name") == "AMERICA", _pick("c_custkey", ["North America", "north america", "NA"]))
-        .when(F.col("r_name") == "EUROPE", _pick("c_custkey", ["EMEA", "emea "]))
-        .when(F.col("r_name") == "ASIA", _pick("c_custkey", ["APAC", "apac"]))
-        .otherwise(F.col("r_name"))
-    )
-    return joined.select(
-        _padded("c_custkey", 13).alias("customer_id"),
-        F.when(F.col("copy") == 1, F.upper("c_name")).otherwise(F.col("c_name")).alias("customer_name"),
-        _null_at("c_custkey", 10, F.col("c_mktsegment")).alias("industry"),
-        region_spelling.alias("region"),
-        _null_at("c_custkey", 20, F.col("n_name")).alias("country"),
-        _null_at("c_custkey", 33, F.col("first_order")).alias("signup_date"),
-        _pick(
-            "c_custkey", ["Organic", "Paid Search", "Partner", "Outbound", "Referral", "paid search", "REFERRAL"]
-        ).alias("acquisition_channel"),
-        _pick("c_custkey", ["Active", "Churned", "active", "ACTIVE ", " paused ", None]).alias("account_status"),
-        _null_at("c_custkey", 40, _pick("c_custkey", ["Basic", "Growth", "Pro", "Enterprise", "enterprise "])).alias(
-            "plan_name"
-        ),
-        _pick("c_custkey", ["Monthly", "Annual", "monthly", "annual"]).alias("billing_frequency"),
+    joined = customer.join(nation, "c_nationkey").join(region, "n_regionkey").join(first_order, "c_custkey", "left")
+    region_spelling = f"""CASE r_name
+        WHEN 'AMERICA' THEN {_pick('c_custkey', 'North America', 'north america', 'NA')}
+        WHEN 'EUROPE' THEN {_pick('c_custkey', 'EMEA', 'emea ')}
+        WHEN 'ASIA' THEN {_pick('c_custkey', 'APAC', 'apac')}
+        ELSE r_name END"""
+    channel = _pick("c_custkey", "Organic", "Paid Search", "Partner", "Outbound", "Referral", "paid search", "REFERRAL")
+    plan = _pick("c_custkey", "Basic", "Growth", "Pro", "Enterprise", "enterprise ")
+    return joined.selectExpr(
+        f"{_padded('c_custkey', 13)} AS customer_id",
+        "CASE WHEN copy = 1 THEN upper(c_name) ELSE c_name END AS customer_name",
+        f"{_null_at('c_custkey', 10, 'c_mktsegment')} AS industry",
+        f"{region_spelling} AS region",
+        f"{_null_at('c_custkey', 20, 'n_name')} AS country",
+        f"{_null_at('c_custkey', 33, 'first_order')} AS signup_date",
+        f"{channel} AS acquisition_channel",
+        f"{_pick('c_custkey', 'Active', 'Churned', 'active', 'ACTIVE ', ' paused ', None)} AS account_status",
+        f"{_null_at('c_custkey', 40, plan)} AS plan_name",
+        f"{_pick('c_custkey', 'Monthly', 'Annual', 'monthly', 'annual')} AS billing_frequency",
     )
 
 
 def raw_subscriptions(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("o_orderkey")
-    start = _date("o_orderdate")
-    end = F.when(key % 33 == 0, F.date_sub(start, 30)).when(
-        F.col("o_orderstatus") == "F", F.date_add(start, (key % 420 + 120).cast("int"))
-    )
-    price = round2(F.col("o_totalprice") / 1000)
-    signed = F.when(key % 31 == 0, -price).otherwise(price)
-    mrr = F.when(F.col("copy") == 1, signed * 1.1).otherwise(signed)
-    status = (
-        F.when(F.col("o_orderstatus") == "F", _pick("o_orderkey", ["cancelled", "CANCELLED"]))
-        .when(F.col("o_orderstatus") == "O", _pick("o_orderkey", ["Active", "active"]))
-        .otherwise("paused ")
-    )
-    return _copies(_table(spark, folder, "orders"), "o_orderkey", 50).select(
-        _padded("o_orderkey", 7).alias("subscription_id"),
-        _padded("o_custkey", 13).alias("customer_id"),
-        _null_at("o_orderkey", 97, start).alias("start_date"),
-        end.alias("end_date"),
-        _null_at("o_orderkey", 40, _pick("o_orderkey", ["Basic", "Growth", "Pro", "Enterprise", "enterprise "])).alias(
-            "plan_name"
-        ),
-        _null_at("o_orderkey", 71, mrr).alias("mrr"),
-        (mrr * 12).alias("arr"),
-        _null_at("o_orderkey", 29, status).alias("subscription_status"),
-        _pick("o_orderkey", [0.0, 5.0, 10.0, 15.0, 20.0, None]).alias("discount_pct"),
-        _pick("o_orderkey", ["USD", "usd", "Usd", "US$", "CAD", "cad", None]).alias("currency"),
+    start = "CAST(o_orderdate AS DATE)"
+    end = f"""CASE WHEN o_orderkey % 33 = 0 THEN date_sub({start}, 30)
+        WHEN o_orderstatus = 'F' THEN date_add({start}, CAST(o_orderkey % 420 + 120 AS INT)) END"""
+    price = round2("o_totalprice / 1000")
+    mrr = f"CASE WHEN o_orderkey % 31 = 0 THEN -{price} ELSE {price} END * CASE WHEN copy = 1 THEN 1.1D ELSE 1D END"
+    status = f"""CASE o_orderstatus WHEN 'F' THEN {_pick('o_orderkey', 'cancelled', 'CANCELLED')}
+        WHEN 'O' THEN {_pick('o_orderkey', 'Active', 'active')} ELSE 'paused ' END"""
+    plan = _pick("o_orderkey", "Basic", "Growth", "Pro", "Enterprise", "enterprise ")
+    return _copies(_table(spark, folder, "orders"), "o_orderkey", 50).selectExpr(
+        f"{_padded('o_orderkey', 7)} AS subscription_id",
+        f"{_padded('o_custkey', 13)} AS customer_id",
+        f"{_null_at('o_orderkey', 97, start)} AS start_date",
+        f"{end} AS end_date",
+        f"{_null_at('o_orderkey', 40, plan)} AS plan_name",
+        f"{_null_at('o_orderkey', 71, mrr)} AS mrr",
+        f"{mrr} * 12 AS arr",
+        f"{_null_at('o_orderkey', 29, status)} AS subscription_status",
+        f"{_pick('o_orderkey', 0.0, 5.0, 10.0, 15.0, 20.0, None)} AS discount_pct",
+        f"{_pick('o_orderkey', 'USD', 'usd', 'Usd', 'US$', 'CAD', 'cad', None)} AS currency",
     )
 
 
 def raw_invoices(spark: SparkSession, folder: str) -> DataFrame:
-    lineitem = _table(spark, folder, "lineitem")
-    orders = _table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    amount = round2(F.col("l_extendedprice") * (1 - F.col("l_discount")))
-    tax = round2(amount * F.col("l_tax"))
-    status = (
-        F.when(F.col("l_returnflag") == "R", "VOID").when(F.col("l_returnflag") == "A", "paid").otherwise("Open ")
-    )
-    return lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("invoice_id"),
-        _padded("o_custkey", 13).alias("customer_id"),
-        F.col("l_orderkey").cast("string").alias("subscription_id"),
-        _null_at("l_partkey", 101, _date("l_shipdate")).alias("invoice_date"),
-        _null_at("l_partkey", 47, F.date_add(_date("o_orderdate"), 30)).alias("due_date"),
-        amount.alias("amount"),
-        _null_at("l_suppkey", 43, tax).alias("tax"),
-        round2(amount + tax + F.when(F.col("l_partkey") % 20 == 0, 12.34).otherwise(0.0)).alias("total_amount"),
-        _null_at("l_partkey", 37, status).alias("invoice_status"),
+    orders = _table(spark, folder, "orders").selectExpr("o_orderkey AS l_orderkey", "o_custkey", "o_orderdate")
+    amount = round2("l_extendedprice * (1 - l_discount)")
+    tax = round2(f"{amount} * l_tax")
+    status = "CASE l_returnflag WHEN 'R' THEN 'VOID' WHEN 'A' THEN 'paid' ELSE 'Open ' END"
+    return (
+        _table(spark, folder, "lineitem")
+        .join(orders, "l_orderkey")
+        .selectExpr(
+            "concat_ws('-', l_orderkey, l_linenumber) AS invoice_id",
+            f"{_padded('o_custkey', 13)} AS customer_id",
+            "CAST(l_orderkey AS STRING) AS subscription_id",
+            f"{_null_at('l_partkey', 101, 'CAST(l_shipdate AS DATE)')} AS invoice_date",
+            f"{_null_at('l_partkey', 47, 'date_add(CAST(o_orderdate AS DATE), 30)')} AS due_date",
+            f"{amount} AS amount",
+            f"{_null_at('l_suppkey', 43, tax)} AS tax",
+            f"{round2(f'{amount} + {tax} + CASE WHEN l_partkey % 20 = 0 THEN 12.34D ELSE 0D END')} AS total_amount",
+            f"{_null_at('l_partkey', 37, status)} AS invoice_status",
+        )
     )
 
 
@@ -143,64 +123,56 @@ _ACCOUNTS = {
 }
 
 
-def _by_part_type(entry: int) -> Column:
-    pairs = [F.lit(v) for part_type, account in _ACCOUNTS.items() for v in (part_type, account[entry])]
-    return F.create_map(*pairs)[F.col("p_type")]
+def _by_part_type(entry: int) -> str:
+    whens = [f"WHEN '{part_type}' THEN '{account[entry]}'" for part_type, account in _ACCOUNTS.items()]
+    return f"CASE p_type {' '.join(whens)} END"
 
 
 def raw_gl(spark: SparkSession, folder: str) -> DataFrame:
-    part = _table(spark, folder, "part").select("p_partkey", "p_type", "p_brand")
-    supplier = _table(spark, folder, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    joined = (
-        _table(spark, folder, "lineitem")
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-    )
-    name = F.when(F.col("l_linenumber") % 2 == 0, _by_part_type(1)).otherwise(_by_part_type(2))
-    amount = F.when(F.col("l_linestatus") == "F", -F.col("l_extendedprice")).otherwise(F.col("l_extendedprice"))
-    cost_center = F.when(F.col("l_suppkey") % 10 == 0, "").otherwise(
-        F.concat(F.lit("CC"), (F.col("l_suppkey") % 10).cast("string"))
-    )
-    return joined.select(
-        F.concat(F.lit("GL"), F.concat_ws("-", "l_orderkey", "l_linenumber")).alias("gl_txn_id"),
-        _date("l_shipdate").alias("txn_date"),
-        _null_at("l_partkey", 33, _by_part_type(0)).alias("account_code"),
-        _null_at("l_partkey", 59, name).alias("account_name"),
-        _null_at("l_partkey", 19, F.col("p_brand")).alias("department"),
-        cost_center.alias("cost_center"),
-        _null_at("l_suppkey", 23, F.col("s_name")).alias("vendor_customer"),
-        _null_at("l_partkey", 89, amount).alias("amount"),
-        _pick("l_orderkey", ["DR", "CR", "dr", "cr ", None]).alias("dr_cr"),
-        _pick("s_nationkey", ["SaaS HoldCo", "SaaS Canada", "SaaS US", "saas us"]).alias("entity"),
-        _null_at("l_orderkey", 11, F.concat(F.lit("order "), F.col("l_orderkey").cast("string"))).alias("memo"),
+    part = _table(spark, folder, "part").selectExpr("p_partkey AS l_partkey", "p_type", "p_brand")
+    supplier = _table(spark, folder, "supplier").selectExpr("s_suppkey AS l_suppkey", "s_name", "s_nationkey")
+    joined = _table(spark, folder, "lineitem").join(part, "l_partkey").join(supplier, "l_suppkey")
+    name = f"CASE WHEN l_linenumber % 2 = 0 THEN {_by_part_type(1)} ELSE {_by_part_type(2)} END"
+    amount = "CASE WHEN l_linestatus = 'F' THEN -l_extendedprice ELSE l_extendedprice END"
+    memo = "concat('order ', CAST(l_orderkey AS STRING))"
+    return joined.selectExpr(
+        "concat('GL', concat_ws('-', l_orderkey, l_linenumber)) AS gl_txn_id",
+        "CAST(l_shipdate AS DATE) AS txn_date",
+        f"{_null_at('l_partkey', 33, _by_part_type(0))} AS account_code",
+        f"{_null_at('l_partkey', 59, name)} AS account_name",
+        f"{_null_at('l_partkey', 19, 'p_brand')} AS department",
+        "CASE WHEN l_suppkey % 10 = 0 THEN '' ELSE concat('CC', CAST(l_suppkey % 10 AS STRING)) END AS cost_center",
+        f"{_null_at('l_suppkey', 23, 's_name')} AS vendor_customer",
+        f"{_null_at('l_partkey', 89, amount)} AS amount",
+        f"{_pick('l_orderkey', 'DR', 'CR', 'dr', 'cr ', None)} AS dr_cr",
+        f"{_pick('s_nationkey', 'SaaS HoldCo', 'SaaS Canada', 'SaaS US', 'saas us')} AS entity",
+        f"{_null_at('l_orderkey', 11, memo)} AS memo",
     )
 
 
 def raw_sales_marketing(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("o_orderkey")
-    channels = ["Paid Search", "LinkedIn", "Partner", "Outbound", "Organic", "paid search", "PARTNER"]
-    return _copies(_table(spark, folder, "orders"), "o_orderkey", 60).select(
-        _null_at("o_orderkey", 51, _date("o_orderdate")).alias("period"),
-        _pick("o_orderkey", channels).alias("channel"),
-        _null_at("o_orderkey", 20, F.concat(F.lit("Campaign "), F.col("o_orderpriority"))).alias("campaign_name"),
-        F.when(key % 25 == 0, -F.col("o_totalprice")).otherwise(F.col("o_totalprice")).alias("spend"),
-        _null_at("o_orderkey", 33, (key % 500).cast("double")).alias("leads"),
-        (key % 40 - 1).cast("double").alias("won_customers"),
+    campaign = "concat('Campaign ', o_orderpriority)"
+    channel = _pick("o_orderkey", "Paid Search", "LinkedIn", "Partner", "Outbound", "Organic", "paid search", "PARTNER")
+    return _copies(_table(spark, folder, "orders"), "o_orderkey", 60).selectExpr(
+        f"{_null_at('o_orderkey', 51, 'CAST(o_orderdate AS DATE)')} AS period",
+        f"{channel} AS channel",
+        f"{_null_at('o_orderkey', 20, campaign)} AS campaign_name",
+        "CASE WHEN o_orderkey % 25 = 0 THEN -o_totalprice ELSE o_totalprice END AS spend",
+        f"{_null_at('o_orderkey', 33, 'CAST(o_orderkey % 500 AS DOUBLE)')} AS leads",
+        "CAST(o_orderkey % 40 - 1 AS DOUBLE) AS won_customers",
     )
 
 
 def raw_cash(spark: SparkSession, folder: str) -> DataFrame:
-    joined = (
-        _table(spark, folder, "orders")
-        .join(_table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(_table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    )
-    entities = ["SaaS HoldCo", "saas us", "SaaS Canada", "saas holdco", "SaaS HoldCo "]
-    return joined.select(
-        _null_at("o_orderkey", 53, _date("o_orderdate")).alias("period"),
-        _pick("n_regionkey", entities).alias("entity"),
-        F.col("c_acctbal").alias("beginning_cash"),
-        _null_at("o_orderkey", 25, F.col("o_totalprice")).alias("ending_cash"),
+    customer = _table(spark, folder, "customer").selectExpr("c_custkey AS o_custkey", "c_nationkey", "c_acctbal")
+    nation = _table(spark, folder, "nation").selectExpr("n_nationkey AS c_nationkey", "n_regionkey")
+    joined = _table(spark, folder, "orders").join(customer, "o_custkey").join(nation, "c_nationkey")
+    entity = _pick("n_regionkey", "SaaS HoldCo", "saas us", "SaaS Canada", "saas holdco", "SaaS HoldCo ")
+    return joined.selectExpr(
+        f"{_null_at('o_orderkey', 53, 'CAST(o_orderdate AS DATE)')} AS period",
+        f"{entity} AS entity",
+        "c_acctbal AS beginning_cash",
+        f"{_null_at('o_orderkey', 25, 'o_totalprice')} AS ending_cash",
     )
 
 
