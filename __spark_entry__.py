@@ -14,32 +14,21 @@ import oracles
 from saldo.functions import text as X
 from saldo.operators.checks import describe
 from saldo.plans import billing, cleaning, kpis, quality, star
-from saldo.sources.order_domain import RAW_TABLES
+from saldo.sources import order_domain
+from saldo.sources.tables import LazyTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-class Lazy(dict):
-    """Tables by name, each planned when first asked for."""
-
-    def __init__(self, plan: Callable[[str], DataFrame]) -> None:
-        super().__init__()
-        self.plan = plan
-
-    def __missing__(self, name: str) -> DataFrame:
-        self[name] = self.plan(name)
-        return self[name]
-
-
 class Finance:
     """The layers over one source folder."""
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
-        self.table = lambda name: spark.read.parquet(f"{folder}/{name}.parquet")
-        self.raw = Lazy(lambda name: RAW_TABLES[name](spark, folder))
-        self.clean = Lazy(self._clean)
-        self.star = Lazy(lambda name: star.BUILDERS[name](self.clean))
-        self.kpi_star = Lazy(self._kpi_star)
+        self.source = order_domain.source_tables(spark, folder)
+        self.raw = LazyTables(lambda name: order_domain.BUILDERS[name](self.source))
+        self.clean = LazyTables(self._clean)
+        self.star = LazyTables(lambda name: star.BUILDERS[name](self.clean))
+        self.kpi_star = LazyTables(self._kpi_star)
 
     def _clean(self, name: str) -> DataFrame:
         return kpis.kpi_base(self.kpi_star) if name == "kpi_base" else cleaning.BUILDERS[name](self.raw)
@@ -63,7 +52,7 @@ def _column(table: str, key: str, column: str, standardize: Callable[[str], str]
 
 
 def _clean_text(f: Finance) -> DataFrame:
-    padded = f.table("customer").selectExpr("c_custkey", "concat(' ', c_mktsegment, '  ') AS padded")
+    padded = f.source["customer"].selectExpr("c_custkey", "concat(' ', c_mktsegment, '  ') AS padded")
     return padded.selectExpr("c_custkey", f"{X.clean_text('padded')} AS cleaned")
 
 
@@ -86,7 +75,7 @@ def _arr_growth(f: Finance) -> DataFrame:
 
 PLANS: dict[str, Plan] = {
     "clean_text": _clean_text,
-    "title_case": lambda f: f.table("part").selectExpr(
+    "title_case": lambda f: f.source["part"].selectExpr(
         "p_partkey", f"{X.title_case(X.strip('p_name'))} AS titled"
     ),
     "std_status": _column("customers", "customer_id", "account_status", X.std_status),

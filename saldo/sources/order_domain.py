@@ -9,14 +9,21 @@ run sees the same data.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 from saldo.functions.values import round2
 from saldo.operators.aggregate import aggregate
+from saldo.sources.tables import LazyTables
+
+
+Tables = Mapping[str, DataFrame]
 
 
-def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def source_tables(spark: SparkSession, folder: str) -> Tables:
+    """The order tables of a folder, each read when first used."""
+    return LazyTables(lambda name: spark.read.parquet(f"{folder}/{name}.parquet"))
 
 
 def _pick(key: str, *values: str | float | None) -> str:
@@ -38,13 +45,13 @@ def _padded(key: str, every: int) -> str:
     return f"concat(CAST({key} AS STRING), CASE WHEN {key} % {every} = 0 THEN ' ' ELSE '' END)"
 
 
-def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
+def raw_customers(tables: Tables) -> DataFrame:
     first_order = aggregate(
-        _table(spark, folder, "orders"), ["o_custkey AS c_custkey"], {"first_order": "min(CAST(o_orderdate AS DATE))"}
+        tables["orders"], ["o_custkey AS c_custkey"], {"first_order": "min(CAST(o_orderdate AS DATE))"}
     )
-    nation = _table(spark, folder, "nation").selectExpr("n_nationkey AS c_nationkey", "n_name", "n_regionkey")
-    region = _table(spark, folder, "region").selectExpr("r_regionkey AS n_regionkey", "r_name")
-    customer = _copies(_table(spark, folder, "customer"), "c_custkey", 50)
+    nation = tables["nation"].selectExpr("n_nationkey AS c_nationkey", "n_name", "n_regionkey")
+    region = tables["region"].selectExpr("r_regionkey AS n_regionkey", "r_name")
+    customer = _copies(tables["customer"], "c_custkey", 50)
     joined = customer.join(nation, "c_nationkey").join(region, "n_regionkey").join(first_order, "c_custkey", "left")
     region_spelling = f"""CASE r_name
         WHEN 'AMERICA' THEN {_pick('c_custkey', 'North America', 'north america', 'NA')}
@@ -67,7 +74,7 @@ def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def raw_subscriptions(spark: SparkSession, folder: str) -> DataFrame:
+def raw_subscriptions(tables: Tables) -> DataFrame:
     start = "CAST(o_orderdate AS DATE)"
     end = f"""CASE WHEN o_orderkey % 33 = 0 THEN date_sub({start}, 30)
         WHEN o_orderstatus = 'F' THEN date_add({start}, CAST(o_orderkey % 420 + 120 AS INT)) END"""
@@ -76,7 +83,7 @@ def raw_subscriptions(spark: SparkSession, folder: str) -> DataFrame:
     status = f"""CASE o_orderstatus WHEN 'F' THEN {_pick('o_orderkey', 'cancelled', 'CANCELLED')}
         WHEN 'O' THEN {_pick('o_orderkey', 'Active', 'active')} ELSE 'paused ' END"""
     plan = _pick("o_orderkey", "Basic", "Growth", "Pro", "Enterprise", "enterprise ")
-    return _copies(_table(spark, folder, "orders"), "o_orderkey", 50).selectExpr(
+    return _copies(tables["orders"], "o_orderkey", 50).selectExpr(
         f"{_padded('o_orderkey', 7)} AS subscription_id",
         f"{_padded('o_custkey', 13)} AS customer_id",
         f"{_null_at('o_orderkey', 97, start)} AS start_date",
@@ -90,13 +97,13 @@ def raw_subscriptions(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def raw_invoices(spark: SparkSession, folder: str) -> DataFrame:
-    orders = _table(spark, folder, "orders").selectExpr("o_orderkey AS l_orderkey", "o_custkey", "o_orderdate")
+def raw_invoices(tables: Tables) -> DataFrame:
+    orders = tables["orders"].selectExpr("o_orderkey AS l_orderkey", "o_custkey", "o_orderdate")
     amount = round2("l_extendedprice * (1 - l_discount)")
     tax = round2(f"{amount} * l_tax")
     status = "CASE l_returnflag WHEN 'R' THEN 'VOID' WHEN 'A' THEN 'paid' ELSE 'Open ' END"
     return (
-        _table(spark, folder, "lineitem")
+        tables["lineitem"]
         .join(orders, "l_orderkey")
         .selectExpr(
             "concat_ws('-', l_orderkey, l_linenumber) AS invoice_id",
@@ -128,10 +135,10 @@ def _by_part_type(entry: int) -> str:
     return f"CASE p_type {' '.join(whens)} END"
 
 
-def raw_gl(spark: SparkSession, folder: str) -> DataFrame:
-    part = _table(spark, folder, "part").selectExpr("p_partkey AS l_partkey", "p_type", "p_brand")
-    supplier = _table(spark, folder, "supplier").selectExpr("s_suppkey AS l_suppkey", "s_name", "s_nationkey")
-    joined = _table(spark, folder, "lineitem").join(part, "l_partkey").join(supplier, "l_suppkey")
+def raw_gl(tables: Tables) -> DataFrame:
+    part = tables["part"].selectExpr("p_partkey AS l_partkey", "p_type", "p_brand")
+    supplier = tables["supplier"].selectExpr("s_suppkey AS l_suppkey", "s_name", "s_nationkey")
+    joined = tables["lineitem"].join(part, "l_partkey").join(supplier, "l_suppkey")
     name = f"CASE WHEN l_linenumber % 2 = 0 THEN {_by_part_type(1)} ELSE {_by_part_type(2)} END"
     amount = "CASE WHEN l_linestatus = 'F' THEN -l_extendedprice ELSE l_extendedprice END"
     memo = "concat('order ', CAST(l_orderkey AS STRING))"
@@ -150,10 +157,10 @@ def raw_gl(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def raw_sales_marketing(spark: SparkSession, folder: str) -> DataFrame:
+def raw_sales_marketing(tables: Tables) -> DataFrame:
     campaign = "concat('Campaign ', o_orderpriority)"
     channel = _pick("o_orderkey", "Paid Search", "LinkedIn", "Partner", "Outbound", "Organic", "paid search", "PARTNER")
-    return _copies(_table(spark, folder, "orders"), "o_orderkey", 60).selectExpr(
+    return _copies(tables["orders"], "o_orderkey", 60).selectExpr(
         f"{_null_at('o_orderkey', 51, 'CAST(o_orderdate AS DATE)')} AS period",
         f"{channel} AS channel",
         f"{_null_at('o_orderkey', 20, campaign)} AS campaign_name",
@@ -163,10 +170,10 @@ def raw_sales_marketing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def raw_cash(spark: SparkSession, folder: str) -> DataFrame:
-    customer = _table(spark, folder, "customer").selectExpr("c_custkey AS o_custkey", "c_nationkey", "c_acctbal")
-    nation = _table(spark, folder, "nation").selectExpr("n_nationkey AS c_nationkey", "n_regionkey")
-    joined = _table(spark, folder, "orders").join(customer, "o_custkey").join(nation, "c_nationkey")
+def raw_cash(tables: Tables) -> DataFrame:
+    customer = tables["customer"].selectExpr("c_custkey AS o_custkey", "c_nationkey", "c_acctbal")
+    nation = tables["nation"].selectExpr("n_nationkey AS c_nationkey", "n_regionkey")
+    joined = tables["orders"].join(customer, "o_custkey").join(nation, "c_nationkey")
     entity = _pick("n_regionkey", "SaaS HoldCo", "saas us", "SaaS Canada", "saas holdco", "SaaS HoldCo ")
     return joined.selectExpr(
         f"{_null_at('o_orderkey', 53, 'CAST(o_orderdate AS DATE)')} AS period",
@@ -176,7 +183,8 @@ def raw_cash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-RAW_TABLES = {
+# How each raw table follows from the order tables.
+BUILDERS = {
     "customers": raw_customers,
     "subscriptions": raw_subscriptions,
     "invoices": raw_invoices,
@@ -184,7 +192,3 @@ RAW_TABLES = {
     "sales_marketing": raw_sales_marketing,
     "cash": raw_cash,
 }
-
-
-def raw_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {name: read(spark, folder) for name, read in RAW_TABLES.items()}

@@ -2,9 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 
+class LazyTables(dict):
+    """Tables by name, each planned when first asked for and then shared."""
+
+    def __init__(self, plan: Callable[[str], DataFrame]) -> None:
+        super().__init__()
+        self._plan = plan
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = self._plan(name)
+        return self[name]
+
+
 def write_table(df: DataFrame, path: str) -> DataFrame:
     """Write a parquet table, replacing what is there, and return a scan of it.
 
