@@ -72,19 +72,21 @@ def literals(values: list[str] | tuple[str, ...]) -> str:
     return ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values)
 
 
-def strip(c: str) -> str:
-    """Remove whitespace of any kind at both ends.
+def _trimmed(c: str, trimmed: str) -> str:
+    # btrim with a character set is several times the cost of looking at both
+    # ends, so it only runs where one of them is no printable ASCII character
+    ends = f"{c} < '!' OR {c} >= '\\u0080' OR right({c}, 1) <= ' ' OR right({c}, 1) >= '\\u0080'"
+    return f"CASE WHEN {ends} THEN {trimmed} ELSE {c} END"
 
-    ``btrim`` with a character set is several times the cost of looking at the
-    two end characters, so it only runs for the values that need it.
-    """
-    ends_blank = f"contains({_BLANKS}, left({c}, 1)) OR contains({_BLANKS}, right({c}, 1))"
-    return f"CASE WHEN {ends_blank} THEN btrim({c}, {_BLANKS}) ELSE {c} END"
+
+def strip(c: str) -> str:
+    """Remove whitespace of any kind at both ends."""
+    return _trimmed(c, f"btrim({c}, {_BLANKS})")
 
 
 def clean_text(c: str) -> str:
     """Strip; blank becomes NULL."""
-    return f"nullif({strip(c)}, '')"
+    return _trimmed(c, f"nullif(btrim({c}, {_BLANKS}), '')")
 
 
 def _over_text_columns(df: DataFrame, change) -> DataFrame:
@@ -167,6 +169,11 @@ def std_id(c: str) -> str:
     return f"CAST({c} AS STRING)"
 
 
+def clean_id(df: DataFrame, name: str) -> str:
+    """An identifier column of any type as stripped text."""
+    return clean_text(name) if isinstance(df.schema[name].dataType, T.StringType) else std_id(name)
+
+
 def gl_category(account_name: str) -> str:
     """Reporting category of a ledger account; ``Other`` when unmapped."""
     return _lookup(ACCOUNT_CATEGORIES, f"lower({account_name})", "'Other'")

@@ -9,8 +9,8 @@ from pyspark.sql import types as T
 # depend on the order in which partitions arrive.
 _UNITS = 10000
 
-_ISO_DATE = r"^\d{4}-\d{2}-\d{2}"
-_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+_ISO_DATE = r"^\s*\d{4}-\d{2}-\d{2}"
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def parse_date(df: DataFrame, name: str) -> str:

@@ -1,6 +1,8 @@
 """Raw tables to clean tables.
 
-Inputs may be all text (CSV scan) or typed; both end in the same schema.
+Inputs may be all text (CSV scan) or typed; both end in the same schema. Dedup
+only needs the key, the dates and the columns that invalidate a row, so it comes
+first and the remaining columns are standardized on the rows that it keeps.
 """
 
 from __future__ import annotations
@@ -10,30 +12,28 @@ from pyspark.sql import DataFrame
 from saldo.functions import text as X
 from saldo.functions.values import month_start, parse_date, parse_number, round2
 from saldo.operators.aggregate import aggregate
-from saldo.operators.dedup import SEQ, keep_first, keep_last
+from saldo.operators.dedup import keep_first, keep_last
 
 
-def _seq(df: DataFrame) -> list[str]:
-    return [SEQ] if SEQ in df.columns else []
+def _replace(df: DataFrame, **columns: str) -> DataFrame:
+    return df.selectExpr(*[f"{columns[c]} AS {c}" if c in columns else c for c in df.columns])
 
 
 def clean_customers(raw: DataFrame) -> DataFrame:
     """One row per customer: the earliest signup."""
-    t = X.trim_text_columns(raw)
-    cleaned = t.selectExpr(
-        f"{X.std_id('customer_id')} AS customer_id",
+    keyed = _replace(raw, customer_id=X.clean_id(raw, "customer_id"), signup_date=parse_date(raw, "signup_date"))
+    return X.trim_text_columns(keep_first(keyed, "customer_id", ["signup_date"])).selectExpr(
+        "customer_id",
         f"coalesce({X.title_case('customer_name')}, 'Unknown Customer') AS customer_name",
         f"coalesce({X.title_case('industry')}, 'Unknown') AS industry",
         f"{X.std_region('region')} AS region",
         f"coalesce({X.title_case('country')}, 'Unknown') AS country",
-        f"{parse_date(t, 'signup_date')} AS signup_date",
+        "signup_date",
         f"{X.std_channel('acquisition_channel')} AS acquisition_channel",
         f"{X.std_status('account_status')} AS account_status",
         f"{X.std_plan('plan_name')} AS plan_name",
         f"{X.std_billing('billing_frequency')} AS billing_frequency",
-        *_seq(t),
     )
-    return keep_first(cleaned, "customer_id", ["signup_date"])
 
 
 def valid_subscriptions(raw: DataFrame) -> DataFrame:
@@ -42,30 +42,25 @@ def valid_subscriptions(raw: DataFrame) -> DataFrame:
     An open end sorts after every date, so it wins over an ended row of the same
     start. The plan is the row's own; ``fill_plans`` looks missing ones up.
     """
-    t = X.trim_text_columns(raw)
-    cleaned = t.selectExpr(
-        f"{X.std_id('subscription_id')} AS subscription_id",
-        f"{X.std_id('customer_id')} AS customer_id",
-        f"{parse_date(t, 'start_date')} AS start_date",
-        f"{parse_date(t, 'end_date')} AS end_date",
-        f"{X.std_plan('plan_name')} AS plan_name",
-        f"{parse_number(t, 'mrr')} AS mrr",
-        f"{X.std_status('subscription_status')} AS subscription_status",
-        f"coalesce({parse_number(t, 'discount_pct')}, 0) AS discount_pct",
-        f"{X.std_currency('currency')} AS currency",
-        *_seq(t),
+    keyed = _replace(
+        raw.drop("arr"),
+        subscription_id=X.clean_id(raw, "subscription_id"),
+        start_date=parse_date(raw, "start_date"),
+        end_date=parse_date(raw, "end_date"),
+        mrr=parse_number(raw, "mrr"),
     ).filter("mrr > 0 AND start_date IS NOT NULL AND (end_date IS NULL OR end_date >= start_date)")
-    return keep_last(cleaned, "subscription_id", ["start_date", "end_date"]).selectExpr(
+    t = X.trim_text_columns(keep_last(keyed, "subscription_id", ["start_date", "end_date"]))
+    return t.selectExpr(
         "subscription_id",
-        "customer_id",
+        f"{X.std_id('customer_id')} AS customer_id",
         "start_date",
         "end_date",
-        "plan_name",
+        f"{X.std_plan('plan_name')} AS plan_name",
         "mrr",
         f"{round2('mrr * 12')} AS arr",
-        "subscription_status",
-        "discount_pct",
-        "currency",
+        f"{X.std_status('subscription_status')} AS subscription_status",
+        f"coalesce({parse_number(t, 'discount_pct')}, 0) AS discount_pct",
+        f"{X.std_currency('currency')} AS currency",
     )
 
 
@@ -93,52 +88,50 @@ def clean_subscriptions(raw: DataFrame, customers: DataFrame) -> DataFrame:
 
 def clean_invoices(raw: DataFrame) -> DataFrame:
     """One row per invoice: the latest date; due dates and totals repaired, void rows flagged."""
-    t = X.trim_text_columns(raw)
-    invoice_date, due_date = parse_date(t, "invoice_date"), parse_date(t, "due_date")
-    cleaned = t.selectExpr(
-        f"{X.std_id('invoice_id')} AS invoice_id",
-        f"{X.std_id('customer_id')} AS customer_id",
-        f"{X.std_id('subscription_id')} AS subscription_id",
-        f"{invoice_date} AS invoice_date",
-        f"CASE WHEN {due_date} >= {invoice_date} THEN {due_date} ELSE date_add({invoice_date}, 30) END AS due_date",
-        f"coalesce({parse_number(t, 'amount')}, 0) AS amount",
-        f"coalesce({parse_number(t, 'tax')}, 0) AS tax",
-        f"{X.std_status('invoice_status')} AS invoice_status",
-        *_seq(t),
+    keyed = _replace(
+        raw.drop("total_amount"),
+        invoice_id=X.clean_id(raw, "invoice_id"),
+        customer_id=X.clean_id(raw, "customer_id"),
+        invoice_date=parse_date(raw, "invoice_date"),
     ).filter("invoice_id IS NOT NULL AND invoice_date IS NOT NULL AND customer_id IS NOT NULL")
-    return keep_last(cleaned, "invoice_id", ["invoice_date"]).selectExpr(
+    t = X.trim_text_columns(keep_last(keyed, "invoice_id", ["invoice_date"]))
+    due = parse_date(t, "due_date")
+    return t.selectExpr(
         "invoice_id",
         "customer_id",
-        "subscription_id",
+        f"{X.std_id('subscription_id')} AS subscription_id",
         "invoice_date",
-        "due_date",
-        "amount",
-        "tax",
-        f"{round2('amount + tax')} AS total_amount",
-        "invoice_status",
-        "invoice_status = 'Void' AS is_void",
-    )
+        f"CASE WHEN {due} >= invoice_date THEN {due} ELSE date_add(invoice_date, 30) END AS due_date",
+        f"coalesce({parse_number(t, 'amount')}, 0) AS amount",
+        f"coalesce({parse_number(t, 'tax')}, 0) AS tax",
+        f"{X.std_status('invoice_status')} AS invoice_status",
+    ).selectExpr("*", f"{round2('amount + tax')} AS total_amount", "invoice_status = 'Void' AS is_void")
 
 
 def clean_gl(raw: DataFrame) -> DataFrame:
     """One row per ledger transaction: the latest date; accounts mapped to categories."""
-    t = X.trim_text_columns(raw)
-    cleaned = t.selectExpr(
-        f"{X.std_id('gl_txn_id')} AS gl_txn_id",
-        f"{parse_date(t, 'txn_date')} AS txn_date",
-        f"coalesce({X.std_id('account_code')}, 'Unknown') AS account_code",
-        "lower(coalesce(account_name, 'Unknown')) AS account_name",
-        f"coalesce({X.title_case('department')}, 'Unknown') AS department",
-        "coalesce(cost_center, 'Unknown') AS cost_center",
-        "coalesce(vendor_customer, 'Unknown') AS vendor_customer",
-        f"{parse_number(t, 'amount')} AS amount",
-        f"{X.std_side('dr_cr')} AS dr_cr",
-        f"{X.std_entity('entity')} AS entity",
-        "coalesce(memo, 'Unknown') AS memo",
-        *_seq(t),
+    keyed = _replace(
+        raw,
+        gl_txn_id=X.clean_id(raw, "gl_txn_id"),
+        txn_date=parse_date(raw, "txn_date"),
+        amount=parse_number(raw, "amount"),
     ).filter("gl_txn_id IS NOT NULL AND txn_date IS NOT NULL AND amount IS NOT NULL")
-    return keep_last(cleaned, "gl_txn_id", ["txn_date"]).selectExpr(
-        "*", f"{X.gl_category('account_name')} AS account_category"
+    return (
+        X.trim_text_columns(keep_last(keyed, "gl_txn_id", ["txn_date"]))
+        .selectExpr(
+            "gl_txn_id",
+            "txn_date",
+            f"coalesce({X.std_id('account_code')}, 'Unknown') AS account_code",
+            "lower(coalesce(account_name, 'Unknown')) AS account_name",
+            f"coalesce({X.title_case('department')}, 'Unknown') AS department",
+            "coalesce(cost_center, 'Unknown') AS cost_center",
+            "coalesce(vendor_customer, 'Unknown') AS vendor_customer",
+            "amount",
+            f"{X.std_side('dr_cr')} AS dr_cr",
+            f"{X.std_entity('entity')} AS entity",
+            "coalesce(memo, 'Unknown') AS memo",
+        )
+        .selectExpr("*", f"{X.gl_category('account_name')} AS account_category")
     )
 
 
