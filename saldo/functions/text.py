@@ -64,6 +64,7 @@ ACCOUNT_CATEGORIES = {
 }
 
 _BLANKS = "'" + "".join(f"\\u{ord(c):04x}" for c in WHITESPACE) + "'"
+_MARK = "\\ufdd0"
 _CASED = r"\p{Lu}\p{Ll}\p{Lt}"
 
 
@@ -111,13 +112,14 @@ def null_tokens_to_null(df: DataFrame, tokens: tuple[str, ...] = NULL_TOKENS) ->
 def title_case(text: str) -> str:
     """A capital after anything that is not a letter, lower case elsewhere.
 
-    ``initcap`` only capitalizes after blanks, but is exact (and twice as fast)
-    where no ASCII letter follows another kind of separator.
+    ``initcap`` only capitalizes after blanks. Where an ASCII letter may follow
+    another separator, a marked blank goes before it for the time of the call;
+    the mark is a code point that text cannot hold.
     """
-    runs = f"regexp_extract_all({text}, r'([{_CASED}]+|[^{_CASED}]+)', 1)"
-    by_run = f"array_join(transform({runs}, r -> concat(upper(left(r, 1)), lower(substr(r, 2)))), '')"
+    boundary = rf"(?<=[^{_CASED} ])(?=[{_CASED}])"
+    marked = rf"replace(initcap(regexp_replace({text}, r'{boundary}', '{_MARK} ')), '{_MARK} ', '')"
     plain = rf"{text} RLIKE r'^[A-Za-z ]*+[^A-Za-z\x80-\x{{10FFFF}}]*+$'"
-    return f"CASE WHEN {plain} THEN initcap({text}) ELSE {by_run} END"
+    return f"CASE WHEN {plain} THEN initcap({text}) ELSE {marked} END"
 
 
 def _lookup(mapping: dict[str, str], key: str, fallback: str) -> str:

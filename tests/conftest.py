@@ -5,7 +5,8 @@ import sys
 
 import pytest
 
-sys.path.insert(0, str(pathlib.Path(__file__).resolve().parent.parent))
+HERE = pathlib.Path(__file__).resolve().parent
+sys.path[:0] = [str(HERE.parent), str(HERE)]
 
 from saldo.session import get_session  # noqa: E402
 
