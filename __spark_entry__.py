@@ -6,6 +6,7 @@ and runs the same plans that the pipeline runs on CSV input.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,9 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 import oracles
 from saldo.functions import text as X
 from saldo.operators.checks import describe
+from saldo.operators.dedup import SEQ
 from saldo.plans import billing, cleaning, kpis, quality, star
+from saldo.session import shared_dir
 from saldo.sources import order_domain
-from saldo.sources.tables import LazyTables
+from saldo.sources.csv_tables import RAW_COLUMNS, read_raw_csv, read_typed_csv
+from saldo.sources.tables import LazyTables, write_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +71,22 @@ def _checks(*groups: quality.Checks) -> Plan:
     return lambda f: quality.check_tables(f.clean, *groups)
 
 
+def _csv_scan(f: Finance) -> DataFrame:
+    """Raw customers written as CSV to the shared folder and scanned back as text."""
+    raw = f.raw["customers"]
+    path = f"{shared_dir(raw.sparkSession)}/saldo_raw_customers_{uuid.uuid4().hex}"
+    write_csv(raw, path)
+    return read_raw_csv(raw.sparkSession, path, RAW_COLUMNS["customers"]).drop(SEQ)
+
+
+def _mart_export(f: Finance) -> DataFrame:
+    """The monthly KPI view exported as CSV to the shared folder and read back."""
+    view = kpis.monthly_kpis(f.kpi_star)
+    path = f"{shared_dir(view.sparkSession)}/saldo_monthly_kpis_{uuid.uuid4().hex}"
+    write_csv(view, path)
+    return read_typed_csv(view.sparkSession, path, view.schema)
+
+
 def _arr_growth(f: Finance) -> DataFrame:
     """The growth of booked ARR needs the spine's months only, not the customer counts."""
     spine = kpis.kpi_spine(f.kpi_star).select("period", "new_arr_booked")
@@ -74,6 +94,8 @@ def _arr_growth(f: Finance) -> DataFrame:
 
 
 PLANS: dict[str, Plan] = {
+    "csv_scan": _csv_scan,
+    "mart_export": _mart_export,
     "clean_text": _clean_text,
     "title_case": lambda f: f.source["part"].selectExpr(
         "p_partkey", f"{X.title_case(X.strip('p_name'))} AS titled"

@@ -90,6 +90,13 @@ def clean_text(c: str) -> str:
     return _trimmed(c, f"nullif(btrim({c}, {_BLANKS}), '')")
 
 
+def has_text(df: DataFrame, name: str) -> str:
+    """Whether a column still has a value after cleaning, at the price of one look at it."""
+    if isinstance(df.schema[name].dataType, T.StringType):
+        return f"{name} RLIKE '[^{_BLANKS[1:-1]}]'"
+    return f"{name} IS NOT NULL"
+
+
 def _over_text_columns(df: DataFrame, change) -> DataFrame:
     return df.selectExpr(
         *[

@@ -88,17 +88,15 @@ def clean_subscriptions(raw: DataFrame, customers: DataFrame) -> DataFrame:
 
 def clean_invoices(raw: DataFrame) -> DataFrame:
     """One row per invoice: the latest date; due dates and totals repaired, void rows flagged."""
+    named = raw.drop("total_amount").filter(f"{X.has_text(raw, 'invoice_id')} AND {X.has_text(raw, 'customer_id')}")
     keyed = _replace(
-        raw.drop("total_amount"),
-        invoice_id=X.clean_id(raw, "invoice_id"),
-        customer_id=X.clean_id(raw, "customer_id"),
-        invoice_date=parse_date(raw, "invoice_date"),
-    ).filter("invoice_id IS NOT NULL AND invoice_date IS NOT NULL AND customer_id IS NOT NULL")
+        named, invoice_id=X.clean_id(raw, "invoice_id"), invoice_date=parse_date(raw, "invoice_date")
+    ).filter("invoice_date IS NOT NULL")
     t = X.trim_text_columns(keep_last(keyed, "invoice_id", ["invoice_date"]))
     due = parse_date(t, "due_date")
     return t.selectExpr(
         "invoice_id",
-        "customer_id",
+        f"{X.std_id('customer_id')} AS customer_id",
         f"{X.std_id('subscription_id')} AS subscription_id",
         "invoice_date",
         f"CASE WHEN {due} >= invoice_date THEN {due} ELSE date_add(invoice_date, 30) END AS due_date",
@@ -111,11 +109,11 @@ def clean_invoices(raw: DataFrame) -> DataFrame:
 def clean_gl(raw: DataFrame) -> DataFrame:
     """One row per ledger transaction: the latest date; accounts mapped to categories."""
     keyed = _replace(
-        raw,
+        raw.filter(X.has_text(raw, "gl_txn_id")),
         gl_txn_id=X.clean_id(raw, "gl_txn_id"),
         txn_date=parse_date(raw, "txn_date"),
         amount=parse_number(raw, "amount"),
-    ).filter("gl_txn_id IS NOT NULL AND txn_date IS NOT NULL AND amount IS NOT NULL")
+    ).filter("txn_date IS NOT NULL AND amount IS NOT NULL")
     return (
         X.trim_text_columns(keep_last(keyed, "gl_txn_id", ["txn_date"]))
         .selectExpr(

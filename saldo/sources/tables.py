@@ -48,9 +48,12 @@ def create_views(tables: dict[str, DataFrame]) -> None:
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """Write a headed CSV folder in parallel; one file only on request, for small tables."""
-    (df.coalesce(1) if single_file else df).write.mode("overwrite").option("header", True).option("escape", '"').csv(
-        path
+    """Write a headed CSV folder in parallel, text as it is; one file only on request, for small tables."""
+    (
+        (df.coalesce(1) if single_file else df)
+        .write.mode("overwrite")
+        .options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        .csv(path)
     )
 
 

@@ -9,7 +9,7 @@ from saldo import pipeline
 from saldo.plans import cleaning
 from saldo.session import get_session, shared_dir
 from saldo.sources import order_domain
-from saldo.sources.csv_tables import RAW_COLUMNS, RAW_FILES, read_raw_tables, read_typed_csv
+from saldo.sources.csv_tables import RAW_COLUMNS, RAW_FILES, read_raw_csv, read_raw_tables, read_typed_csv
 from saldo.sources.tables import create_views, read_tables, save_tables, write_csv, write_table, write_tables
 
 FOLDER = "/root/testdata/sf0.001"
@@ -105,3 +105,10 @@ def test_lazy_views(spark):
 def test_shared_dir_follows_the_cluster(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert get_session() is not None
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    path = tmp_path / "raw.csv"
+    path.write_text('a,b\n1,"two\nlines, ""quoted"""\n2,\n')
+    rows = read_raw_csv(spark, str(path), ["a", "b"], multi_line=True).drop("_seq").collect()
+    assert [tuple(r) for r in rows] == [("1", 'two\nlines, "quoted"'), ("2", None)]
