@@ -76,7 +76,7 @@ def literals(values: list[str] | tuple[str, ...]) -> str:
 def _trimmed(c: str, trimmed: str) -> str:
     # btrim with a character set is several times the cost of looking at both
     # ends, so it only runs where one of them is no printable ASCII character
-    ends = f"{c} < '!' OR {c} >= '\\u0080' OR right({c}, 1) <= ' ' OR right({c}, 1) >= '\\u0080'"
+    ends = f"least({c}, right({c}, 1)) < '!' OR greatest({c}, right({c}, 1)) >= '\\u0080'"
     return f"CASE WHEN {ends} THEN {trimmed} ELSE {c} END"
 
 
@@ -97,18 +97,18 @@ def has_text(df: DataFrame, name: str) -> str:
     return f"{name} IS NOT NULL"
 
 
-def _over_text_columns(df: DataFrame, change) -> DataFrame:
+def _over_text_columns(df: DataFrame, change, skip: tuple[str, ...] = ()) -> DataFrame:
     return df.selectExpr(
         *[
-            f"{change(f.name)} AS {f.name}" if isinstance(f.dataType, T.StringType) else f.name
+            f"{change(f.name)} AS {f.name}" if isinstance(f.dataType, T.StringType) and f.name not in skip else f.name
             for f in df.schema.fields
         ]
     )
 
 
-def trim_text_columns(df: DataFrame) -> DataFrame:
-    """``clean_text`` over every string column of a table."""
-    return _over_text_columns(df, clean_text)
+def trim_text_columns(df: DataFrame, *done: str) -> DataFrame:
+    """``clean_text`` over every string column of a table but those already done."""
+    return _over_text_columns(df, clean_text, done)
 
 
 def null_tokens_to_null(df: DataFrame, tokens: tuple[str, ...] = NULL_TOKENS) -> DataFrame:
@@ -116,27 +116,32 @@ def null_tokens_to_null(df: DataFrame, tokens: tuple[str, ...] = NULL_TOKENS) ->
     return _over_text_columns(df, lambda c: f"CASE WHEN {c} NOT IN ({literals(tokens)}) THEN {c} END")
 
 
+def _title(text: str) -> str:
+    boundary = rf"(?<=[^{_CASED} ])(?=[{_CASED}])"
+    return f"replace(initcap(regexp_replace({text}, r'{boundary}', '{_MARK} ')), '{_MARK} ', '')"
+
+
 def title_case(text: str) -> str:
     """A capital after anything that is not a letter, lower case elsewhere.
 
-    ``initcap`` only capitalizes after blanks. Where an ASCII letter may follow
-    another separator, a marked blank goes before it for the time of the call;
-    the mark is a code point that text cannot hold.
+    ``initcap`` only capitalizes after blanks. Where a letter may follow another
+    separator, a marked blank goes before it for the time of the call; the mark
+    is a code point that text cannot hold.
     """
-    boundary = rf"(?<=[^{_CASED} ])(?=[{_CASED}])"
-    marked = rf"replace(initcap(regexp_replace({text}, r'{boundary}', '{_MARK} ')), '{_MARK} ', '')"
     plain = rf"{text} RLIKE r'^[A-Za-z ]*+[^A-Za-z\x80-\x{{10FFFF}}]*+$'"
-    return f"CASE WHEN {plain} THEN initcap({text}) ELSE {marked} END"
+    return f"CASE WHEN {plain} THEN initcap({text}) ELSE {_title(text)} END"
 
 
-def _lookup(mapping: dict[str, str], key: str, fallback: str) -> str:
+def _lookup(mapping: dict[str, str], key: str, *fallbacks: str) -> str:
+    """The mapped label, or the first fallback that is not NULL; a NULL key maps to NULL."""
     entries = literals([text for pair in mapping.items() for text in pair])
-    return f"coalesce(map({entries})[{key}], {fallback})"
+    return f"coalesce(map({entries})[{key}], {', '.join(fallbacks)})"
 
 
 def _standardize(text: str, mapping: dict[str, str]) -> str:
-    known = _lookup(mapping, f"lower({text})", title_case(text))
-    return f"CASE WHEN {text} IS NULL THEN '{UNKNOWN}' ELSE {known} END"
+    # few values miss the map: the short title form keeps a projection of many
+    # standardizers small enough to be compiled
+    return _lookup(mapping, f"lower({text})", _title(text), f"'{UNKNOWN}'")
 
 
 def std_status(c: str) -> str:
@@ -165,7 +170,7 @@ def std_plan(c: str) -> str:
 
 def std_currency(c: str) -> str:
     """Currencies are upper-cased; an unlisted one stays as it is."""
-    return f"CASE WHEN {c} IS NULL THEN '{UNKNOWN}' ELSE {_lookup(CURRENCIES, f'upper({c})', f'upper({c})')} END"
+    return _lookup(CURRENCIES, f"upper({c})", f"upper({c})", f"'{UNKNOWN}'")
 
 
 def std_side(c: str) -> str:

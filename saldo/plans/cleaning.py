@@ -22,7 +22,7 @@ def _replace(df: DataFrame, **columns: str) -> DataFrame:
 def clean_customers(raw: DataFrame) -> DataFrame:
     """One row per customer: the earliest signup."""
     keyed = _replace(raw, customer_id=X.clean_id(raw, "customer_id"), signup_date=parse_date(raw, "signup_date"))
-    return X.trim_text_columns(keep_first(keyed, "customer_id", ["signup_date"])).selectExpr(
+    return X.trim_text_columns(keep_first(keyed, "customer_id", ["signup_date"]), "customer_id").selectExpr(
         "customer_id",
         f"coalesce({X.title_case('customer_name')}, 'Unknown Customer') AS customer_name",
         f"coalesce({X.title_case('industry')}, 'Unknown') AS industry",
@@ -49,7 +49,7 @@ def valid_subscriptions(raw: DataFrame) -> DataFrame:
         end_date=parse_date(raw, "end_date"),
         mrr=parse_number(raw, "mrr"),
     ).filter("mrr > 0 AND start_date IS NOT NULL AND (end_date IS NULL OR end_date >= start_date)")
-    t = X.trim_text_columns(keep_last(keyed, "subscription_id", ["start_date", "end_date"]))
+    t = X.trim_text_columns(keep_last(keyed, "subscription_id", ["start_date", "end_date"]), "subscription_id")
     return t.selectExpr(
         "subscription_id",
         f"{X.std_id('customer_id')} AS customer_id",
@@ -67,10 +67,10 @@ def valid_subscriptions(raw: DataFrame) -> DataFrame:
 def fill_plans(subscriptions: DataFrame, customers: DataFrame) -> DataFrame:
     """Take the customer's plan where the subscription has none.
 
-    Only customers with a known plan can change a row. The join side is picked
-    by size at run time; adaptive execution splits a hot customer.
+    The join side is picked by size at run time; adaptive execution splits a hot
+    customer.
     """
-    plans = customers.filter("plan_name <> 'Unknown'").selectExpr("customer_id", "plan_name AS customer_plan")
+    plans = customers.selectExpr("customer_id", "plan_name AS customer_plan")
     filled = "coalesce(nullif(plan_name, 'Unknown'), customer_plan, 'Unknown') AS plan_name"
     return subscriptions.join(plans, "customer_id", "left").selectExpr(
         *[filled if c == "plan_name" else c for c in subscriptions.columns]
@@ -92,7 +92,7 @@ def clean_invoices(raw: DataFrame) -> DataFrame:
     keyed = _replace(
         named, invoice_id=X.clean_id(raw, "invoice_id"), invoice_date=parse_date(raw, "invoice_date")
     ).filter("invoice_date IS NOT NULL")
-    t = X.trim_text_columns(keep_last(keyed, "invoice_id", ["invoice_date"]))
+    t = X.trim_text_columns(keep_last(keyed, "invoice_id", ["invoice_date"]), "invoice_id")
     due = parse_date(t, "due_date")
     return t.selectExpr(
         "invoice_id",
@@ -115,7 +115,7 @@ def clean_gl(raw: DataFrame) -> DataFrame:
         amount=parse_number(raw, "amount"),
     ).filter("txn_date IS NOT NULL AND amount IS NOT NULL")
     return (
-        X.trim_text_columns(keep_last(keyed, "gl_txn_id", ["txn_date"]))
+        X.trim_text_columns(keep_last(keyed, "gl_txn_id", ["txn_date"]), "gl_txn_id")
         .selectExpr(
             "gl_txn_id",
             "txn_date",
