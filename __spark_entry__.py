@@ -21,6 +21,12 @@ from saldo.sources import order_domain
 from saldo.sources.csv_tables import RAW_COLUMNS, read_raw_csv, read_typed_csv
 from saldo.sources.tables import LazyTables, write_csv
 
+try:  # the operators for training data live in a subpackage that may be left out
+    import corpus_pipeline
+    from saldo.llm import queries as llm_queries
+except ImportError:
+    corpus_pipeline = llm_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -165,9 +171,18 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """One entry per operator: (spark, folder) -> DataFrame."""
-    return {name: lambda spark, folder, plan=plan: plan(Finance(spark, folder)) for name, plan in PLANS.items()}
+    found = {name: lambda spark, folder, plan=plan: plan(Finance(spark, folder)) for name, plan in PLANS.items()}
+    if llm_queries is not None:
+        found |= llm_queries.QUERIES
+        found["pipeline"] = corpus_pipeline.run
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
     """The same results in SQL over the same tables."""
-    return {name: oracles.statement(name) for name in PLANS}
+    found = {name: oracles.statement(name) for name in PLANS}
+    if llm_queries is not None:
+        found |= llm_queries.SQL
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
