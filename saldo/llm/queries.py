@@ -6,16 +6,37 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from saldo.llm import common, token_counts
+from saldo.llm import exact_dedup, language, token_counts
+from saldo.llm.common import documents
+
+
+def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.deduplicated(documents(spark, folder))
+
+
+def op9_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identified(documents(spark, folder))
 
 
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return token_counts.counted(common.documents(spark, folder))
+    return token_counts.counted(documents(spark, folder))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_exact_dedup": op3_exact_dedup,
+    "op9_language": op9_language,
     "op10_token_counts": op10_token_counts,
 }
 
 #: SQL counterparts, where SQL can express the result.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op3_exact_dedup": r"""
+        WITH norm AS (
+            SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents
+        ), first AS (
+            SELECT body, min(doc_id) AS keep_id, count(*) AS group_size FROM norm GROUP BY body
+        )
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256
+        FROM norm JOIN first USING (body)
+    """,
+}
