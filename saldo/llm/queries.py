@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from saldo.llm import exact_dedup, language, token_counts
+from saldo.llm import exact_dedup, language, packing, token_counts
 from saldo.llm.common import documents
 
 
+def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(documents(spark, folder))
+
+
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.deduplicated(documents(spark, folder))
 
@@ -23,6 +27,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_packing": op2_packing,
     "op3_exact_dedup": op3_exact_dedup,
     "op9_language": op9_language,
     "op10_token_counts": op10_token_counts,
