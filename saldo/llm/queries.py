@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from saldo.llm import exact_dedup, language, packing, token_counts
+from saldo.llm import exact_dedup, language, packing, token_counts, toxicity
 from saldo.llm.common import documents
 
 
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.classified(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
 def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(documents(spark, folder))
 
@@ -27,6 +31,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_packing": op2_packing,
     "op3_exact_dedup": op3_exact_dedup,
     "op9_language": op9_language,
