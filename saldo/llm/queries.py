@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from saldo.llm import exact_dedup, language, packing, token_counts, toxicity
+from saldo.llm import exact_dedup, language, packing, quality, token_counts, toxicity
 from saldo.llm.common import documents
 
 
@@ -22,6 +22,10 @@ def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.deduplicated(documents(spark, folder))
 
 
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judged(documents(spark, folder))
+
+
 def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identified(documents(spark, folder))
 
@@ -34,6 +38,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_packing": op2_packing,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_quality": op4_quality,
     "op9_language": op9_language,
     "op10_token_counts": op10_token_counts,
 }
