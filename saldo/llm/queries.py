@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from saldo.llm import exact_dedup, language, packing, quality, token_counts, toxicity
+from saldo.llm import exact_dedup, language, packing, quality, simhash, token_counts, toxicity
 from saldo.llm.common import documents
 
 
@@ -26,6 +26,10 @@ def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judged(documents(spark, folder))
 
 
+def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.clustered(documents(spark, folder))
+
+
 def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identified(documents(spark, folder))
 
@@ -39,6 +43,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_quality": op4_quality,
+    "op6_simhash": op6_simhash,
     "op9_language": op9_language,
     "op10_token_counts": op10_token_counts,
 }
