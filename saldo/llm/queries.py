@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from saldo.llm import exact_dedup, language, packing, quality, simhash, token_counts, toxicity
+from saldo.llm import exact_dedup, language, packing, quality, simhash, suffix_dedup, token_counts, toxicity
 from saldo.llm.common import documents
 
 
@@ -30,6 +30,10 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.clustered(documents(spark, folder))
 
 
+def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.deduplicated(documents(spark, folder))
+
+
 def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identified(documents(spark, folder))
 
@@ -44,6 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_quality": op4_quality,
     "op6_simhash": op6_simhash,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op9_language": op9_language,
     "op10_token_counts": op10_token_counts,
 }
