@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from saldo.llm import exact_dedup, language, packing, quality, simhash, suffix_dedup, token_counts, toxicity
+from saldo.llm import exact_dedup, interpolated_lm, language, packing, quality, simhash, suffix_dedup, token_counts, toxicity
 from saldo.llm.common import documents
 
 
@@ -34,6 +34,10 @@ def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.deduplicated(documents(spark, folder))
 
 
+def op8_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return interpolated_lm.scored(documents(spark, folder))
+
+
 def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identified(documents(spark, folder))
 
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality": op4_quality,
     "op6_simhash": op6_simhash,
     "op7_suffix_dedup": op7_suffix_dedup,
+    "op8_language_model": op8_language_model,
     "op9_language": op9_language,
     "op10_token_counts": op10_token_counts,
 }
