@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from saldo.llm import exact_dedup, interpolated_lm, language, packing, quality, simhash, suffix_dedup, token_counts, toxicity
+from saldo.llm import exact_dedup, interpolated_lm, language, packing, pieces, quality, simhash, suffix_dedup, token_counts, toxicity
 from saldo.llm.common import documents
 
 
@@ -26,6 +26,10 @@ def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judged(documents(spark, folder))
 
 
+def op5_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.pieces(documents(spark, folder))
+
+
 def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.clustered(documents(spark, folder))
 
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_quality": op4_quality,
+    "op5_pieces": op5_pieces,
     "op6_simhash": op6_simhash,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_language_model": op8_language_model,
