@@ -7,11 +7,43 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from saldo.llm import common
+from saldo.llm import common, exact_dedup, language, packing, simhash, suffix_dedup
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+
+def find_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the documents in which a language is found."""
+    return language.accepted(docs)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the first of equal texts."""
+    return exact_dedup.kept(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the first document of each group of near copies."""
+    return simhash.kept(docs)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut passages that another document, or the same one, has before."""
+    return suffix_dedup.shortened(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pack the tokens of what is left into sequences."""
+    return packing.packed(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language", find_language),
+    ("exact_dedup", drop_copies),
+    ("near_dedup", drop_near_copies),
+    ("suffix_dedup", cut_repeats),
+    ("packing", pack),
+]
 
 #: No SQL: language profiles, fingerprints and packing have no counterpart in it.
 ORACLE_SQL: str | None = None

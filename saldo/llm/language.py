@@ -161,3 +161,13 @@ def identified(docs: DataFrame) -> DataFrame:
     return docs.select(
         "doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), predicted("text", model).alias("found")
     ).select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score")
+
+
+def accepted(docs: DataFrame) -> DataFrame:
+    """The documents in which a language is found, with the columns that they came with.
+
+    Rejected are texts without a letter and those that resemble no learned language at all.
+    """
+    model = prototypes(training_rows(docs))
+    rows = docs.withColumn("_found", predicted("text", model))
+    return rows.where((F.col("_found.lang") != UNKNOWN) & (F.col("_found.score") > 0)).drop("_found")

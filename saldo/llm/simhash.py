@@ -201,20 +201,47 @@ def links(prints: DataFrame, limit: int = MAX_BITS, bucket: int = BUCKET) -> Dat
     return whole
 
 
-def clustered(
-    docs: DataFrame, limit: int = MAX_BITS, words_per_shingle: int = SHINGLE_WORDS, bucket: int = BUCKET
-) -> DataFrame:
-    """The fingerprint and the component of every document."""
-    prints = written(docs.select("doc_id", fingerprint("text", words_per_shingle).alias("print")), "prints")
-    classes = written(prints.groupBy("print").agg(F.min("doc_id").alias("first")), "classes")
+def _components(
+    docs: DataFrame, limit: int, words_per_shingle: int, bucket: int
+) -> tuple[DataFrame, DataFrame]:
+    """The fingerprint (``print``) of every row, and the first row of each fingerprint's component."""
+    prints = docs.select(
+        F.monotonically_increasing_id().alias("row"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        fingerprint("text", words_per_shingle).alias("print"),
+    )
+    prints = written(prints, "prints")
+    first = F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "row")).alias("first")
+    classes = written(prints.groupBy("print").agg(first), "classes")
     roots = components(links(classes.select("print"), limit, bucket))
     linked = classes.join(roots, F.col("print") == F.col("node"), "left").select(
         "print", F.coalesce("root", "print").alias("root"), "first"
     )
     linked = written(linked, "linked")
-    ids = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    found = written(linked.join(ids, "root").select("print", "component_id"), "found")
+    firsts = linked.groupBy("root").agg(F.min("first").alias("first"))
+    return prints, written(linked.drop("first").join(firsts, "root").select("print", "first"), "found")
+
+
+def clustered(
+    docs: DataFrame, limit: int = MAX_BITS, words_per_shingle: int = SHINGLE_WORDS, bucket: int = BUCKET
+) -> DataFrame:
+    """The fingerprint and the component of every document."""
+    prints, found = _components(docs, limit, words_per_shingle, bucket)
     # two shuffled sides: the rows of a hot fingerprint can be split
     return prints.join(found, "print").select(
-        "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id"
+        "doc_id",
+        F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
+        F.col("first.doc_id").alias("component_id"),
     )
+
+
+def kept(
+    docs: DataFrame, limit: int = MAX_BITS, words_per_shingle: int = SHINGLE_WORDS, bucket: int = BUCKET
+) -> DataFrame:
+    """The first row of each component of a stable scan, with the columns that it came with."""
+    prints, found = _components(docs, limit, words_per_shingle, bucket)
+    others = written(prints.join(found, "print").where("row <> first.row").select(F.col("row").alias("_other")), "others")
+    if others.count() <= BROADCAST_ROWS:
+        others = F.broadcast(others)
+    rows = docs.select("*", F.monotonically_increasing_id().alias("_row"))
+    return rows.join(others, F.col("_row") == F.col("_other"), "left_anti").select(*[f"`{c}`" for c in docs.columns])
