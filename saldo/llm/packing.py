@@ -33,7 +33,7 @@ from saldo.llm.common import partitions, runs, written
 SEQUENCE_TOKENS = 2048
 END_ID = 1
 #: Open windows of a task, and tasks whose last windows are merged together.
-OPEN_WINDOWS, TASKS_MERGED = 64, 64
+OPEN_WINDOWS, TASKS_MERGED = 64, 8
 #: Sequence ids of merged windows start here; those of a task at its number times 2**32.
 _MERGED = 1 << 62
 #: Rows of a record batch that a task returns.
