@@ -7,18 +7,21 @@ and runs the same plans that the pipeline runs on CSV input.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
 import oracles
+import order_domain
+from saldo import pipeline
 from saldo.functions import text as X
+from saldo.functions.values import parse_date
 from saldo.operators.checks import describe
 from saldo.operators.dedup import SEQ
 from saldo.plans import billing, cleaning, kpis, quality, star
-from saldo.session import shared_dir
-from saldo.sources import order_domain
-from saldo.sources.csv_tables import RAW_COLUMNS, read_raw_csv, read_typed_csv
+from saldo.session import checkpointed, scratch_folder
+from saldo.sources.csv_tables import RAW_COLUMNS, read_raw_csv
 from saldo.sources.tables import LazyTables, write_csv
 
 try:  # the operators for training data live in a subpackage that may be left out
@@ -34,20 +37,19 @@ class Finance:
     """The layers over one source folder."""
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.spark = spark
         self.source = order_domain.source_tables(spark, folder)
         self.raw = LazyTables(lambda name: order_domain.BUILDERS[name](self.source))
         self.clean = LazyTables(self._clean)
         self.star = LazyTables(lambda name: star.BUILDERS[name](self.clean))
-        self.kpi_star = LazyTables(self._kpi_star)
+        self.kpi_star = star.kpi_star(self.clean)
 
     def _clean(self, name: str) -> DataFrame:
-        return kpis.kpi_base(self.kpi_star) if name == "kpi_base" else cleaning.BUILDERS[name](self.raw)
-
-    def _kpi_star(self, name: str) -> DataFrame:
-        # no KPI looks at the plan, so their subscriptions skip the plan lookup
-        if name == "fact_subscription":
-            return star.fact_subscription(cleaning.valid_subscriptions(self.raw["subscriptions"]))
-        return self.star[name]
+        if name == "kpi_base":
+            return kpis.kpi_base(self.kpi_star)
+        if name == "subscriptions":
+            return cleaning.fill_plans(self.clean["valid_subscriptions"], self.clean["customers"])
+        return {**cleaning.BUILDERS, **cleaning.STEPS}[name](self.raw)
 
 
 Plan = Callable[[Finance], DataFrame]
@@ -62,8 +64,10 @@ def _column(table: str, key: str, column: str, standardize: Callable[[str], str]
 
 
 def _clean_text(f: Finance) -> DataFrame:
-    padded = f.source["customer"].selectExpr("c_custkey", "concat(' ', c_mktsegment, '  ') AS padded")
-    return padded.selectExpr("c_custkey", f"{X.clean_text('padded')} AS cleaned")
+    """Padded, blank, tabbed and missing text, by the row's key."""
+    texts = "array(concat(' ', c_mktsegment, '  '), ' ', concat('\\t', c_mktsegment, '\\n'), NULL, '', c_mktsegment)"
+    raw = f.source["customer"].selectExpr("c_custkey", f"{texts}[CAST(c_custkey % 6 AS INT)] AS raw_text")
+    return raw.selectExpr("c_custkey", f"{X.clean_text('raw_text')} AS cleaned")
 
 
 def _kpi_describe(f: Finance) -> DataFrame:
@@ -73,24 +77,71 @@ def _kpi_describe(f: Finance) -> DataFrame:
     return profile.selectExpr(*[f"round({c}, 4) AS {c}" if c in inexact else c for c in profile.columns])
 
 
-def _checks(*groups: quality.Checks) -> Plan:
-    return lambda f: quality.check_tables(f.clean, *groups)
+def _checks(*groups: quality.Checks, **also: bool) -> Plan:
+    return lambda f: quality.check_tables(f.clean, *groups, **also)
+
+
+def _raw_rejects(f: Finance) -> DataFrame:
+    """What cleaning takes for missing in raw tables that arrive as text, some of it garbled or in other forms."""
+
+    def date_text(c: str) -> str:
+        return f"""CASE day({c}) WHEN 13 THEN concat({c}, ' xyz') WHEN 14 THEN date_format({c}, 'M/d/yyyy')
+            WHEN 15 THEN date_format({c}, 'yyyyMMdd') ELSE CAST({c} AS STRING) END"""
+
+    def number_text(c: str) -> str:
+        return f"CASE WHEN floor(abs({c})) % 97 = 5 THEN concat('about ', {c}) ELSE CAST({c} AS STRING) END"
+
+    def as_text(name: str) -> DataFrame:
+        texts = {
+            c: date_text(c) if parse is parse_date else number_text(c)
+            for c, parse in quality.PARSED_COLUMNS[name].items()
+        }
+        return f.raw[name].selectExpr(*[f"{texts[c]} AS {c}" if c in texts else c for c in f.raw[name].columns])
+
+    return quality.rejected_values(LazyTables(as_text))
 
 
 def _csv_scan(f: Finance) -> DataFrame:
     """Raw customers written as CSV to the shared folder and scanned back as text."""
     raw = f.raw["customers"]
-    path = f"{shared_dir(raw.sparkSession)}/saldo_raw_customers_{uuid.uuid4().hex}"
-    write_csv(raw, path)
-    return read_raw_csv(raw.sparkSession, path, RAW_COLUMNS["customers"]).drop(SEQ)
+    with scratch_folder(raw.sparkSession) as folder:
+        write_csv(raw, folder)
+        return checkpointed(read_raw_csv(raw.sparkSession, folder, RAW_COLUMNS["customers"]).drop(SEQ))
+
+
+def _contents(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows of each table, and the number of its distinct first columns: (table_name, row_count, distinct_keys)."""
+    counts = [
+        df.selectExpr(
+            f"'{name}' AS table_name", "count(*) AS row_count", f"count(DISTINCT {df.columns[0]}) AS distinct_keys"
+        )
+        for name, df in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
 
 def _mart_export(f: Finance) -> DataFrame:
-    """The monthly KPI view exported as CSV to the shared folder and read back."""
-    view = kpis.monthly_kpis(f.kpi_star)
-    path = f"{shared_dir(view.sparkSession)}/saldo_monthly_kpis_{uuid.uuid4().hex}"
-    write_csv(view, path)
-    return read_typed_csv(view.sparkSession, path, view.schema)
+    """The star schema and the monthly KPI view exported as CSV to the shared folder, and what they hold read back."""
+    layers = {"mart": f.star, "kpis": {"vw_saas_monthly_kpis": kpis.monthly_kpis(f.kpi_star)}}
+    for name in star.BUILDERS:
+        f.star[name]
+    with scratch_folder(f.spark) as folder:
+        return checkpointed(_contents(pipeline.export_mart(layers, folder)))
+
+
+def _catalog_build(f: Finance) -> DataFrame:
+    """The star schema as catalog tables with the KPI views over them, and what they hold read back by name."""
+    database = f"saldo_{uuid.uuid4().hex}"
+    for name in star.BUILDERS:
+        f.star[name]
+    try:
+        built = pipeline.build_catalog({"mart": f.star}, database)
+        by_name = {
+            name: f.spark.table(name if name.startswith("vw_") else f"{database}.{name}") for name in built
+        }
+        return checkpointed(_contents(by_name))
+    finally:
+        f.spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
 
 
 def _arr_growth(f: Finance) -> DataFrame:
@@ -102,6 +153,7 @@ def _arr_growth(f: Finance) -> DataFrame:
 PLANS: dict[str, Plan] = {
     "csv_scan": _csv_scan,
     "mart_export": _mart_export,
+    "catalog_build": _catalog_build,
     "clean_text": _clean_text,
     "title_case": lambda f: f.source["part"].selectExpr(
         "p_partkey", f"{X.title_case(X.strip('p_name'))} AS titled"
@@ -147,9 +199,11 @@ PLANS: dict[str, Plan] = {
     "kpi_base": lambda f: f.clean["kpi_base"],
     "exec_summary": lambda f: kpis.exec_summary(kpis.monthly_kpis(f.kpi_star)),
     "arr_growth": _arr_growth,
-    "dq_duplicates": _checks(quality.DUPLICATES),
+    "dq_duplicates": _checks(duplicates=True),
     "dq_nulls": _checks(quality.CRITICAL_NULLS),
-    "dq_allowed_values": _checks(quality.ALLOWED_VALUES),
+    "dq_allowed_values": _checks(labels=True),
+    "dq_unexpected_values": lambda f: quality.unexpected_values(f.clean),
+    "dq_rejected_values": _raw_rejects,
     "dq_date_order": _checks(quality.date_order(oracles.AS_OF)),
     "dq_business_rules": _checks(quality.BUSINESS_RULES),
     "dq_invoice_math": _checks(quality.INVOICE_MATH),
@@ -158,7 +212,7 @@ PLANS: dict[str, Plan] = {
     "dq_summary": lambda f: quality.issue_summary(f.clean, oracles.AS_OF),
     "kpi_describe": _kpi_describe,
     "raw_audit": lambda f: quality.raw_audit(f.raw),
-    "mart_row_counts": lambda f: star.mart_row_counts(f.star),
+    "mart_row_counts": lambda f: star.mart_row_counts(f.kpi_star),
     "top12_months": lambda f: kpis.first_months(kpis.monthly_kpis(f.kpi_star), 12),
     "billing_schedule": lambda f: billing.billing_schedule(f.raw["subscriptions"], oracles.HORIZON),
 }

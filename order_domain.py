@@ -17,7 +17,6 @@ from saldo.functions.values import round2
 from saldo.operators.aggregate import aggregate
 from saldo.sources.tables import LazyTables
 
-
 Tables = Mapping[str, DataFrame]
 
 

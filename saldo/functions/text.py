@@ -97,6 +97,11 @@ def has_text(df: DataFrame, name: str) -> str:
     return f"{name} IS NOT NULL"
 
 
+def clean_value(df: DataFrame, name: str) -> str:
+    """A column of any type, with blank text as NULL."""
+    return clean_text(name) if isinstance(df.schema[name].dataType, T.StringType) else name
+
+
 def _over_text_columns(df: DataFrame, change, skip: tuple[str, ...] = ()) -> DataFrame:
     return df.selectExpr(
         *[

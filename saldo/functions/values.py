@@ -1,22 +1,26 @@
-"""Dates, numbers and money as SQL expressions."""
+"""Dates, numbers and sums as SQL expressions."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-# Money is summed as whole ten-thousandths, so that a sum is exact and does not
-# depend on the order in which partitions arrive.
-_UNITS = 10000
-
-_ISO_DATE = r"^\s*\d{4}-\d{2}-\d{2}"
+# Whole date texts: ISO with or without a time, compact, and month first with slashes.
+_ISO_DATE = r"^\s*\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.]\d+)?)?\s*(Z|[+-]\d{2}(:?\d{2})?)?)?\s*$"
+_COMPACT_DATE = r"^\s*\d{8}\s*$"
+_SLASH_DATE = r"^\s*\d{1,2}/\d{1,2}/\d{4}\s*$"
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def parse_date(df: DataFrame, name: str) -> str:
-    """A date column of any type as DATE; text that is no ISO date becomes NULL."""
+    """A date column of any type as DATE; text that is no date as a whole becomes NULL.
+
+    Text may be an ISO date with or without a time, ``yyyyMMdd``, or ``M/d/yyyy``.
+    """
     if isinstance(df.schema[name].dataType, T.StringType):
-        return f"CASE WHEN {name} RLIKE r'{_ISO_DATE}' THEN try_cast({name} AS DATE) END"
+        return f"""CASE WHEN {name} RLIKE r'{_ISO_DATE}' THEN try_cast(substr(trim({name}), 1, 10) AS DATE)
+            WHEN {name} RLIKE r'{_COMPACT_DATE}' THEN try_to_date(trim({name}), 'yyyyMMdd')
+            WHEN {name} RLIKE r'{_SLASH_DATE}' THEN try_to_date(trim({name}), 'M/d/yyyy') END"""
     return f"CAST({name} AS DATE)"
 
 
@@ -53,10 +57,15 @@ def first_month_index(d: str) -> str:
     return f"({month_index(d)} + CASE WHEN day({d}) > 1 THEN 1 ELSE 0 END)"
 
 
-def money_sum(x: str) -> str:
-    """Exact, order-independent sum of money as DOUBLE."""
-    units = f"CAST(CAST(rint(({x}) * {_UNITS}) AS BIGINT) AS DECIMAL(20, 0))"
-    return f"(CAST(sum({units}) AS DOUBLE) / {_UNITS})"
+def exact_sum(x: str) -> str:
+    """Sum of a DOUBLE expression that does not depend on the order of the rows.
+
+    What a row holds down to the twelfth decimal is added exactly, as decimals;
+    what is left of it (0 for amounts of money) or is too large for that is added
+    beside it, so nothing is cut off and nothing overflows.
+    """
+    whole = f"CAST(CASE WHEN abs({x}) < 1e15D THEN {x} ELSE 0D END AS DECIMAL(27, 12))"
+    return f"(CAST(sum({whole}) AS DOUBLE) + sum(({x}) - CAST({whole} AS DOUBLE)))"
 
 
 def ratio(numerator: str, denominator: str, when: str) -> str:

@@ -64,17 +64,27 @@ def valid_subscriptions(raw: DataFrame) -> DataFrame:
     )
 
 
+# Parts that a customer's subscriptions are spread over for the plan lookup.
+LOOKUP_PARTS = 64
+
+
 def fill_plans(subscriptions: DataFrame, customers: DataFrame) -> DataFrame:
     """Take the customer's plan where the subscription has none.
 
-    The join side is picked by size at run time; adaptive execution splits a hot
-    customer.
+    Only rows without a plan, and with a customer to ask for it, take part in the
+    lookup. They are spread over parts of their customer, and the plan is fetched
+    once per customer and part, so that a hot customer is not one task's.
     """
+    asks = "plan_name = 'Unknown' AND customer_id IS NOT NULL"
+    part = f"pmod(xxhash64(subscription_id), {LOOKUP_PARTS}) AS _part"
+    without = subscriptions.filter(asks).selectExpr("*", part)
     plans = customers.selectExpr("customer_id", "plan_name AS customer_plan")
-    filled = "coalesce(nullif(plan_name, 'Unknown'), customer_plan, 'Unknown') AS plan_name"
-    return subscriptions.join(plans, "customer_id", "left").selectExpr(
+    found = without.select("customer_id", "_part").distinct().join(plans, "customer_id")
+    filled = "coalesce(customer_plan, 'Unknown') AS plan_name"
+    looked_up = without.join(found, ["customer_id", "_part"], "left").selectExpr(
         *[filled if c == "plan_name" else c for c in subscriptions.columns]
     )
+    return subscriptions.filter(f"NOT ({asks})").unionByName(looked_up)
 
 
 def clean_subscriptions(raw: DataFrame, customers: DataFrame) -> DataFrame:
@@ -133,10 +143,10 @@ def clean_gl(raw: DataFrame) -> DataFrame:
     )
 
 
-def clean_sales_marketing(raw: DataFrame) -> DataFrame:
-    """Month-grain campaign rows with CAC; exact duplicates dropped."""
+def campaigns(raw: DataFrame) -> DataFrame:
+    """Month-grain campaign rows, duplicates included."""
     t = X.trim_text_columns(raw)
-    cleaned = t.selectExpr(
+    return t.selectExpr(
         f"{month_start(parse_date(t, 'period'))} AS period",
         f"{X.std_channel('channel')} AS channel",
         "coalesce(campaign_name, 'Unknown Campaign') AS campaign_name",
@@ -144,22 +154,30 @@ def clean_sales_marketing(raw: DataFrame) -> DataFrame:
         f"greatest(coalesce({parse_number(t, 'leads')}, 0), 0) AS leads",
         f"greatest(coalesce({parse_number(t, 'won_customers')}, 0), 0) AS won_customers",
     ).filter("period IS NOT NULL")
+
+
+def clean_sales_marketing(raw: DataFrame) -> DataFrame:
+    """Month-grain campaign rows with CAC; exact duplicates dropped."""
     cac = f"CASE WHEN won_customers > 0 THEN {round2('spend / won_customers')} END AS cac"
-    return cleaned.dropDuplicates().selectExpr("*", cac)
+    return campaigns(raw).dropDuplicates().selectExpr("*", cac)
 
 
-def clean_cash(raw: DataFrame) -> DataFrame:
-    """One row per month and entity with the largest balances; a missing ending is the beginning."""
+def balances(raw: DataFrame) -> DataFrame:
+    """Month-grain balances by entity, repetitions included; a missing ending is the beginning."""
     t = X.trim_text_columns(raw)
     beginning, ending = parse_number(t, "beginning_cash"), parse_number(t, "ending_cash")
-    balances = t.selectExpr(
+    return t.selectExpr(
         f"{month_start(parse_date(t, 'period'))} AS period",
         f"{X.std_entity('entity')} AS entity",
         f"{beginning} AS beginning_cash",
         f"coalesce({ending}, {beginning}) AS ending_cash",
     ).filter("period IS NOT NULL")
+
+
+def clean_cash(raw: DataFrame) -> DataFrame:
+    """One row per month and entity with the largest balances."""
     largest = {"beginning_cash": "max(beginning_cash)", "ending_cash": "max(ending_cash)"}
-    return aggregate(balances, ["period", "entity"], largest)
+    return aggregate(balances(raw), ["period", "entity"], largest)
 
 
 # How each clean table follows from the raw tables, in build order.
@@ -171,3 +189,10 @@ BUILDERS = {
     "sales_marketing": lambda raw: clean_sales_marketing(raw["sales_marketing"]),
     "cash": lambda raw: clean_cash(raw["cash"]),
 }
+
+# Steps before a clean table is complete, for readers that need no more of it.
+STEPS = {
+    "valid_subscriptions": lambda raw: valid_subscriptions(raw["subscriptions"]),
+    "campaigns": lambda raw: campaigns(raw["sales_marketing"]),
+    "balances": lambda raw: balances(raw["cash"]),
+}

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from saldo.functions.text import literals
-from saldo.functions.values import money_sum, month_start, ratio, round2
+from saldo.functions.values import exact_sum, month_start, ratio, round2
 from saldo.operators.aggregate import aggregate
 from saldo.operators.merge import merge_on_period
 from saldo.operators.presence import presence_changes, running_presence
@@ -20,6 +20,7 @@ GL_CATEGORIES = ["COGS", "Cash", "G&A", "Other", "R&D", "Sales & Marketing"]
 GL_MEASURES = {"cogs": "COGS", "sales_marketing": "Sales & Marketing", "rnd": "R&D", "ga": "G&A"}
 LIVE_STATUSES = ["Active", "Paused"]
 
+# The columns of the KPI view and of the base table, in order.
 SPINE_MEASURES = [
     "revenue",
     "new_customers",
@@ -76,12 +77,12 @@ def monthly_revenue(revenue: DataFrame, keep_void_months: bool = True) -> DataFr
     if not keep_void_months:
         revenue = revenue.filter("NOT coalesce(is_void, false)")
     recognised = "CASE WHEN coalesce(is_void, false) THEN 0 ELSE amount END"
-    return aggregate(revenue, ["period"], {"revenue": money_sum(recognised)})
+    return aggregate(revenue, ["period"], {"revenue": exact_sum(recognised)})
 
 
 def monthly_bookings(subscriptions: DataFrame) -> DataFrame:
     """New customers and newly booked ARR by start month, in one aggregate."""
-    booked = {"new_customers": "count(DISTINCT customer_id)", "new_arr_booked": money_sum("arr")}
+    booked = {"new_customers": "count(DISTINCT customer_id)", "new_arr_booked": exact_sum("arr")}
     return aggregate(subscriptions, ["period"], booked)
 
 
@@ -93,7 +94,7 @@ def monthly_signups(customers: DataFrame) -> DataFrame:
 
 
 def _category_sum(category: str) -> str:
-    return money_sum(f"CASE WHEN account_category = '{category}' THEN amount ELSE 0 END")
+    return exact_sum(f"CASE WHEN account_category = '{category}' THEN amount ELSE 0 END")
 
 
 def gl_summary(gl: DataFrame) -> DataFrame:
@@ -104,21 +105,21 @@ def gl_summary(gl: DataFrame) -> DataFrame:
 def gl_pivot(gl: DataFrame) -> DataFrame:
     """Ledger amounts by month with one column per category; 0 where there are none."""
     by_category = gl.groupBy("period").pivot("account_category", GL_CATEGORIES)
-    return by_category.agg(F.expr(money_sum("amount"))).fillna(0.0, GL_CATEGORIES)
+    return by_category.agg(F.expr(exact_sum("amount"))).fillna(0.0, GL_CATEGORIES)
 
 
 def monthly_marketing(sales_marketing: DataFrame, round_cac: bool = False) -> DataFrame:
     totals = {
-        "total_marketing_spend": money_sum("spend"),
-        "leads": money_sum("leads"),
-        "marketing_won_customers": money_sum("won_customers"),
+        "total_marketing_spend": exact_sum("spend"),
+        "leads": "sum(leads)",
+        "marketing_won_customers": "sum(won_customers)",
     }
     cac = ratio("total_marketing_spend", "marketing_won_customers", when="marketing_won_customers > 0")
     return aggregate(sales_marketing, ["period"], totals).selectExpr("*", f"{round2(cac) if round_cac else cac} AS cac")
 
 
 def monthly_cash(cash: DataFrame) -> DataFrame:
-    return aggregate(cash, ["period"], {"ending_cash": money_sum("ending_cash")})
+    return aggregate(cash, ["period"], {"ending_cash": exact_sum("ending_cash")})
 
 
 def churned_customers(subscriptions: DataFrame) -> DataFrame:
@@ -165,15 +166,15 @@ def kpi_spine(star: dict[str, DataFrame]) -> DataFrame:
     return merged.selectExpr("period", *_zero_filled(SPINE_MEASURES, keep_null=("cac",)))
 
 
-def _with_customer_counts(spine_parts: list[DataFrame], subscriptions: DataFrame) -> DataFrame:
-    """Merge the spine with churn and active customers, keeping the spine's months only.
+def _with_customer_counts(spine_parts: list[DataFrame], subscriptions: DataFrame, *beside: DataFrame) -> DataFrame:
+    """Merge the spine with churn, active customers and what else is given, keeping the spine's months only.
 
     Months that only carry a presence change still count towards the running
     sum, so they leave after it.
     """
     spine = [part.selectExpr("*", "true AS in_spine") for part in spine_parts]
     return (
-        merge_on_period(*spine, churned_customers(subscriptions), _active_changes(subscriptions))
+        merge_on_period(*spine, *beside, churned_customers(subscriptions), _active_changes(subscriptions))
         .selectExpr("*", f"coalesce({running_presence('change')}, 0) AS active_customers")
         .filter("in_spine")
         .drop("in_spine", "change")
@@ -251,14 +252,19 @@ def kpi_base(star: dict[str, DataFrame]) -> DataFrame:
         gl_pivot(star["fact_gl"]),
         monthly_marketing(star["fact_sales_marketing"], round_cac=True),
     ]
-    counted = _with_customer_counts(parts, star["fact_subscription"])
     cash = star["fact_cash"].select("period", "entity", "ending_cash")
-    by_entity = "OVER (ORDER BY period, entity)"
-    growth = ratio("new_arr_booked", f"lag(new_arr_booked) {by_entity}", when=f"lag(new_arr_booked) {by_entity} <> 0")
-    filled = [c for c in counted.columns if c != "period"] + ["ending_cash"]
+    first_entity = aggregate(cash, ["period"], {"first_entity": "min(entity)"})
+    counted = _with_customer_counts(parts, star["fact_subscription"], first_entity)
+    months = [c for c in counted.columns if c not in ("period", "first_entity")]
+    counted = counted.selectExpr("period", "first_entity", *_zero_filled(months)).selectExpr(
+        "*", "lag(new_arr_booked) OVER (ORDER BY period) AS earlier_month_arr"
+    )
+    # rows go by month and entity: the first entity follows the month before, any other one its own month
+    earlier = "CASE WHEN entity = first_entity OR entity IS NULL THEN earlier_month_arr ELSE new_arr_booked END AS earlier"
+    growth = ratio("new_arr_booked", "earlier", when="earlier <> 0")
     return (
         counted.join(cash, "period", "left")
-        .selectExpr("period", "entity", *_zero_filled(filled))
+        .selectExpr("period", "entity", *[f"`{c}`" for c in months], "coalesce(ending_cash, 0) AS ending_cash", earlier)
         .selectExpr("*", *_margins("`COGS`", "`Sales & Marketing` + `R&D` + `G&A` + `COGS`"), f"{growth} - 1 AS arr_growth_pct")
         .selectExpr("*", *_LIFETIME)
         .selectExpr("*", _LTV_CAC)

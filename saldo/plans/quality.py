@@ -5,14 +5,23 @@ A check is a counter; its result is a row (table_name, check_name, issues).
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
 
-from saldo.functions.text import literals
-from saldo.functions.values import round2
+from saldo.functions.text import clean_value, literals
+from saldo.functions.values import parse_date, parse_number, round2
 from saldo.operators.aggregate import aggregate
-from saldo.operators.checks import count_if, nulls, run_checks, surplus_duplicates, unexpected_values
+from saldo.operators.checks import (
+    count_if,
+    nulls,
+    run_checks,
+    run_keyed_checks,
+    run_label_checks,
+    surplus_duplicates,
+    unexpected_labels,
+)
 
 # The labels a clean column may hold.
 CUSTOMER_STATUSES = ["Active", "Churned", "Paused", "Unknown"]
@@ -58,13 +67,14 @@ PROFILED_KPIS = [
 # Counters by table and name, as SQL aggregates.
 Checks = dict[str, dict[str, str]]
 
-DUPLICATES: Checks = {
-    "customers": {"duplicate_customer_id": surplus_duplicates("customer_id")},
-    "subscriptions": {"duplicate_subscription_id": surplus_duplicates("subscription_id")},
-    "invoices": {"duplicate_invoice_id": surplus_duplicates("invoice_id")},
-    "gl": {"duplicate_gl_txn_id": surplus_duplicates("gl_txn_id")},
-    "cash": {"duplicate_cash_rows": surplus_duplicates("period", "entity")},
-    "kpi_base": {"duplicate_kpi_periods": surplus_duplicates("period")},
+# The key of each table, and the check that counts rows beyond the first of a key.
+DUPLICATES: dict[str, tuple[str, tuple[str, ...]]] = {
+    "customers": ("duplicate_customer_id", ("customer_id",)),
+    "subscriptions": ("duplicate_subscription_id", ("subscription_id",)),
+    "invoices": ("duplicate_invoice_id", ("invoice_id",)),
+    "gl": ("duplicate_gl_txn_id", ("gl_txn_id",)),
+    "cash": ("duplicate_cash_rows", ("period", "entity")),
+    "kpi_base": ("duplicate_kpi_periods", ("period",)),
 }
 
 CRITICAL_NULLS: Checks = {
@@ -72,18 +82,19 @@ CRITICAL_NULLS: Checks = {
     for table, columns in CRITICAL_COLUMNS.items()
 }
 
-ALLOWED_VALUES: Checks = {
+# The labels that each check allows in its column.
+ALLOWED_VALUES: dict[str, dict[str, tuple[str, list[str]]]] = {
     "customers": {
-        "unexpected_customer_statuses": unexpected_values("account_status", CUSTOMER_STATUSES),
-        "unexpected_region_values": unexpected_values("region", REGIONS),
+        "unexpected_customer_statuses": ("account_status", CUSTOMER_STATUSES),
+        "unexpected_region_values": ("region", REGIONS),
     },
     "subscriptions": {
-        "unexpected_subscription_statuses": unexpected_values("subscription_status", SUBSCRIPTION_STATUSES),
-        "unexpected_currency_values": unexpected_values("currency", CURRENCIES),
+        "unexpected_subscription_statuses": ("subscription_status", SUBSCRIPTION_STATUSES),
+        "unexpected_currency_values": ("currency", CURRENCIES),
     },
-    "invoices": {"unexpected_invoice_statuses": unexpected_values("invoice_status", INVOICE_STATUSES)},
-    "gl": {"unexpected_gl_categories": unexpected_values("account_category", GL_CATEGORIES)},
-    "cash": {"unexpected_entity_values": unexpected_values("entity", ENTITIES)},
+    "invoices": {"unexpected_invoice_statuses": ("invoice_status", INVOICE_STATUSES)},
+    "gl": {"unexpected_gl_categories": ("account_category", GL_CATEGORIES)},
+    "cash": {"unexpected_entity_values": ("entity", ENTITIES)},
 }
 
 
@@ -138,23 +149,79 @@ KPI_RANGES: Checks = {
 }
 
 
-def check_tables(tables: dict[str, DataFrame], *groups: Checks) -> DataFrame:
-    """Run groups of checks, with one pass over each table that any of them names."""
-    by_table: Checks = {}
+def check_tables(tables: Mapping[str, DataFrame], *groups: Checks, duplicates: bool = False, labels: bool = False) -> DataFrame:
+    """Run groups of counters, and on request the duplicate and label checks.
+
+    A table is read once for its counters and duplicates, and once more, down to
+    its combinations of labels, for the labels.
+    """
+    by_table: Checks = {table: {} for table in DUPLICATES} if duplicates else {}
     for group in groups:
         for table, checks in group.items():
             by_table.setdefault(table, {}).update(checks)
+    found = []
+    for table, checks in by_table.items():
+        if duplicates and table in DUPLICATES:
+            name, keys = DUPLICATES[table]
+            found.append(run_keyed_checks(tables[table], table, keys, name, checks))
+        else:
+            found.append(run_checks(tables[table], table, checks))
+    if labels:
+        found += [run_label_checks(tables[table], table, allowed) for table, allowed in ALLOWED_VALUES.items()]
+    return reduce(DataFrame.unionByName, found)
+
+
+def unexpected_values(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Every label outside the allowed ones, with its table, check and number of rows."""
     return reduce(
-        DataFrame.unionByName, [run_checks(tables[table], table, checks) for table, checks in by_table.items()]
+        DataFrame.unionByName,
+        [unexpected_labels(tables[table], table, allowed) for table, allowed in ALLOWED_VALUES.items()],
     )
 
 
-def issue_summary(tables: dict[str, DataFrame], as_of: str | None = None) -> DataFrame:
+# Columns of the raw tables that must hold a date or a number where they hold anything.
+PARSED_COLUMNS = {
+    "customers": {"signup_date": parse_date},
+    "subscriptions": {
+        "start_date": parse_date,
+        "end_date": parse_date,
+        "mrr": parse_number,
+        "discount_pct": parse_number,
+    },
+    "invoices": {
+        "invoice_date": parse_date,
+        "due_date": parse_date,
+        "amount": parse_number,
+        "tax": parse_number,
+    },
+    "gl": {"txn_date": parse_date, "amount": parse_number},
+    "sales_marketing": {
+        "period": parse_date,
+        "spend": parse_number,
+        "leads": parse_number,
+        "won_customers": parse_number,
+    },
+    "cash": {"period": parse_date, "beginning_cash": parse_number, "ending_cash": parse_number},
+}
+
+
+def rejected_values(raw: Mapping[str, DataFrame]) -> DataFrame:
+    """Values of raw date and number columns that cleaning takes for missing: (table_name, check_name, issues)."""
+    found = []
+    for table, parsers in PARSED_COLUMNS.items():
+        df = raw[table]
+        checks = {
+            f"rejected_{column}": count_if(f"{clean_value(df, column)} IS NOT NULL AND {parse(df, column)} IS NULL")
+            for column, parse in parsers.items()
+        }
+        found.append(run_checks(df, table, checks))
+    return reduce(DataFrame.unionByName, found)
+
+
+def issue_summary(tables: Mapping[str, DataFrame], as_of: str | None = None) -> DataFrame:
     """All 32 counters with their total and the verdict; the critical NULL counts are one counter."""
-    groups = [
-        DUPLICATES, CRITICAL_NULLS, ALLOWED_VALUES, date_order(as_of), BUSINESS_RULES, INVOICE_MATH, CAC, KPI_RANGES,
-    ]
-    counters = check_tables(tables, *groups)
+    groups = [CRITICAL_NULLS, date_order(as_of), BUSINESS_RULES, INVOICE_MATH, CAC, KPI_RANGES]
+    counters = check_tables(tables, *groups, duplicates=True, labels=True)
     critical = literals([name for checks in CRITICAL_NULLS.values() for name in checks])
     name = f"CASE WHEN check_name IN ({critical}) THEN 'critical_nulls_total' ELSE check_name END AS check_name"
     return (

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -29,13 +31,25 @@ def get_session(app: str = "saldo", master: str | None = None, **extra: str) ->
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can read: ``spark.checkpoint.dir``.
-
-    A machine-local folder is only used for a local master that names none.
-    """
+    """The folder every executor can read: ``spark.checkpoint.dir``, or one in the warehouse where that is unset."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="saldo-")
-    raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch").rstrip("/")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows of a table as they are now, kept in the shared folder and dropped with their last reader's context."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(df.sparkSession))
+    return df.checkpoint()
+
+
+@contextmanager
+def scratch_folder(spark: SparkSession) -> Iterator[str]:
+    """A new folder below the shared one, removed with all it holds at the end of the block."""
+    folder = f"{shared_dir(spark)}/saldo-{uuid.uuid4().hex}"
+    try:
+        yield folder
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

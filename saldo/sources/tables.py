@@ -33,12 +33,13 @@ def write_tables(tables: dict[str, DataFrame], folder: str) -> dict[str, DataFra
     return {name: write_table(df, f"{folder}/{name}") for name, df in tables.items()}
 
 
-def save_tables(tables: dict[str, DataFrame], database: str) -> None:
-    """Drop and recreate catalog tables, so that a build can be repeated."""
+def save_tables(tables: dict[str, DataFrame], database: str) -> dict[str, DataFrame]:
+    """Drop and recreate catalog tables, so that a build can be repeated; scans of them."""
     spark = next(iter(tables.values())).sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name, df in tables.items():
         df.write.mode("overwrite").saveAsTable(f"{database}.{name}")
+    return {name: spark.table(f"{database}.{name}") for name in tables}
 
 
 def create_views(tables: dict[str, DataFrame]) -> None:

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+from collections import Counter
 
 import pytest
 
 import __spark_entry__ as registry
-from saldo.functions.values import money_sum, round2
-from saldo.operators.checks import describe, run_checks, surplus_duplicates, unexpected_values
+from saldo.functions.values import exact_sum, round2
+from saldo.operators.checks import describe, run_checks, run_keyed_checks, run_label_checks, surplus_duplicates
 from saldo.operators.dedup import keep_first, keep_last
 from saldo.operators.merge import merge_on_period
-from saldo.plans import billing, kpis, quality
+from saldo.plans import billing, cleaning, kpis, quality
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -67,11 +68,23 @@ def test_dedup_limits_groups_before_the_shuffle(spark):
         assert kept.filter("k = 'hot'").first()["v"] == value and kept.count() == 667
 
 
-def test_money_sums_are_exact_in_any_order(spark):
-    rows = [(0.1,)] * 1000 + [(1e9 + 0.01,), (-1e9,)]
+@pytest.mark.parametrize(
+    "values, total",
+    [
+        ([0.1] * 1000 + [1e9 + 0.01, -1e9], 100.01),
+        ([0.00004] * 3, 0.00012),
+        ([1e15, 1.0], 1e15 + 1),
+        ([1e300, 1.0, None], 1e300),
+        ([1e-13] * 10, 1e-12),
+        ([None], None),
+    ],
+)
+def test_sums_are_exact_in_any_order(spark, values, total):
+    rows = [(v,) for v in values]
     for seed in range(3):
         random.Random(seed).shuffle(rows)
-        assert spark.createDataFrame(rows, "x double").repartition(4).selectExpr(money_sum("x")).first()[0] == 100.01
+        found = spark.createDataFrame(rows, "x double").repartition(4).selectExpr(exact_sum("x")).first()[0]
+        assert found == (total if total is None else pytest.approx(total, rel=1e-15))
 
 
 def test_round2_is_half_even(spark):
@@ -80,8 +93,75 @@ def test_round2_is_half_even(spark):
 
 def test_check_counters(spark):
     df = spark.createDataFrame([("a", "x"), ("a", "y"), (None, "z"), (None, "x"), (None, None)], "k string, v string")
-    checks = {"dups": surplus_duplicates("k"), "odd": unexpected_values("v", ["x"])}
-    assert {r.check_name: r.issues for r in run_checks(df, "t", checks).collect()} == {"dups": 3, "odd": 2}
+    found = run_checks(df, "t", {"dups": surplus_duplicates("k")}).collect()
+    found += run_keyed_checks(df, "t", ("k",), "keyed dups", {"nulls": "count_if(v IS NULL)"}).collect()
+    found += run_label_checks(df, "t", {"odd": ("v", ["x"])}).collect()
+    assert {r.check_name: r.issues for r in found} == {"dups": 3, "keyed dups": 3, "nulls": 1, "odd": 2}
+    none = df.limit(0)
+    empty = run_keyed_checks(none, "t", ("k",), "dups", {"nulls": "count_if(v IS NULL)"}).collect()
+    assert [r.issues for r in empty + run_label_checks(none, "t", {"odd": ("v", ["x"])}).collect()] == [0, 0, 0]
+
+
+def test_today_is_the_default_day(spark):
+    tomorrow = dt.date.today() + dt.timedelta(days=2)
+    customers = spark.createDataFrame([("a", tomorrow), ("b", dt.date(2020, 1, 1))], "customer_id string, signup_date date")
+    checks = {"customers": quality.date_order()["customers"]}
+    assert quality.check_tables({"customers": customers}, checks).first().issues == 1
+
+
+@pytest.mark.parametrize("customer", ["hot", None])
+def test_plan_lookup_splits_a_hot_customer(spark, customer):
+    """Half of all subscriptions are one customer's, all without a plan; no task holds a tenth of the rows."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "32"}
+    settings["spark.sql.adaptive.coalescePartitions.enabled"] = "false"
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        who = "CAST(NULL AS STRING)" if customer is None else f"'{customer}'"
+        raw = spark.range(40_000).selectExpr(
+            "CAST(id AS STRING) AS subscription_id",
+            f"CASE WHEN id % 2 = 0 THEN {who} ELSE concat('c', id % 500) END AS customer_id",
+            "DATE'2024-01-01' AS start_date", "CAST(NULL AS DATE) AS end_date",
+            "CASE WHEN id % 2 = 1 AND id % 3 > 0 THEN 'Basic' END AS plan_name",
+            "1D AS mrr", "12D AS arr", "'active' AS subscription_status", "0D AS discount_pct", "'usd' AS currency",
+        )
+        names = [(f"c{k}", "Pro") for k in range(500)] + [("hot", "Growth")]
+        text = "'x' AS customer_name, 'x' AS industry, 'x' AS region, 'x' AS country, DATE'2024-01-01' AS signup_date"
+        rest = "'x' AS acquisition_channel, 'x' AS account_status, plan_name, 'x' AS billing_frequency"
+        customers = spark.createDataFrame(names, "customer_id string, plan_name string").selectExpr(
+            "customer_id", *text.split(", "), *rest.split(", ")
+        )
+        clean = cleaning.clean_subscriptions(raw, cleaning.clean_customers(customers))
+        found = clean.selectExpr("*", "spark_partition_id() AS task").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(found) == 40_000
+    assert max(Counter(r.task for r in found).values()) < 4_000
+    plans = Counter((r.customer_id == customer, r.plan_name) for r in found)
+    assert plans[True, "Growth" if customer else "Unknown"] == 20_000
+    assert {plan for mine, plan in plans if not mine} == {"Basic", "Pro"}
+
+
+def test_growth_within_a_month_of_several_entities(spark):
+    months = [dt.date(2024, m, 1) for m in (1, 2, 3)]
+    star = {
+        "fact_subscription": spark.createDataFrame(
+            [("a", months[0], None, months[0], "Active", 10.0), ("b", months[1], None, months[1], "Active", 15.0)],
+            "customer_id string, start_date date, end_date date, period date, subscription_status string, arr double",
+        ),
+        "fact_revenue": spark.createDataFrame([(months[2], 5.0, False)], "period date, amount double, is_void boolean"),
+        "dim_customer": spark.createDataFrame([("a", months[0])], "customer_id string, signup_date date"),
+        "fact_gl": spark.createDataFrame([], "period date, account_category string, amount double"),
+        "fact_sales_marketing": spark.createDataFrame([], "period date, spend double, leads double, won_customers double"),
+        "fact_cash": spark.createDataFrame(
+            [(m, e, 1.0) for m in months for e in ("X", "Y")], "period date, entity string, ending_cash double"
+        ),
+    }
+    base = kpis.kpi_base(star)
+    assert [r.arr_growth_pct for r in base.collect()] == [None, 0.0, 0.5, 0.0, -1.0, None]
+    assert "entity ASC" not in plan_of(base).split("Window", 1)[1].split("Join", 1)[0]
 
 
 def test_describe_interpolates_quartiles(spark):
