@@ -5,22 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-# Whole date texts: ISO with or without a time, compact, and month first with slashes.
+# A whole date text: ISO, with or without a time.
 _ISO_DATE = r"^\s*\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.]\d+)?)?\s*(Z|[+-]\d{2}(:?\d{2})?)?)?\s*$"
-_COMPACT_DATE = r"^\s*\d{8}\s*$"
-_SLASH_DATE = r"^\s*\d{1,2}/\d{1,2}/\d{4}\s*$"
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def parse_date(df: DataFrame, name: str) -> str:
-    """A date column of any type as DATE; text that is no date as a whole becomes NULL.
+    """A date column of any type as DATE; text that is no ISO date as a whole becomes NULL.
 
-    Text may be an ISO date with or without a time, ``yyyyMMdd``, or ``M/d/yyyy``.
+    A time may follow the date. Other forms are ambiguous within a column of ISO
+    dates; ``quality.rejected_values`` counts them.
     """
     if isinstance(df.schema[name].dataType, T.StringType):
-        return f"""CASE WHEN {name} RLIKE r'{_ISO_DATE}' THEN try_cast(substr(trim({name}), 1, 10) AS DATE)
-            WHEN {name} RLIKE r'{_COMPACT_DATE}' THEN try_to_date(trim({name}), 'yyyyMMdd')
-            WHEN {name} RLIKE r'{_SLASH_DATE}' THEN try_to_date(trim({name}), 'M/d/yyyy') END"""
+        return f"CASE WHEN {name} RLIKE r'{_ISO_DATE}' THEN try_cast(substr(trim({name}), 1, 10) AS DATE) END"
     return f"CAST({name} AS DATE)"
 
 
