@@ -54,6 +54,16 @@ def unpack(data: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
+def planes(numbers: np.ndarray) -> bytes:
+    """The first bytes of all numbers, then the second ones and so on: equal bytes stand together and compress."""
+    return np.ascontiguousarray(numbers.view(np.uint8).reshape(len(numbers), numbers.itemsize).T).tobytes()
+
+
+def from_planes(data: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).reshape(-1).view(kind)
+
+
 def messages(rows: list[tuple]) -> pa.RecordBatch:
     columns = zip(*rows, strict=True)
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, MESSAGE, strict=True)], schema=MESSAGE)

@@ -33,7 +33,7 @@ from saldo.llm.common import partitions, remainder, runs, written, written_by_ke
 #: Documents with this remainder are scored only; those with the other one give the weights' fold.
 FOLDS, HELD_OUT, WEIGHT_FOLD = 7, 2, 3
 #: Tokens of a block.
-BLOCK_TOKENS = 1_500_000
+BLOCK_TOKENS = 1_000_000
 #: Octaves of the frequency of the word before; 0 is for words that were never seen.
 OCTAVES = 42
 #: Steps per octave to which the ratios of two estimates are rounded for the weights.
@@ -68,7 +68,8 @@ def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
             words,
             np.concatenate(streams),
         )
-        row = [[home], [(home << 32) + count], [ids], *([c.tobytes()] for c in columns)]
+        # a home of its own for each block, so that it gets its own answers alone
+        row = [[(home << 10) + count & 0x7FFFFFFF], [(home << 32) + count], [ids], *([c.tobytes()] for c in columns)]
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(row, _BLOCK, strict=True)], schema=_BLOCK)
 
     def fresh() -> tuple[defaultdict, list, list, list]:
@@ -121,15 +122,28 @@ class Block:
         learned, fold = self.fold != HELD_OUT, self.fold == WEIGHT_FOLD
         counts = [np.bincount(number[m], minlength=len(keys)).astype(np.uint32) for m in (learned, fold)]
         return [
-            (self.home, self.block, kind, bucket, B.pack(keys[a:b], counts[0][a:b], counts[1][a:b]))
+            (self.home, self.block, kind, bucket, _question(keys[a:b], counts[0][a:b], counts[1][a:b]))
             for bucket, a, b in B.slices(B.bucket_of(keys, bits))
         ]
 
     def counts(self, kind: str) -> tuple[np.ndarray, np.ndarray]:
         """Counts of the block's keys in all training documents, and in those outside the weights' fold."""
-        parts = [np.frombuffer(x, np.int64).reshape(-1, 2) for x in self.answers.get(kind, [])]
-        both = np.concatenate(parts)
-        return both[:, 0], both[:, 0] - both[:, 1]
+        parts = [B.from_planes(x, "i8").reshape(2, -1) for x in self.answers.get(kind, [])]
+        learned, fold = np.concatenate(parts, axis=1)
+        return learned, learned - fold
+
+
+def _question(keys: np.ndarray, learned: np.ndarray, fold: np.ndarray) -> bytes:
+    """Sorted keys by their differences, and two counts of each, by planes of bytes."""
+    steps = np.diff(keys, prepend=_U64(0))
+    return np.int64(len(keys)).tobytes() + B.planes(steps) + B.planes(learned) + B.planes(fold)
+
+
+def _asked(data: bytes) -> list[np.ndarray]:
+    n = int(np.frombuffer(data, np.int64, 1)[0])
+    steps = B.from_planes(data[8 : 8 + 8 * n], "u8")
+    counts = B.from_planes(data[8 + 8 * n : 8 + 12 * n], "u4"), B.from_planes(data[8 + 12 * n :], "u4")
+    return [np.cumsum(steps, dtype=_U64), *counts]
 
 
 def _ask(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
@@ -142,12 +156,19 @@ def _ask(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatc
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Add up the counts of each key and answer; a bucket of words also tells its totals (home -1)."""
     for (kind, bucket), table in runs(batches, "kind", "bucket"):
-        sizes, parts = B.pieces(table, "u8", "u4", "u4")
+        parts = [_asked(x) for x in table["data"].to_pylist()]
+        sizes = [len(p[0]) for p in parts]
         keys, number = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
         totals = [
             np.bincount(number, np.concatenate([p[k] for p in parts]), len(keys)).astype(np.int64) for k in (1, 2)
         ]
-        rows = B.answers(table, kind, bucket, sizes, np.stack(totals, axis=1)[number])
+        ends, both = np.cumsum(sizes), np.stack(totals)[:, number]
+        rows = [
+            (home, block, kind, bucket, B.planes(np.ascontiguousarray(both[:, end - size : end]).reshape(-1)))
+            for home, block, size, end in zip(
+                table["home"].to_pylist(), table["block"].to_pylist(), sizes, ends.tolist(), strict=True
+            )
+        ]
         if kind == "u":
             learned, rest = totals[0], totals[0] - totals[1]
             sums = [learned.sum(), np.count_nonzero(learned), rest.sum(), np.count_nonzero(rest)]
