@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import functools
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import public_tokenizers
@@ -28,8 +28,10 @@ from sentencepiece import sentencepiece_model_pb2
 
 DEFAULT_MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
-#: Characters that are indexed together, and words whose ids a worker remembers.
-INDEX_CHARS, REMEMBERED = 1_000_000, 300_000
+#: Characters of text that are taken at a time, and of distinct words that are indexed together.
+TEXT_CHARS, INDEX_CHARS = 2_000_000, 400_000
+#: Words whose ids, and pairs of pieces whose order, a worker remembers.
+REMEMBERED, REMEMBERED_PAIRS = 350_000, 1_000_000
 #: Kinds of pieces in a model file.
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = range(1, 7)
 
@@ -43,12 +45,13 @@ class SuffixArray:
 
     def __init__(self, codes: np.ndarray, depth: int) -> None:
         self.codes = codes
-        bits = max(1, int(codes.max(initial=1)).bit_length())
-        size = max(1, 63 // bits)
+        self.bits = max(1, int(codes.max(initial=1)).bit_length())
+        self.size = size = max(1, 62 // self.bits)
         padded = np.append(codes, np.zeros(size, np.int64))
         key = np.zeros(len(codes), np.int64)
         for k in range(size):
-            key = key << bits | padded[k : k + len(codes)]
+            key = key << self.bits | padded[k : k + len(codes)]
+        first = key
         self.order = np.argsort(key, kind="stable")
         # twice as deep a rank from the ranks at a place and as many places later
         while size < depth and len(codes):
@@ -59,17 +62,35 @@ class SuffixArray:
             key = rank << 32 | later
             self.order = np.argsort(key, kind="stable")
             size *= 2
+        #: The first members of each suffix as one number, in order.
+        self.keys = first[self.order]
 
     def ranges(self, patterns: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For each pattern (a row, with a length) the first suffix that begins with it and the one after the last."""
-        return self._bound(patterns, lengths, False), self._bound(patterns, lengths, True)
+        """For each pattern (a row, with a length) the first suffix that begins with it and the one after the last.
 
-    def _bound(self, patterns: np.ndarray, lengths: np.ndarray, after: bool) -> np.ndarray:
-        low, high = np.zeros(len(patterns), np.int64), np.full(len(patterns), len(self.order), np.int64)
+        The first members narrow the search; only longer patterns that are left are compared as a whole.
+        """
+        own = np.minimum(lengths, self.size)
+        key = np.zeros(len(patterns), np.int64)
+        for k in range(self.size):
+            member = patterns[:, k] if k < patterns.shape[1] else 0
+            key = key << self.bits | np.where(k < own, member, 0)
+        span = np.int64(1) << ((self.size - own) * self.bits)
+        fits = patterns.max(axis=1, initial=0) < 1 << self.bits
+        low = np.searchsorted(self.keys, key)
+        high = np.where(fits, np.searchsorted(self.keys, key + span), low)
+        rest = np.flatnonzero((lengths > self.size) & (high > low))
+        bounds = [self._bound(patterns[rest], lengths[rest], low[rest], high[rest], after) for after in (False, True)]
+        low[rest], high[rest] = bounds
+        return low, high
+
+    def _bound(self, patterns: np.ndarray, lengths: np.ndarray, low: np.ndarray, high: np.ndarray, after: bool) -> np.ndarray:
+        """Binary search of all patterns at once between the bounds that are known."""
+        low, high = low.copy(), high.copy()
         text = np.append(self.codes, np.zeros(patterns.shape[1], np.int64))
         used = np.arange(patterns.shape[1]) < lengths[:, None]
         rows = np.arange(len(patterns))
-        for _ in range(len(self.order).bit_length()):
+        while (low < high).any():
             open_ = low < high
             middle = np.minimum((low + high) // 2, len(self.order) - 1)
             found = text[self.order[middle][:, None] + np.arange(patterns.shape[1])]
@@ -82,6 +103,16 @@ class SuffixArray:
         return low
 
 
+#: A pair that does not occur, so that a search always has something to compare with.
+_NO_PAIR = np.array([-1], np.int64), np.array([False])
+
+
+def _merged(keys: np.ndarray, values: np.ndarray, more: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two sorted lists of different keys in one."""
+    at = np.searchsorted(keys, more)
+    return np.insert(keys, at, more), np.insert(values, at, others)
+
+
 class PieceEncoder:
     """Encodes and decodes with one model file whose pieces are made by merging pairs."""
 
@@ -98,6 +129,7 @@ class PieceEncoder:
         self.pieces = [p.piece for p in model.pieces]
         self.kinds = [p.type for p in model.pieces]
         self.bytes = {int(p.piece[1:-1], 16): i for i, p in enumerate(model.pieces) if p.type == _BYTE}
+        self.texts = [self._text_of(i) for i in range(len(self.pieces))]
         self.unknown = next(i for i, p in enumerate(model.pieces) if p.type == _UNKNOWN)
         normal = [(i, p) for i, p in enumerate(model.pieces) if p.type == _NORMAL]
         #: Pieces in the order in which pairs merge into them.
@@ -106,6 +138,9 @@ class PieceEncoder:
         self.parts: dict[str, tuple[str, str]] = {}
         reached = [piece for piece in self.ids if self._reach(piece)]
         self.alphabet = {c: k for k, c in enumerate(sorted({c for p in reached for c in p}), 1)}
+        #: The number of every character; one number stands for all that are outside the model.
+        self.letter = np.full(0x110000, len(self.alphabet) + 1, np.int32)
+        self.letter[[ord(c) for c in self.alphabet]] = list(self.alphabet.values())
         self.edges = sorted(reached, key=lambda p: (len(p), p))
         self.lengths = np.array([len(p) for p in self.edges], np.int64)
         self.patterns = np.zeros((len(reached), int(self.lengths.max())), np.int64)
@@ -114,7 +149,8 @@ class PieceEncoder:
         self.edge_ids = np.array([self.ids[p] for p in self.edges], np.int64)
         self.space = np.array([self.ids[SPACE]], np.int32).tobytes()
         self._check_spaces(reached)
-        self.pairs, self.fits = np.zeros(0, np.int64), np.zeros(0, bool)
+        self.pairs, self.fits = _NO_PAIR
+        self.new_pairs, self.new_fits = np.zeros(0, np.int64), np.zeros(0, bool)
         self.known: dict[str | int, bytes] = {}
 
     def _check_spaces(self, reached: list[str]) -> None:
@@ -177,19 +213,27 @@ class PieceEncoder:
 
     def _follow(self, codes: np.ndarray) -> np.ndarray:
         """``may_follow`` for pairs of edge numbers, each pair looked at once."""
-        distinct = np.unique(codes)
-        at = np.searchsorted(self.pairs, distinct)
-        new = distinct if not len(self.pairs) else distinct[self.pairs[np.minimum(at, len(self.pairs) - 1)] != distinct]
-        if len(new):
-            n = len(self.edges)
-            fits = np.array([self.may_follow(self.edges[c // n], self.edges[c % n]) for c in new.tolist()], bool)
-            if len(self.pairs) > 2_000_000:
-                keep = np.isin(self.pairs, distinct)
-                self.pairs, self.fits = self.pairs[keep], self.fits[keep]
-            pairs = np.append(self.pairs, new)
-            order = np.argsort(pairs, kind="stable")
-            self.pairs, self.fits = pairs[order], np.append(self.fits, fits)[order]
-        return self.fits[np.searchsorted(self.pairs, codes)]
+        at = np.searchsorted(self.pairs, codes)
+        known = self.pairs[np.minimum(at, len(self.pairs) - 1)] == codes
+        if not known.all():
+            n, new = len(self.edges), np.sort(codes[~known])
+            new = new[np.append(True, new[1:] != new[:-1])]
+            if len(self.new_pairs):
+                place = np.minimum(np.searchsorted(self.new_pairs, new), len(self.new_pairs) - 1)
+                new = new[self.new_pairs[place] != new]
+            if len(new):
+                fits = [self.may_follow(self.edges[c // n], self.edges[c % n]) for c in new.tolist()]
+                self.new_pairs, self.new_fits = _merged(self.new_pairs, self.new_fits, new, np.array(fits, bool))
+        out = self.fits[np.minimum(at, len(self.pairs) - 1)]
+        out[~known] = self.new_fits[np.searchsorted(self.new_pairs, codes[~known])]
+        return out
+
+    def _remember_pairs(self) -> None:
+        """Add the pairs of this call to those of earlier ones."""
+        if len(self.pairs) > REMEMBERED_PAIRS:
+            self.pairs, self.fits = _NO_PAIR
+        self.pairs, self.fits = _merged(self.pairs, self.fits, self.new_pairs, self.new_fits)
+        self.new_pairs, self.new_fits = np.zeros(0, np.int64), np.zeros(0, bool)
 
     def encode_words(self, words: list[str]) -> list[bytes]:
         """The ids of each word (in space signs, not empty) as 32-bit numbers."""
@@ -226,14 +270,13 @@ class PieceEncoder:
             taken = open_[fits]
             last[end[taken]], came[end[taken]] = edge[taken], start[taken]
             number[end[taken]] = np.where(first[fits], 0, number[start[taken]]) + 1
+        self._remember_pairs()
         return self._paths(codes, words, begin, begin + size, last, came, number)
 
     def _codes(self, words: list[str]) -> np.ndarray:
         """The letters of all words as numbers; 0 stands between words."""
         chars = np.frombuffer("\0".join([*words, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
-        distinct, inverse = np.unique(chars, return_inverse=True)
-        strange = len(self.alphabet) + 1
-        codes = np.array([self.alphabet.get(chr(c), strange) for c in distinct], np.int64)[inverse]
+        codes = self.letter[chars].astype(np.int64)
         codes[np.cumsum([len(w) + 1 for w in words]) - 1] = 0
         return codes
 
@@ -268,15 +311,18 @@ class PieceEncoder:
                 at += 1
         return np.array(out, np.int32)
 
-    def words(self, text: str) -> list[str | int]:
+    def words(self, text: str | None) -> tuple[list[str | int], bool]:
         """The normalised text in words that encode on their own, each without its space sign.
 
-        A number stands for so many more space signs before the next word, or at the end.
+        A number stands for so many more space signs before the next word, or at the end; the second result
+        tells whether there is any.
         """
+        if not text:
+            return [], False
         if self.normalizer is None:
             words = text.split(" ")
             if "" not in words and SPACE not in text:
-                return words
+                return words, False
             text = SPACE + text.replace(" ", SPACE)
         else:
             text = self.normalizer.normalize(text)
@@ -286,14 +332,27 @@ class PieceEncoder:
         for signs, word in re.findall(f"({SPACE}+)([^{SPACE}]*)", text):
             extra = len(signs) - bool(word)
             out += [extra] * (extra > 0) + [word] * bool(word)
-        return out
+        return out, True
 
-    def encode(self, texts: Iterable[str | None]) -> list[bytes]:
+    def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """The ids of every text as 32-bit numbers; words not seen before are indexed together."""
-        split = [self.words(t) if t else [] for t in texts]
+        held, size = [], 0
+        for text in texts:
+            held.append(text)
+            size += len(text or "")
+            if size >= TEXT_CHARS:
+                yield from self._encode(held)
+                held, size = [], 0
+        yield from self._encode(held)
+
+    def _encode(self, texts: list[str | None]) -> list[bytes]:
+        split = [self.words(t) for t in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        missing = list(dict.fromkeys(w for words in split for w in words if w not in self.known))
+        missing: set[str | int] = set()
+        for words, _ in split:
+            missing.update(words)
+        missing.difference_update(self.known)
         held, size = [], 0
         for word in missing:
             if isinstance(word, int):
@@ -302,11 +361,14 @@ class PieceEncoder:
             held.append(word)
             size += len(word) + 2
             if size >= INDEX_CHARS:
-                self.known.update(zip(held, self.encode_words([SPACE + w for w in held]), strict=True))
+                self._index(held)
                 held, size = [], 0
         if held:
-            self.known.update(zip(held, self.encode_words([SPACE + w for w in held]), strict=True))
-        return [self._joined(words) for words in split]
+            self._index(held)
+        return [self._joined(words) if runs else b"".join(map(self.known.__getitem__, words)) for words, runs in split]
+
+    def _index(self, words: list[str]) -> None:
+        self.known.update(zip(words, self.encode_words([SPACE + w for w in words]), strict=True))
 
     def _joined(self, words: list[str | int]) -> bytes:
         found = list(map(self.known.__getitem__, words))
@@ -316,17 +378,16 @@ class PieceEncoder:
                 found[k], found[k + 1] = self._run(word + 1), found[k + 1][4:]
         return b"".join(found)
 
+    def _text_of(self, number: int) -> bytes:
+        kind, piece = self.kinds[number], self.pieces[number]
+        if kind == _BYTE:
+            return bytes([int(piece[1:-1], 16)])
+        if kind == _UNKNOWN:
+            return " ⁇ ".encode()
+        return b"" if kind == _CONTROL else piece.replace(SPACE, " ").encode()
+
     def decode(self, ids: Iterable[int]) -> str:
-        data = bytearray()
-        for i in ids:
-            kind = self.kinds[i]
-            if kind == _BYTE:
-                data.append(int(self.pieces[i][1:-1], 16))
-            elif kind == _UNKNOWN:
-                data += " ⁇ ".encode()
-            elif kind != _CONTROL:
-                data += self.pieces[i].replace(SPACE, " ").encode()
-        text = data.decode("utf-8", "replace")
+        text = b"".join(map(self.texts.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if self.dummy_prefix and text.startswith(" ") else text
 
 
@@ -347,7 +408,7 @@ def encoded(text: str | Column, path: str | None = None) -> Column:
 
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
-        found = encoder(path).encode(texts.to_pylist())
+        found = list(encoder(path).encode(t.as_py() for t in texts))
         ends = np.cumsum([0, *(len(x) // 4 for x in found)])
         values = pa.array(np.frombuffer(b"".join(found), np.int32))
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
@@ -362,7 +423,9 @@ def decoded(ids: str | Column, path: str | None = None) -> Column:
     @F.arrow_udf("string")
     def decode(lists: pa.Array) -> pa.Array:
         own = encoder(path)
-        return pa.array([None if x is None else own.decode(x) for x in lists.to_pylist()], pa.string())
+        values, ends = lists.values.to_numpy(), lists.offsets.to_numpy().tolist()
+        found = [own.decode(values[a:b].tolist()) for a, b in zip(ends, ends[1:], strict=False)]
+        return pa.array(found, pa.string(), mask=lists.is_null().to_numpy(zero_copy_only=False))
 
     return decode(ids)
 

@@ -126,7 +126,7 @@ def test_pieces_equal_the_library():
     own = pieces.encoder(pieces.model_path())
     library = sentencepiece.SentencePieceProcessor(model_file=pieces.model_path())
     texts = [*_texts(1500), None, "", "a" * 300, " " * 5000, "x y " * 999 + " " * 41]
-    for text, ids in zip(texts, own.encode(texts), strict=True):
+    for text, ids in zip(texts, list(own.encode(texts)), strict=True):
         ids = np.frombuffer(ids, np.int32).tolist()
         assert ids == library.encode(text or "")
         assert own.decode(ids) == library.decode(ids)
