@@ -43,6 +43,7 @@ class Finance:
         self.clean = LazyTables(self._clean)
         self.star = LazyTables(lambda name: star.BUILDERS[name](self.clean))
         self.kpi_star = star.kpi_star(self.clean)
+        self.checked = quality.checked_tables(self.clean)
 
     def _clean(self, name: str) -> DataFrame:
         if name == "kpi_base":
@@ -78,7 +79,7 @@ def _kpi_describe(f: Finance) -> DataFrame:
 
 
 def _checks(*groups: quality.Checks, **also: bool) -> Plan:
-    return lambda f: quality.check_tables(f.clean, *groups, **also)
+    return lambda f: quality.check_tables(f.checked, *groups, **also)
 
 
 def _raw_rejects(f: Finance) -> DataFrame:
@@ -202,14 +203,14 @@ PLANS: dict[str, Plan] = {
     "dq_duplicates": _checks(duplicates=True),
     "dq_nulls": _checks(quality.CRITICAL_NULLS),
     "dq_allowed_values": _checks(labels=True),
-    "dq_unexpected_values": lambda f: quality.unexpected_values(f.clean),
+    "dq_unexpected_values": lambda f: quality.unexpected_values(f.checked),
     "dq_rejected_values": _raw_rejects,
     "dq_date_order": _checks(quality.date_order(oracles.AS_OF)),
     "dq_business_rules": _checks(quality.BUSINESS_RULES),
     "dq_invoice_math": _checks(quality.INVOICE_MATH),
     "dq_cac": _checks(quality.CAC, quality.ZERO_WIN_CAC),
     "dq_kpi_ranges": _checks(quality.KPI_RANGES),
-    "dq_summary": lambda f: quality.issue_summary(f.clean, oracles.AS_OF),
+    "dq_summary": lambda f: quality.issue_summary(f.checked, oracles.AS_OF),
     "kpi_describe": _kpi_describe,
     "raw_audit": lambda f: quality.raw_audit(f.raw),
     "mart_row_counts": lambda f: star.mart_row_counts(f.kpi_star),
