@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +23,8 @@ from saldo.llm.common import remainder
 
 DIMENSIONS = 1024
 UNKNOWN = "und"
-#: Characters and texts that are turned into vectors at a time, so that memory is bounded.
-CHUNK_CHARS, CHUNK_TEXTS = 1_000_000, 256
+#: Characters, texts and trigrams that are turned into vectors at a time, so that memory is bounded.
+CHUNK_CHARS, CHUNK_TEXTS, CHUNK_GRAMS = 1_000_000, 256, 4096
 
 
 @functools.lru_cache(maxsize=20_000)
@@ -32,8 +33,25 @@ def letter_vector(letter: int) -> np.ndarray:
     return np.random.Generator(np.random.Philox(key=letter)).integers(0, 2, DIMENSIONS, np.int8) * 2 - 1
 
 
-def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of the letter trigrams of each text, and the vector of each trigram.
+@dataclass
+class Trigrams:
+    """Trigrams by the numbers of their letters, and the vectors of these letters."""
+
+    letters: np.ndarray
+    signs: np.ndarray
+
+    def bundled(self, weights: np.ndarray) -> np.ndarray:
+        """For each row of weights the weighted sum of the trigrams' vectors."""
+        out = np.zeros((len(weights), DIMENSIONS), weights.dtype)
+        first, second = np.roll(self.signs, 2, axis=1), np.roll(self.signs, 1, axis=1)
+        for k in range(0, len(self.letters), CHUNK_GRAMS):
+            a, b, c = self.letters[k : k + CHUNK_GRAMS].T
+            out += weights[:, k : k + CHUNK_GRAMS] @ (first[a] * second[b] * self.signs[c]).astype(weights.dtype)
+        return out
+
+
+def trigrams(texts: list[str]) -> tuple[np.ndarray, Trigrams]:
+    """Counts of the letter trigrams of each text, and the trigrams.
 
     All that is no letter counts as one border sign. A trigram has a letter in the middle.
     """
@@ -60,10 +78,8 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     owner = np.searchsorted(ends, middle - 1, side="right")
     counts = np.bincount(owner * len(distinct) + columns, minlength=len(texts) * len(distinct))
     signs = np.array([np.ones(DIMENSIONS, np.int8), *map(letter_vector, letters.tolist())])
-    vectors = np.roll(signs, 2, axis=1)[distinct // base**2]
-    vectors *= np.roll(signs, 1, axis=1)[distinct // base % base]
-    vectors *= signs[distinct % base]
-    return counts.reshape(len(texts), len(distinct)).astype(np.float32), vectors.astype(np.float32)
+    numbers = np.stack([distinct // base**2, distinct // base % base, distinct % base], axis=1)
+    return counts.reshape(len(texts), len(distinct)).astype(np.float32), Trigrams(numbers, signs)
 
 
 def chunked(texts: list[str | None]) -> Iterator[slice]:
@@ -87,10 +103,10 @@ def _bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunked(texts):
             own = langs[part]
             names = sorted(set(own))
-            counts, vectors = trigrams(texts[part])
+            counts, grams = trigrams(texts[part])
             row = np.array([names.index(x) for x in own])
             by_lang = np.array([counts[row == k].sum(axis=0, dtype=np.float64) for k in range(len(names))])
-            for name, vector in zip(names, by_lang @ vectors, strict=True):
+            for name, vector in zip(names, grams.bundled(by_lang), strict=True):
                 sums[name] = sums.get(name, 0) + vector
     for name, vector in sums.items():
         yield pa.RecordBatch.from_pydict({"lang": [name], "bundle": [vector]}, _BUNDLE)
@@ -125,8 +141,8 @@ def identify(texts: list[str], names: list[str], units: np.ndarray) -> tuple[lis
     """The language and the cosine of every text."""
     langs, scores = [], []
     for part in chunked(texts):
-        counts, vectors = trigrams(texts[part])
-        bundle = counts @ vectors
+        counts, grams = trigrams(texts[part])
+        bundle = grams.bundled(counts)
         length = np.linalg.norm(bundle, axis=1)
         if not names:
             langs += [UNKNOWN] * len(length)

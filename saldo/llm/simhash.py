@@ -31,7 +31,7 @@ SHINGLE_WORDS, SEED, MAX_BITS = 3, 42, 2
 #: Fingerprints of a bucket that are searched together.
 BUCKET = 2048
 #: Children of a node of the index, and queries that go down it at a time.
-FANOUT, QUERIES = 8, 512
+FANOUT, QUERIES = 8, 64
 #: Shingles whose bits are counted at a time.
 _CHUNK = 1 << 16
 #: Rows of hot buckets up to which their list is sent to every task (24 bytes a row).
