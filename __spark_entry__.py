@@ -21,7 +21,7 @@ from saldo.operators.checks import describe
 from saldo.operators.dedup import SEQ
 from saldo.plans import billing, cleaning, kpis, quality, star
 from saldo.session import checkpointed, scratch_folder
-from saldo.sources.csv_tables import RAW_COLUMNS, read_raw_csv
+from saldo.sources.csv_tables import RAW_COLUMNS, malformed_records, read_raw_csv
 from saldo.sources.tables import LazyTables, write_csv
 
 try:  # the operators for training data live in a subpackage that may be left out
@@ -110,6 +110,17 @@ def _csv_scan(f: Finance) -> DataFrame:
         return checkpointed(read_raw_csv(raw.sparkSession, folder, RAW_COLUMNS["customers"]).drop(SEQ))
 
 
+def _csv_malformed(f: Finance) -> DataFrame:
+    """The records with a field too many, of raw customers in CSV files of which some have one."""
+    raw, columns = f.raw["customers"], RAW_COLUMNS["customers"]
+    some = "CAST(trim(customer_id) AS BIGINT) % 17 = 0"
+    with scratch_folder(raw.sparkSession) as folder:
+        write_csv(raw.filter(f"NOT ({some})"), f"{folder}/whole")
+        write_csv(raw.filter(some).selectExpr("*", "'surplus' AS surplus"), f"{folder}/wide")
+        found = malformed_records(raw.sparkSession, f"{folder}/*", columns)
+        return checkpointed(found.selectExpr("split(record, ',')[0] AS customer_id", "fields"))
+
+
 def _contents(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows of each table, and the number of its distinct first columns: (table_name, row_count, distinct_keys)."""
     counts = [
@@ -153,6 +164,7 @@ def _arr_growth(f: Finance) -> DataFrame:
 
 PLANS: dict[str, Plan] = {
     "csv_scan": _csv_scan,
+    "csv_malformed": _csv_malformed,
     "mart_export": _mart_export,
     "catalog_build": _catalog_build,
     "clean_text": _clean_text,
