@@ -20,12 +20,28 @@ def shared_dir(spark: SparkSession) -> str:
     return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch").rstrip("/")
 
 
+#: Folders and tables that this driver's queries have written to the shared folder.
+_SCRATCH_FOLDERS: list[str] = []
+_SCRATCH_TABLES: list[str] = []
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what queries have written beside their results; call it when the results themselves are written."""
+    while _SCRATCH_TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS {_SCRATCH_TABLES.pop()}")
+    while _SCRATCH_FOLDERS:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_SCRATCH_FOLDERS.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and return a scan of it.
 
     This cuts the lineage: a lost executor costs a re-read, and every later reader sees the same rows.
     """
-    path = f"{shared_dir(df.sparkSession)}/llm-{uuid.uuid4().hex}/{name}"
+    folder = f"{shared_dir(df.sparkSession)}/llm-{uuid.uuid4().hex}"
+    _SCRATCH_FOLDERS.append(folder)
+    path = f"{folder}/{name}"
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -34,6 +50,8 @@ def written_by_key(df: DataFrame, name: str, key: str, buckets: int) -> DataFram
     """Write a bucketed table, so that later joins on ``key`` need not shuffle this side."""
     spark, table = df.sparkSession, f"llm_{name}_{uuid.uuid4().hex}"
     path = f"{shared_dir(spark)}/{table}"
+    _SCRATCH_FOLDERS.append(path)
+    _SCRATCH_TABLES.append(table)
     (
         df.write.format("parquet")
         .option("compression", "zstd")

@@ -148,7 +148,10 @@ def grouped(docs: DataFrame, rows_per_block: int = 1 << 20) -> DataFrame:
     if groups.count() <= BROADCAST_ROWS // 8:
         groups = F.broadcast(groups)
     rows = docs.select(
-        "*", F.monotonically_increasing_id().alias("_row"), F.xxhash64(normalised()).alias("_print"), _sha(normalised()).alias("_sha")
+        "*",
+        F.monotonically_increasing_id().alias("_row"),
+        F.xxhash64(normalised()).alias("_print"),
+        _sha(normalised()).alias("_sha"),
     ).alias("d")
     same = (F.col("d._print") == F.col("g.print")) & (F.col("d._sha") == F.col("g.sha"))
     alone = F.col("g.n").isNull()

@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from saldo.llm import exact_dedup, interpolated_lm, language, packing, pieces, quality, simhash, suffix_dedup, token_counts, toxicity
+from saldo.llm import (
+    exact_dedup,
+    interpolated_lm,
+    language,
+    packing,
+    pieces,
+    quality,
+    simhash,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+)
 from saldo.llm.common import documents
 
 

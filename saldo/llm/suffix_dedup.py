@@ -475,7 +475,8 @@ def shortened(docs: DataFrame) -> DataFrame:
     Where a cut splits a character, its remaining bytes go too. ``n_chars``, if it is there, is counted anew.
     Documents of which nothing is left are dropped; those that were empty before stay.
     """
-    left = written(found_repeats(docs, with_text=True).where("n_removed > 0").select("row", "n_bytes", "n_removed", "kept"), "left")
+    found = found_repeats(docs, with_text=True).where("n_removed > 0")
+    left = written(found.select("row", "n_bytes", "n_removed", "kept"), "left")
     rows = docs.select("*", F.monotonically_increasing_id().alias("_row")).alias("d")
     joined = rows.join(left.alias("l"), F.col("d._row") == F.col("l.row"), "left")
     joined = joined.where("l.row IS NULL OR l.n_removed < l.n_bytes")

@@ -7,7 +7,7 @@ import corpus_pipeline
 from test_tokens import check_packing
 from tokenizers import Tokenizer
 
-from saldo.llm import language, queries
+from saldo.llm import common, language, queries, suffix_dedup
 from saldo.llm.byte_bpe import vocabulary_path
 
 
@@ -52,6 +52,17 @@ def test_stages_take_empty_tables(spark, table, folder):
     assert all(stage(spark, empty, folder).count() == 0 for _, stage in corpus_pipeline.STAGES)
 
 
+def test_scratch_can_be_cleared(spark, table):
+    found = suffix_dedup.deduplicated(table([(1, "a text " * 30), (2, "a text " * 30)])).collect()
+    assert len(found) == 2 and common._SCRATCH_FOLDERS and common._SCRATCH_TABLES
+    folder, name = common._SCRATCH_FOLDERS[-1], common._SCRATCH_TABLES[-1]
+    assert spark.catalog.tableExists(name)
+    common.clear_scratch(spark)
+    assert not common._SCRATCH_FOLDERS and not spark.catalog.tableExists(name)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def test_registered():
     import __spark_entry__ as registry
 
