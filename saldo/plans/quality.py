@@ -155,7 +155,9 @@ def checked_tables(clean: Mapping[str, DataFrame]) -> Mapping[str, DataFrame]:
     return LazyTables(lambda name: clean["valid_subscriptions" if name == "subscriptions" else name])
 
 
-def check_tables(tables: Mapping[str, DataFrame], *groups: Checks, duplicates: bool = False, labels: bool = False) -> DataFrame:
+def check_tables(
+    tables: Mapping[str, DataFrame], *groups: Checks, duplicates: bool = False, labels: bool = False
+) -> DataFrame:
     """Run groups of counters, and on request the duplicate and label checks.
 
     A table is read once for its counters and duplicates, and once more, down to
