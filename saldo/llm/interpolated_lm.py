@@ -33,7 +33,7 @@ from saldo.llm.common import partitions, remainder, runs, written, written_by_ke
 #: Documents with this remainder are scored only; those with the other one give the weights' fold.
 FOLDS, HELD_OUT, WEIGHT_FOLD = 7, 2, 3
 #: Tokens of a block.
-BLOCK_TOKENS = 1_000_000
+BLOCK_TOKENS = 500_000
 #: Octaves of the frequency of the word before; 0 is for words that were never seen.
 OCTAVES = 42
 #: Steps per octave to which the ratios of two estimates are rounded for the weights.
@@ -107,14 +107,18 @@ class Block:
         order = np.argsort(words)
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
-        self.words, self.word = words[order], place[stream]
+        self.words, self.word = words[order], place[stream].astype(np.int32)
         end = np.searchsorted(self.words, _U64(xxhash.xxh64_intdigest(b"")))
         #: The word before; every document ends with the end sign, so the next begins after it.
-        self.before = np.append(end, self.word[:-1])
+        self.before = np.append(end, self.word[:-1]).astype(np.int32)
         key = (self.words[self.before] ^ (self.words[self.word] >> _U64(31))) * _MIX1
         key = (key ^ (key >> _U64(29)) ^ self.words[self.word]) * _MIX2
         key ^= key >> _U64(32)
-        self.pairs, self.pair = np.unique(key, return_inverse=True)
+        order = np.argsort(key)
+        new = np.append(True, key[order][1:] != key[order][:-1])
+        self.pairs = key[order[new]]
+        self.pair = np.empty(len(key), np.int32)
+        self.pair[order] = np.cumsum(new) - 1
         self.answers = B.answers_of(row)
 
     def questions(self, kind: str, keys: np.ndarray, number: np.ndarray, bits: int) -> list[tuple]:
@@ -263,9 +267,9 @@ def scored(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), remainder("doc_id", FOLDS).cast("int").alias("fold"), "text"
     )
-    blocks = written_by_key(
-        rows.mapInArrow(lambda it: _blocks(it, block_tokens), _BLOCK_DDL), "tokens", "home", partitions(docs.sparkSession)
-    )
+    # several buckets per partition: a task then holds a block or two with their answers
+    buckets = 4 * partitions(docs.sparkSession)
+    blocks = written_by_key(rows.mapInArrow(lambda it: _blocks(it, block_tokens), _BLOCK_DDL), "tokens", "home", buckets)
     bits = B.bucket_bits(blocks.count())
     asked = blocks.mapInArrow(lambda it: _ask(it, bits), B.MESSAGE_DDL)
     replies = written(B.dealt(asked, "kind", "bucket").mapInArrow(_count, B.MESSAGE_DDL), "counts")
