@@ -402,16 +402,18 @@ def encoder(path: str) -> PieceEncoder:
     return PieceEncoder(path)
 
 
+def _id_lists(found: list[bytes]) -> pa.ListArray:
+    ends = np.cumsum([0, *(len(x) // 4 for x in found)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), np.int32)))
+
+
 def encoded(text: str | Column, path: str | None = None) -> Column:
     """The piece ids of a text column."""
     path = path or model_path()
 
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
-        found = list(encoder(path).encode(t.as_py() for t in texts))
-        ends = np.cumsum([0, *(len(x) // 4 for x in found)])
-        values = pa.array(np.frombuffer(b"".join(found), np.int32))
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+        return _id_lists(list(encoder(path).encode(t.as_py() for t in texts)))
 
     return encode(text)
 
@@ -430,12 +432,27 @@ def decoded(ids: str | Column, path: str | None = None) -> Column:
     return decode(ids)
 
 
+def checked(text: str | Column, path: str | None = None) -> Column:
+    """A struct of the piece ``ids`` of a text and whether decoding them gives it back (``round_trip``).
+
+    One function for both: two chained ones would encode twice.
+    """
+    path = path or model_path()
+
+    @F.arrow_udf("ids array<int>, round_trip boolean")
+    def check(texts: pa.Array) -> pa.Array:
+        own = encoder(path)
+        found = list(own.encode(t.as_py() for t in texts))
+        same = [
+            own.decode(np.frombuffer(ids, np.int32).tolist()) == (t.as_py() or "")
+            for ids, t in zip(found, texts, strict=True)
+        ]
+        return pa.StructArray.from_arrays([_id_lists(found), pa.array(same, pa.bool_())], ["ids", "round_trip"])
+
+    return check(text)
+
+
 def pieces(docs: DataFrame, path: str | None = None) -> DataFrame:
     """The ids of every document, and whether decoding them gives back its text."""
-    ids = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), encoded("text", path).alias("ids"))
-    return ids.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_pieces"),
-        "ids",
-        (decoded("ids", path) == F.col("text")).alias("round_trip"),
-    )
+    found = docs.select("doc_id", checked("text", path).alias("found"))
+    return found.select("doc_id", F.size("found.ids").cast("long").alias("n_pieces"), "found.ids", "found.round_trip")

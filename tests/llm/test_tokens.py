@@ -152,6 +152,12 @@ def test_pieces_query(spark, folder, docs):
         assert list(r.ids) == library.encode(texts[r.doc_id]) and r.n_pieces == len(r.ids) and r.round_trip
 
 
+def test_encode_and_decode_columns(table):
+    df = table([(1, "some  words\nhere "), (2, None), (3, "")]).select("doc_id", pieces.encoded("text").alias("ids"))
+    found = {r[0]: r[1] for r in df.select("doc_id", pieces.decoded("ids")).collect()}
+    assert found == {1: "some  words\nhere ", 2: "", 3: ""}
+
+
 def test_pieces_odd_rows(table, odd_rows):
     found = pieces.pieces(table(odd_rows)).collect()
     assert len(found) == len(odd_rows)
