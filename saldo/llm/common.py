@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -63,7 +65,15 @@ def written_by_key(df: DataFrame, name: str, key: str, buckets: int) -> DataFram
     return spark.table(table)
 
 
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers look for this package where the driver has found it, beside their own path."""
+    root, path = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in path.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, path]))
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
+    find_package(spark)
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
