@@ -22,6 +22,10 @@ from pyspark.sql import functions as F
 from saldo.llm.byte_bpe import ChunkCache, chunks, vocabulary, vocabulary_path
 
 
+#: Pre-tokens, and chunks, whose counts a worker remembers.
+REMEMBERED = 500_000
+
+
 class PrefixCounter:
     """Token counts of texts and of all their prefixes under one byte-level BPE vocabulary."""
 
@@ -35,7 +39,9 @@ class PrefixCounter:
         special = sorted(self.vocabulary.special, key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
         self.follows: dict[int, bool] = {}
-        self.cache = ChunkCache(self.chunk_count)
+        #: Token counts of pre-tokens and of whole chunks that were seen before.
+        self.pieces: dict[str, int] = {}
+        self.cache = ChunkCache(self.chunk_count, REMEMBERED)
 
     def survives(self, left: bytes, right: bytes) -> bool:
         """Whether merging the bytes of both tokens gives back just these two tokens.
@@ -96,7 +102,15 @@ class PrefixCounter:
         if self.special and "<" in chunk and self.special.search(chunk):
             parts = self.special.split(chunk)
             return len(parts) - 1 + sum(map(self.chunk_count, parts))
-        return sum(self.table(p.encode())[-1] for p in self.pattern.findall(chunk))
+        total, known = 0, self.pieces
+        for piece in self.pattern.findall(chunk):
+            count = known.get(piece)
+            if count is None:
+                if len(known) >= REMEMBERED:
+                    known.clear()
+                count = known[piece] = self.table(piece.encode())[-1]
+            total += count
+        return total
 
     def count(self, text: str) -> int:
         return sum(self.cache.values(text)) if text else 0
