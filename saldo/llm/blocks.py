@@ -93,10 +93,14 @@ def dealt(questions: DataFrame, *keys: str) -> DataFrame:
     return questions.repartition(n, *keys).sortWithinPartitions(*keys, "block")
 
 
-def with_answers(blocks: DataFrame, replies: DataFrame) -> DataFrame:
-    """Every block with the answers to its task's blocks; blocks are bucketed by ``home`` and not shuffled."""
-    by_home = replies.groupBy("home").agg(F.collect_list(F.struct("block", "kind", "bucket", "data")).alias("answers"))
-    return blocks.join(by_home, "home", "left")
+def with_answers(blocks: DataFrame, replies: DataFrame, buckets: int) -> DataFrame:
+    """Every block with the answers to its home's blocks.
+
+    Blocks are bucketed by ``home`` and not shuffled; the answers are dealt once, into as many parts.
+    """
+    dealt_out = replies.repartition(buckets, "home")
+    answers = F.collect_list(F.struct("block", "kind", "bucket", "data")).alias("answers")
+    return blocks.join(dealt_out.groupBy("home").agg(answers), "home", "left")
 
 
 def answers_of(row: dict) -> dict[str, list[bytes]]:

@@ -276,7 +276,7 @@ def scored(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     # one row of four numbers per bucket
     sums = [np.frombuffer(r.data, np.int64) for r in replies.where("home = -1").select("data").toLocalIterator()]
     totals = Totals(*np.sum(sums, axis=0).tolist()) if sums else Totals()
-    known = B.with_answers(blocks, replies.where("home >= 0"))
+    known = B.with_answers(blocks, replies.where("home >= 0"), buckets)
     events = known.mapInArrow(lambda it: _weight_events(it, totals), "code long, n long")
     # the codes are rounded, so their number does not grow with the corpus
     found = events.groupBy("code").agg(F.sum("n").alias("n")).toArrow().to_pydict()

@@ -453,15 +453,16 @@ def found_repeats(docs: DataFrame, with_text: bool = False, limits: Limits = Lim
     texts = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text"
     )
-    blocks = written_by_key(texts.mapInArrow(lambda it: _blocks(it, limits), _BLOCK_DDL), "blocks", "home", partitions(docs.sparkSession))
+    buckets = partitions(docs.sparkSession)
+    blocks = written_by_key(texts.mapInArrow(lambda it: _blocks(it, limits), _BLOCK_DDL), "blocks", "home", buckets)
     bits = B.bucket_bits(blocks.count())
 
     asked = blocks.mapInArrow(lambda it: _ask(it, bits, limits), B.MESSAGE_DDL)
     first = written(B.dealt(asked, "bucket").mapInArrow(lambda it: _answer(it, limits), B.MESSAGE_DDL), "answers")
-    again = B.with_answers(blocks, first).mapInArrow(lambda it: _ask_again(it, bits, limits), B.MESSAGE_DDL)
+    again = B.with_answers(blocks, first, buckets).mapInArrow(lambda it: _ask_again(it, bits, limits), B.MESSAGE_DDL)
     second = written(B.dealt(again, "kind", "bucket").mapInArrow(_refine, B.MESSAGE_DDL), "refined")
     ddl = "row long, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-    return B.with_answers(blocks, first.unionAll(second)).mapInArrow(lambda it: _result(it, with_text, limits), ddl)
+    return B.with_answers(blocks, first.unionAll(second), buckets).mapInArrow(lambda it: _result(it, with_text, limits), ddl)
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
