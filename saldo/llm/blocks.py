@@ -96,11 +96,12 @@ def dealt(questions: DataFrame, *keys: str) -> DataFrame:
 def with_answers(blocks: DataFrame, replies: DataFrame, buckets: int) -> DataFrame:
     """Every block with the answers to its home's blocks.
 
-    Blocks are bucketed by ``home`` and not shuffled; the answers are dealt once, into as many parts.
+    Blocks are bucketed by ``home`` and neither shuffled nor sorted; the answers are dealt once, into as many
+    parts, and a part's answers are the table that its blocks are looked up in.
     """
     dealt_out = replies.repartition(buckets, "home")
     answers = F.collect_list(F.struct("block", "kind", "bucket", "data")).alias("answers")
-    return blocks.join(dealt_out.groupBy("home").agg(answers), "home", "left")
+    return blocks.join(dealt_out.groupBy("home").agg(answers).hint("shuffle_hash"), "home", "left")
 
 
 def answers_of(row: dict) -> dict[str, list[bytes]]:

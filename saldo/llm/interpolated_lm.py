@@ -132,8 +132,8 @@ class Block:
 
     def counts(self, kind: str) -> tuple[np.ndarray, np.ndarray]:
         """Counts of the block's keys in all training documents, and in those outside the weights' fold."""
-        parts = [B.from_planes(x, "i8").reshape(2, -1) for x in self.answers.get(kind, [])]
-        learned, fold = np.concatenate(parts, axis=1)
+        parts = [_told(x) for x in self.answers.get(kind, [])]
+        learned, fold = (np.concatenate([p[k] for p in parts]).astype(np.int64) for k in (0, 1))
         return learned, learned - fold
 
 
@@ -150,6 +150,16 @@ def _asked(data: bytes) -> list[np.ndarray]:
     return [np.cumsum(steps, dtype=_U64), *counts]
 
 
+def _tell(counts: np.ndarray) -> bytes:
+    """Two rows of counts by planes of bytes, in four bytes each where these will do."""
+    kind = "u4" if counts.max(initial=0) < 1 << 32 else "u8"
+    return kind.encode() + B.planes(np.ascontiguousarray(counts, kind).reshape(-1))
+
+
+def _told(data: bytes) -> np.ndarray:
+    return B.from_planes(data[2:], data[:2].decode()).reshape(2, -1)
+
+
 def _ask(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     for row in B.each_row(batches):
         block = Block(row)
@@ -168,7 +178,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ]
         ends, both = np.cumsum(sizes), np.stack(totals)[:, number]
         rows = [
-            (home, block, kind, bucket, B.planes(np.ascontiguousarray(both[:, end - size : end]).reshape(-1)))
+            (home, block, kind, bucket, _tell(both[:, end - size : end]))
             for home, block, size, end in zip(
                 table["home"].to_pylist(), table["block"].to_pylist(), sizes, ends.tolist(), strict=True
             )
