@@ -124,46 +124,55 @@ def normalised(text: str = "text") -> Column:
 
 
 def grouped(docs: DataFrame, rows_per_block: int = 1 << 20) -> DataFrame:
-    """Every row of a stable scan with three columns more.
+    """Every row with one column more.
 
-    ``found`` holds the id that stays for its text, whether this row is the one, and the number of equal
-    texts; ``text_sha256`` is of the normalised text.
+    ``found`` holds the id that stays for its text, whether this row is the one, the number of equal texts, and
+    the ``text_sha256`` of the normalised text. Rows whose fingerprint repeats are numbered and written once, with
+    all their columns, and decided in that table; what a scan of the others says follows from their text alone.
     """
     # blocks hold about as many fingerprints at any size of the table
     block_bits = max(6, (docs.count() // rows_per_block).bit_length())
-    texts = docs.select("doc_id", normalised().alias("norm"), F.monotonically_increasing_id().alias("row"))
-    texts = texts.withColumn("print", F.xxhash64("norm"))
-    many = written(repeated_prints(texts.select("print"), block_bits), "repeated")
+    print_ = F.xxhash64(normalised())
+    many = written(repeated_prints(docs.select(print_.alias("print")), block_bits), "repeated")
     if many.count() <= BROADCAST_ROWS:
         many = F.broadcast(many)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.select("*", print_.alias("_print"))
+    numbered = rows.withColumn("_row", F.monotonically_increasing_id()).alias("d")
+    repeats = F.col("d._print") == many["print"]
+    candidates = written(numbered.join(many, repeats, "left_semi").withColumn("_sha", _sha(normalised())), "candidates")
     # bytes decide: a group is one distinct text, of which every task sends one row
     groups = (
-        texts.join(many, "print", "left_semi")
-        .groupBy("print", "norm")
-        .agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "row")).alias("first"))
+        candidates.select("_print", normalised().alias("norm"), "doc_id", "_row")
+        .groupBy("_print", "norm")
+        .agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "_row")).alias("first"))
         .where("n > 1")
-        .select("print", _sha("norm").alias("sha"), "first", "n")
+        .select(F.col("_print").alias("print"), _sha("norm").alias("sha"), "first", "n")
     )
     groups = written(groups, "groups").alias("g")
     if groups.count() <= BROADCAST_ROWS // 8:
         groups = F.broadcast(groups)
-    rows = docs.select(
-        "*",
-        F.monotonically_increasing_id().alias("_row"),
-        F.xxhash64(normalised()).alias("_print"),
-        _sha(normalised()).alias("_sha"),
-    ).alias("d")
     same = (F.col("d._print") == F.col("g.print")) & (F.col("d._sha") == F.col("g.sha"))
-    alone = F.col("g.n").isNull()
-    return rows.join(groups, same, "left").select(
+    single = F.col("g.n").isNull()
+    decided = candidates.alias("d").join(groups, same, "left").select(
         *[F.col(f"d.`{c}`") for c in docs.columns],
         F.struct(
-            F.when(alone, F.col("d.doc_id")).otherwise(F.col("g.first.doc_id")).alias("keep_id"),
+            F.when(single, F.col("d.doc_id")).otherwise(F.col("g.first.doc_id")).alias("keep_id"),
             F.coalesce("g.n", F.lit(1)).alias("group_size"),
-            (alone | (F.col("g.first.row") == F.col("d._row"))).alias("kept"),
+            (single | (F.col("g.first._row") == F.col("d._row"))).alias("kept"),
             F.col("d._sha").alias("text_sha256"),
         ).alias(FOUND),
     )
+    alone = rows.alias("d").join(many, repeats, "left_anti").select(
+        *columns,
+        F.struct(
+            F.col("doc_id").alias("keep_id"),
+            F.lit(1).cast("long").alias("group_size"),
+            F.lit(True).alias("kept"),
+            _sha(normalised()).alias("text_sha256"),
+        ).alias(FOUND),
+    )
+    return decided.unionAll(alone)
 
 
 def _sha(text: str | Column) -> Column:

@@ -36,6 +36,8 @@ FANOUT, QUERIES = 8, 64
 _CHUNK = 1 << 16
 #: Rows of hot buckets up to which their list is sent to every task (24 bytes a row).
 BROADCAST_ROWS = 1 << 14
+#: Hashes of texts in components up to which they are sent to every task (8 bytes a row).
+BROADCAST_TEXTS = 1 << 18
 
 
 def fingerprint_of(text: str | None, words_per_shingle: int = SHINGLE_WORDS, seed: int = SEED) -> int:
@@ -202,24 +204,26 @@ def links(prints: DataFrame, limit: int = MAX_BITS, bucket: int = BUCKET) -> Dat
 
 
 def _components(
-    docs: DataFrame, limit: int, words_per_shingle: int, bucket: int
+    docs: DataFrame, limit: int, words_per_shingle: int, bucket: int, *more: Column
 ) -> tuple[DataFrame, DataFrame]:
-    """The fingerprint (``print``) of every row, and the first row of each fingerprint's component."""
+    """The fingerprint (``print``) of every row, and of each fingerprint its component's root, first row and size."""
     prints = docs.select(
         F.monotonically_increasing_id().alias("row"),
         F.col("doc_id").cast("long").alias("doc_id"),
         fingerprint("text", words_per_shingle).alias("print"),
+        *more,
     )
     prints = written(prints, "prints")
     first = F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "row")).alias("first")
-    classes = written(prints.groupBy("print").agg(first), "classes")
+    classes = written(prints.groupBy("print").agg(first, F.count("*").alias("n")), "classes")
     roots = components(links(classes.select("print"), limit, bucket))
     linked = classes.join(roots, F.col("print") == F.col("node"), "left").select(
-        "print", F.coalesce("root", "print").alias("root"), "first"
+        "print", F.coalesce("root", "print").alias("root"), "first", "n"
     )
     linked = written(linked, "linked")
-    firsts = linked.groupBy("root").agg(F.min("first").alias("first"))
-    return prints, written(linked.drop("first").join(firsts, "root").select("print", "first"), "found")
+    firsts = linked.groupBy("root").agg(F.min("first").alias("first"), F.sum("n").alias("n"))
+    found = linked.select("print", "root").join(firsts, "root").select("print", "root", "first", "n")
+    return prints, written(found, "found")
 
 
 def clustered(
@@ -238,10 +242,28 @@ def clustered(
 def kept(
     docs: DataFrame, limit: int = MAX_BITS, words_per_shingle: int = SHINGLE_WORDS, bucket: int = BUCKET
 ) -> DataFrame:
-    """The first row of each component of a stable scan, with the columns that it came with."""
-    prints, found = _components(docs, limit, words_per_shingle, bucket)
-    others = written(prints.join(found, "print").where("row <> first.row").select(F.col("row").alias("_other")), "others")
-    if others.count() <= BROADCAST_ROWS:
-        others = F.broadcast(others)
-    rows = docs.select("*", F.monotonically_increasing_id().alias("_row"))
-    return rows.join(others, F.col("_row") == F.col("_other"), "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    """The first row of each component, with the columns that it came with.
+
+    Rows of a text in a component of several rows are numbered and written once, with all their columns, and the
+    first is chosen in that table; that the others stay follows from their text alone.
+    """
+    prints, found = _components(docs, limit, words_per_shingle, bucket, F.xxhash64("text").alias("text"))
+    texts = prints.join(found.where("n > 1").select("print"), "print").select("text").distinct()
+    texts = written(texts, "texts")
+    if texts.count() <= BROADCAST_TEXTS:
+        texts = F.broadcast(texts)
+    rows = docs.withColumn("_text", F.xxhash64("text"))
+    several = F.col("_text") == texts["text"]
+    near = rows.withColumn("_row", F.monotonically_increasing_id()).join(texts, several, "left_semi")
+    near = written(near.withColumn("_print", fingerprint("text", words_per_shingle)), "near")
+    id_ = F.col("doc_id").cast("long")
+    first = F.min(F.struct(F.isnull(id_).alias("no_id"), id_.alias("doc_id"), "_row")).alias("first")
+    classes = near.groupBy("_print").agg(first)
+    roots = found.select("print", "root")
+    firsts = classes.join(roots, F.col("_print") == F.col("print")).groupBy("root").agg(F.min("first").alias("first"))
+    firsts = written(firsts.select(F.col("first._row").alias("_first")), "firsts")
+    if firsts.count() <= BROADCAST_ROWS:
+        firsts = F.broadcast(firsts)
+    columns = [f"`{c}`" for c in docs.columns]
+    chosen = near.join(firsts, F.col("_row") == F.col("_first"), "left_semi").select(*columns)
+    return chosen.unionAll(rows.join(texts, several, "left_anti").select(*columns))

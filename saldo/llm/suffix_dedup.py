@@ -445,14 +445,15 @@ def _result(batches: Iterator[pa.RecordBatch], with_text: bool, limits: Limits)
         )
 
 
-def found_repeats(docs: DataFrame, with_text: bool = False, limits: Limits = Limits()) -> DataFrame:
-    """For each row of a stable scan: what was removed, and on request the bytes that are left (``kept``).
+def found_repeats(
+    docs: DataFrame, with_text: bool = False, limits: Limits = Limits(), row: str | None = None
+) -> DataFrame:
+    """For each row: what was removed, and on request the bytes that are left (``kept``).
 
-    ``row`` is ``monotonically_increasing_id()`` over the scan.
+    ``row`` is the column of that name, or else ``monotonically_increasing_id()`` over this one scan.
     """
-    texts = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text"
-    )
+    number = F.col(row) if row else F.monotonically_increasing_id()
+    texts = docs.select(number.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     buckets = partitions(docs.sparkSession)
     blocks = written_by_key(texts.mapInArrow(lambda it: _blocks(it, limits), _BLOCK_DDL), "blocks", "home", buckets)
     bits = B.bucket_bits(blocks.count())
@@ -474,12 +475,13 @@ def shortened(docs: DataFrame) -> DataFrame:
     """The documents without their repeated passages, with the columns that they came with.
 
     Where a cut splits a character, its remaining bytes go too. ``n_chars``, if it is there, is counted anew.
-    Documents of which nothing is left are dropped; those that were empty before stay.
+    Documents of which nothing is left are dropped; those that were empty before stay. Rows are numbered once, in
+    a table written with all their columns, and the passages are found and cut in that table.
     """
-    found = found_repeats(docs, with_text=True).where("n_removed > 0")
+    numbered = written(docs.select("*", F.monotonically_increasing_id().alias("_row")), "numbered")
+    found = found_repeats(numbered, with_text=True, row="_row").where("n_removed > 0")
     left = written(found.select("row", "n_bytes", "n_removed", "kept"), "left")
-    rows = docs.select("*", F.monotonically_increasing_id().alias("_row")).alias("d")
-    joined = rows.join(left.alias("l"), F.col("d._row") == F.col("l.row"), "left")
+    joined = numbered.alias("d").join(left.alias("l"), F.col("d._row") == F.col("l.row"), "left")
     joined = joined.where("l.row IS NULL OR l.n_removed < l.n_bytes")
     text = F.when(F.col("l.row").isNull(), F.col("d.text")).otherwise(_decoded("l.kept"))
     kept = joined.select(*[text.alias("text") if c == "text" else F.col(f"d.`{c}`") for c in docs.columns])

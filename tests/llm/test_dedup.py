@@ -151,3 +151,41 @@ def test_passages_across_many_documents(table):
 @pytest.mark.parametrize("run", [exact_dedup.deduplicated, simhash.clustered, suffix_dedup.deduplicated, exact_dedup.kept])
 def test_empty_table(table, run):
     assert run(table([])).collect() == []
+
+
+RUNS = {
+    exact_dedup: ("groups", [exact_dedup.kept, lambda df: exact_dedup.deduplicated(df).where("kept")]),
+    simhash: ("prints", [simhash.kept]),
+    suffix_dedup: ("answers", [suffix_dedup.shortened]),
+}
+
+
+@pytest.mark.parametrize("module", RUNS, ids=lambda m: m.__name__.rsplit(".", 1)[-1])
+def test_scans_that_split_otherwise(spark, tmp_path, monkeypatch, module):
+    """The splits of the input change after a scratch table that holds row numbers, as when an executor is lost."""
+    prose = [" ".join(f"w{random.Random(k).randrange(10**6)}x{i}" for i in range(60)) for k in range(12)]
+    # both files hold rows that stay and copies of them
+    rows = [(100 - k, t) for k, t in enumerate([*prose, *prose])]
+    path = str(tmp_path / "docs")
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    for half in ("doc_id % 2 = 0", "doc_id % 2 = 1"):
+        df.where(half).write.mode("append").parquet(path)
+    key, original = "spark.sql.files.minPartitionNum", module.written
+
+    def written(table, name):
+        found = original(table, name)
+        if name == last:
+            spark.conf.set(key, "1")
+        return found
+
+    monkeypatch.setattr(module, "written", written)
+    last, runs = RUNS[module]
+    try:
+        for run in runs:
+            spark.conf.set(key, "8")
+            docs = spark.read.parquet(path)
+            split = docs.rdd.getNumPartitions()
+            found = sorted(r.doc_id for r in run(docs).collect())
+            assert split == 2 and found == list(range(77, 89))
+    finally:
+        spark.conf.unset(key)
