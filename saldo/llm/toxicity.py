@@ -1,8 +1,9 @@
-"""Toxicity by compression distance.
+"""Toxicity by a lexicon that compression looks words up in.
 
-Two zstandard dictionaries of one layout are trained: both hold the same base of ordinary prose, one adds
-segments of ordinary text, the other segments of toxic text. A window of a text is compressed with either;
-the bytes that the toxic dictionary saves beyond the ordinary one measure how toxic the window is. Windows are
+Two zstandard dictionaries of one layout: both hold the same base, trained on ordinary prose; one adds words that
+tell ordinary texts, the other words that tell toxic ones. A window of a text is compressed with either; the bytes
+that the toxic dictionary saves beyond the ordinary one measure how toxic the window is. No dictionary is trained
+on toxic passages, so phrases whose words are each ordinary earn nothing (README, Decisions). Windows are
 words (long ones in overlapping parts), set between two fixed passages of the base, so that even short windows
 reach the compressor's search. A text's largest savings, and how many windows pass a threshold, are calibrated
 to a probability by a logistic fit on labelled texts that the dictionaries have not seen.
