@@ -2,7 +2,8 @@
 
 For every prefix of a pre-token one token ends its encoding: the token whose predecessor, the last token of
 the shorter prefix, may stand before it. The table of these last tokens yields the exact count at every
-prefix, so truncation and budget questions need no second encoding.
+prefix, so truncation and budget questions need no second encoding of a text; only the text before a special
+string is counted again for prefixes that end in that string, and a cut contraction by itself.
 
 Defined results: a null or empty text has no tokens; special strings of the tokenizer count as one token.
 """
@@ -36,6 +37,7 @@ class PrefixCounter:
         #: Every ending of a token: the id of the token that it is itself, or -1.
         self.endings = {tail: ids.get(tail, -1) for token in ids for tail in (token[i:] for i in range(len(token)))}
         self.pattern = regex.compile(public_tokenizers.PATTERN)
+        self.white = regex.compile(r"\s+").fullmatch
         special = sorted(self.vocabulary.special, key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
         self.follows: dict[int, bool] = {}
@@ -125,27 +127,49 @@ class PrefixCounter:
         return np.array(out, np.int32)
 
     def _chunk_table(self, chunk: str) -> list[int]:
-        """Counts at the character prefixes of a chunk.
+        """Counts at the character prefixes of a chunk, special strings taken apart.
 
-        Within the last pre-token the byte table answers. Prefixes that split differently from the whole
-        chunk (in runs of white space, contractions and special strings) are counted on their own.
+        A prefix that ends within a special string adds to the ordinary text before it; that text alone is
+        counted anew, once for each character of the special string.
         """
-        out = [0]
-        pieces = [] if self.special and self.special.search(chunk) else self.pattern.findall(chunk)
-        done, base = "", 0
-        for k, piece in enumerate(pieces):
-            table, at = self.table(piece.encode()), 0
-            plain = not (k and pieces[k - 1].isspace()) and not piece.isspace() and piece[0] != "'"
-            for c in piece[:-1]:
-                at += len(c.encode())
-                done += c
-                out.append(base + table[at] if plain else self.chunk_count(done))
-            done += piece[-1]
+        out, base, start = [0], 0, 0
+        for found in self.special.finditer(chunk) if self.special else ():
+            table = self._plain_table(chunk[start : found.start()])
+            out.extend(base + c for c in table[1:])
+            for end in range(found.start() + 1, found.end()):
+                out.append(base + self.chunk_count(chunk[start:end]))
+            base += table[-1] + 1
+            out.append(base)
+            start = found.end()
+        out.extend(base + c for c in self._plain_table(chunk[start:])[1:])
+        return out
+
+    def _plain_table(self, text: str) -> list[int]:
+        """Counts at the character prefixes of a text without special strings.
+
+        The pre-tokens before the last are those of the whole text, but for two cases: a prefix that ends in a
+        run of white space has this run as one pre-token, and a cut contraction is split.
+        """
+        out, base = [0], 0
+        white, white_base = "", 0
+        for piece in self.pattern.findall(text):
+            # a run of white space, with the space that leads the pre-token after it
+            inner = len(piece) if self.white(piece) else int(piece[0] == " ")
+            if inner:
+                white_base = white_base if white else base
+                known, white = len(white.encode()), white + piece[:inner]
+                run, at = self.table(white.encode()), known
+                for c in piece[:inner]:
+                    at += len(c.encode())
+                    out.append(white_base + run[at])
+            table, at = self.table(piece.encode()), len(piece[:inner].encode())
+            for end in range(inner + 1, len(piece) + 1):
+                at += len(piece[end - 1].encode())
+                cut = piece[0] == "'" and end < len(piece)
+                out.append(base + (self.chunk_count(piece[:end]) if cut else table[at]))
             base += table[-1]
-            # the last pre-token is whole here, but white space may still join what follows
-            out.append(self.chunk_count(done) if piece.isspace() or not plain else base)
-        for end in range(len(out), len(chunk) + 1):
-            out.append(self.chunk_count(chunk[:end]))
+            if inner < len(piece):
+                white = ""
         return out
 
     def truncate(self, text: str, budget: int) -> str:

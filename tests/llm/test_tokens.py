@@ -37,6 +37,24 @@ def test_prefix_counts(byte_bpe):
         assert own.truncate(text, budget) == text[: max(k for k, n in enumerate(want) if n <= budget)]
 
 
+@pytest.mark.parametrize("between", ["\n", "\t", "\n\n ", "'s\n", "\n 's"])
+def test_prefix_counts_take_linear_work(byte_bpe, monkeypatch, between):
+    """A text that has no chunk but itself is not encoded anew for each of its prefixes."""
+    own = token_counts.PrefixCounter(vocabulary_path())
+    text, seen, find = "word" + (between + "word") * 300, [], own.pattern.findall
+
+    class Counted:
+        def findall(self, part):
+            seen.append(len(part))
+            return find(part)
+
+    own.pattern = Counted()
+    counts = own.prefix_counts(text).tolist()
+    assert sum(seen) < 10 * len(text)
+    ends = range(0, len(text) + 1, 37)
+    assert [counts[k] for k in ends] == [len(byte_bpe.encode(text[:k], add_special_tokens=False).ids) for k in ends]
+
+
 def test_counts_query(spark, folder, docs, byte_bpe):
     texts = {r.doc_id: r.text or "" for r in docs.select("doc_id", "text").collect()}
     found = queries.op10_token_counts(spark, folder).collect()
