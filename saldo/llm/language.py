@@ -182,7 +182,8 @@ def identified(docs: DataFrame) -> DataFrame:
 def accepted(docs: DataFrame) -> DataFrame:
     """The documents in which a language is found, with the columns that they came with.
 
-    Rejected are texts without a letter and those that resemble no learned language at all.
+    Rejected are texts without a letter, and those whose best cosine is 0 or below. The latter is no test of
+    resemblance: a text in an unlearned script stays or goes by chance.
     """
     model = prototypes(training_rows(docs))
     rows = docs.withColumn("_found", predicted("text", model))
