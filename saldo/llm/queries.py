@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from saldo.llm import (
     exact_dedup,
     interpolated_lm,
     language,
+    merkle,
     packing,
+    periodic_runs,
     pieces,
     quality,
     simhash,
@@ -18,7 +21,7 @@ from saldo.llm import (
     token_counts,
     toxicity,
 )
-from saldo.llm.common import documents
+from saldo.llm.common import documents, remainder
 
 
 def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
@@ -61,6 +64,57 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.counted(documents(spark, folder))
 
 
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """The runs of every text, some of which the contract makes periodic first; a null id counts as the empty text."""
+    hash_ = "crc32(CAST(coalesce(CAST(doc_id AS STRING), '') AS BINARY))"
+    words = r"filter(split(text, '[ \\x09-\\x0D]+'), w -> w <> '')"
+    first = f"CAST({hash_} DIV 10 % size(words) AS INT)"
+    period = f"(1 + (size(words) - {first}) DIV CAST(3 + {hash_} DIV 10 % 8 AS INT))"
+    place = "CASE WHEN i < first THEN i ELSE first + (i - first) % period END"
+    repeated = f"array_join(transform(sequence(0, size(words) - 1), i -> get(words, {place})), ' ')"
+    docs = (
+        documents(spark, folder)
+        .selectExpr("doc_id", "text", f"CASE WHEN {hash_} % 10 = 0 THEN {words} END AS words")
+        .selectExpr("doc_id", "text", "CASE WHEN size(words) > 0 THEN words END AS words")
+        .selectExpr("*", f"{first} AS first", f"{period} AS period")
+        .selectExpr("doc_id", f"CASE WHEN words IS NULL THEN text ELSE {repeated} END AS text")
+    )
+    earlier = "CASE WHEN a.start <> b.start THEN a.start - b.start ELSE a.period - b.period END"
+    order = f"CASE WHEN a.length * b.period <> b.length * a.period THEN b.length * a.period - a.length * b.period ELSE {earlier} END"
+    lines = "transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n'))"
+    return (
+        periodic_runs.searched(docs)
+        .selectExpr("*", f"get(array_sort(runs, (a, b) -> CAST(signum({order}) AS INT)), 0) AS best")
+        .selectExpr(
+            "doc_id",
+            "CAST(size(runs) AS LONG) AS n_runs",
+            "best.start",
+            "best.length",
+            "best.period",
+            "1000 * best.length DIV best.period AS exponent_milli",
+            f"sha2(CAST(array_join({lines}, '') AS BINARY), 256) AS runs_sha256",
+            "sha2(CAST(coalesce(collapsed, '') AS BINARY), 256) AS collapsed_sha256",
+        )
+    )
+
+
+def op13_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """The manifest of all documents, and each one's proof tried on a leaf that the contract may have tampered with."""
+    docs = documents(spark, folder)
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    changed = [F.col(c).cast("decimal(20)") + 1 if c == "n_chars" else c for c in fields]
+    tampered = F.when(remainder("doc_id", 7) == 0, merkle.leaf(changed)).alias("tampered")
+    found = merkle.manifest(docs, "lang", "doc_id", fields, tampered).rows
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.hashed(merkle.proof("path")).alias("proof_sha256"),
+        merkle.folded(F.coalesce("tampered", "leaf"), "path").alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_packing": op2_packing,
@@ -72,6 +126,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_model": op8_language_model,
     "op9_language": op9_language,
     "op10_token_counts": op10_token_counts,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_manifest": op13_manifest,
 }
 
 #: SQL counterparts, where SQL can express the result.
