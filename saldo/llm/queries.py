@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from saldo.llm import (
     exact_dedup,
     interpolated_lm,
     language,
+    licenses,
     merkle,
     packing,
     periodic_runs,
@@ -64,6 +65,10 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.counted(documents(spark, folder))
 
 
+def op11_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scanned(documents(spark, folder))
+
+
 def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     """The runs of every text, some of which the contract makes periodic first; a null id counts as the empty text."""
     hash_ = "crc32(CAST(coalesce(CAST(doc_id AS STRING), '') AS BINARY))"
@@ -126,10 +131,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_model": op8_language_model,
     "op9_language": op9_language,
     "op10_token_counts": op10_token_counts,
+    "op11_licenses": op11_licenses,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_manifest": op13_manifest,
 }
 
+
+def _values(pairs: Iterable[tuple[str, str]]) -> str:
+    return ", ".join(f"('{a}', '{b}')" for a, b in pairs)
+
+
 #: SQL counterparts, where SQL can express the result.
 SQL: dict[str, str] = {
     "op3_exact_dedup": r"""
@@ -141,4 +152,38 @@ SQL: dict[str, str] = {
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256
         FROM norm JOIN first USING (body)
     """,
+    "op11_licenses": rf"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+            FROM documents
+        ), words AS (
+            SELECT r, unnest(words) AS w, unnest(range(len(words))) AS i FROM docs
+        ), phrases(phrase, label) AS (
+            VALUES {_values(licenses.PHRASES.items())}
+        ), places AS (
+            SELECT r, i, label FROM docs JOIN (SELECT r, i, w FROM words) USING (r)
+            JOIN (SELECT string_split(phrase, ' ') AS p, label FROM phrases) ON p[1] = w
+                AND words[i + 1 : i + len(p)] = p
+        ), based AS (
+            SELECT r, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, list(DISTINCT label) AS labels
+            FROM places GROUP BY r
+        ), templates AS (
+            SELECT regexp_extract_all(lower(text), '[0-9a-z]+') AS t, label FROM (VALUES {_values(licenses.TEMPLATES)}) x(text, label)
+        ), blocks AS (
+            SELECT r, label, list_distinct(t) AS t, list_intersect(list_distinct(t), words[b * len(t) + 1 : (b + 2) * len(t)]) AS held
+            FROM docs, templates, unnest(range((len(words) + len(t) - 1) // len(t))) x(b)
+        ), shares AS (
+            SELECT r, label, len(held) / len(t) AS share FROM blocks
+            WHERE {licenses.THRESHOLD.denominator} * len(held) >= {licenses.THRESHOLD.numerator} * len(t)
+        ), own AS (
+            SELECT r, list(DISTINCT label) AS labels, max(share) AS share FROM shares GROUP BY r
+        )
+        SELECT doc_id, len(words) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+            array_to_string(list_sort(coalesce(based.labels, [])), ',') AS base_labels,
+            array_to_string(list_sort(list_distinct(coalesce(based.labels, []) || coalesce(own.labels, []))), ',') AS labels,
+            CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0) END AS score
+        FROM docs LEFT JOIN based USING (r) LEFT JOIN own USING (r)
+    """,
 }
