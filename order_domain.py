@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from saldo.functions.values import round2
 from saldo.operators.aggregate import aggregate
-from saldo.sources.tables import LazyTables
+from saldo.sources.tables import LazyTables, dealt_out
 
 Tables = Mapping[str, DataFrame]
 
@@ -35,9 +35,18 @@ SCHEMAS = {
 }
 
 
+# The key by which the largest table is dealt out where it comes in few files.
+DEALT_BY = {"lineitem": "l_orderkey"}
+
+
 def source_tables(spark: SparkSession, folder: str) -> Tables:
     """The order tables of a folder, each read when first used."""
-    return LazyTables(lambda name: spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet"))
+
+    def table(name: str) -> DataFrame:
+        df = spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
+        return dealt_out(df, DEALT_BY[name]) if name in DEALT_BY else df
+
+    return LazyTables(table)
 
 
 def _pick(key: str, *values: str | float | None) -> str:

@@ -54,15 +54,20 @@ def first_month_index(d: str) -> str:
     return f"({month_index(d)} + CASE WHEN day({d}) > 1 THEN 1 ELSE 0 END)"
 
 
-def exact_sum(x: str) -> str:
-    """Sum of a DOUBLE expression that does not depend on the order of the rows.
+def exact_parts(x: str) -> tuple[str, str]:
+    """A DOUBLE expression as a decimal and what that leaves out.
 
-    What a row holds down to the twelfth decimal is added exactly, as decimals;
-    what is left of it (0 for amounts of money) or is too large for that is added
-    beside it, so nothing is cut off and nothing overflows.
+    The decimal holds what a row has down to the twelfth decimal place; what is left of it (0 for amounts of money)
+    or is too large for that stays beside it, so nothing is cut off and nothing overflows.
     """
     whole = f"CAST(CASE WHEN abs({x}) < 1e15D THEN {x} ELSE 0D END AS DECIMAL(27, 12))"
-    return f"(CAST(sum({whole}) AS DOUBLE) + sum(({x}) - CAST({whole} AS DOUBLE)))"
+    return whole, f"(({x}) - CAST({whole} AS DOUBLE))"
+
+
+def exact_sum(x: str) -> str:
+    """Sum of a DOUBLE expression that does not depend on the order of the rows: decimals are added exactly."""
+    whole, rest = exact_parts(x)
+    return f"(CAST(sum({whole}) AS DOUBLE) + sum({rest}))"
 
 
 def ratio(numerator: str, denominator: str, when: str) -> str:

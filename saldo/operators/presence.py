@@ -8,7 +8,7 @@ from saldo.functions.values import first_month_index, month_index, month_of_inde
 from saldo.operators.aggregate import aggregate
 
 # Month index of an interval that never ends; lies after every real month.
-_NEVER = 12 * 100_000
+NEVER = 12 * 100_000
 
 
 def presence_changes(intervals: DataFrame, member: str, start: str, end: str) -> DataFrame:
@@ -26,7 +26,7 @@ def presence_changes(intervals: DataFrame, member: str, start: str, end: str) ->
         .selectExpr(
             f"{member} AS member",
             f"{first_month_index(start)} AS first",
-            f"coalesce({month_index(end)}, {_NEVER}) AS last",
+            f"coalesce({month_index(end)}, {NEVER}) AS last",
         )
         .filter("first <= last")
     )
@@ -35,7 +35,7 @@ def presence_changes(intervals: DataFrame, member: str, start: str, end: str) ->
     uncovered = longest.selectExpr("greatest(first, max(last) OVER (" + earlier + ") + 1) AS first", "last").filter(
         "first <= last"
     )
-    changes = uncovered.selectExpr("stack(2, first, 1, last + 1, -1) AS (month, change)").filter(f"month <= {_NEVER}")
+    changes = uncovered.selectExpr("stack(2, first, 1, last + 1, -1) AS (month, change)").filter(f"month <= {NEVER}")
     return aggregate(changes, [f"{month_of_index('month')} AS period"], {"change": "sum(change)"})
 
 

@@ -6,6 +6,8 @@ merges, windows and formulas only ever see month-grain rows.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,11 +16,11 @@ from saldo.functions.values import exact_sum, month_start, ratio, round2
 from saldo.operators.aggregate import aggregate
 from saldo.operators.merge import merge_on_period
 from saldo.operators.presence import presence_changes, running_presence
+from saldo.plans.months import CHURNED_STATUS, LIVE_STATUSES, VIEW_FACTS, month_states
 
 # Ledger categories, and those that the KPI view reports.
 GL_CATEGORIES = ["COGS", "Cash", "G&A", "Other", "R&D", "Sales & Marketing"]
 GL_MEASURES = {"cogs": "COGS", "sales_marketing": "Sales & Marketing", "rnd": "R&D", "ga": "G&A"}
-LIVE_STATUSES = ["Active", "Paused"]
 
 # The columns of the KPI view and of the base table, in order.
 SPINE_MEASURES = [
@@ -124,7 +126,7 @@ def monthly_cash(cash: DataFrame) -> DataFrame:
 
 def churned_customers(subscriptions: DataFrame) -> DataFrame:
     """Distinct customers of cancelled subscriptions by end month."""
-    ended = subscriptions.filter("subscription_status = 'Cancelled' AND end_date IS NOT NULL")
+    ended = subscriptions.filter(f"subscription_status = '{CHURNED_STATUS}' AND end_date IS NOT NULL")
     return aggregate(
         ended, [f"{month_start('end_date')} AS period"], {"churned_customers": "count(DISTINCT customer_id)"}
     )
@@ -146,41 +148,62 @@ def active_customers(subscriptions: DataFrame, months: DataFrame) -> DataFrame:
     )
 
 
-def _spine_parts(star: dict[str, DataFrame]) -> list[DataFrame]:
-    return [
-        monthly_revenue(star["fact_revenue"]),
-        monthly_bookings(star["fact_subscription"]),
-        gl_summary(star["fact_gl"]),
-        monthly_marketing(star["fact_sales_marketing"]),
-        monthly_cash(star["fact_cash"]),
-    ]
+def _total(part: str, label: str | None = None) -> str:
+    """The sum that the states of a part hold."""
+    mine = f"part = '{part}'" + (f" AND label = '{label}'" if label else "")
+    amount, rest = (f"sum(CASE WHEN {mine} THEN {c} END)" for c in ("amount", "rest"))
+    return f"(CAST({amount} AS DOUBLE) + {rest})"
 
 
-def _zero_filled(columns: list[str], keep_null: tuple[str, ...] = ()) -> list[str]:
-    return [c if c in keep_null else f"coalesce(`{c}`, 0) AS `{c}`" for c in columns]
+def _number(part: str) -> str:
+    return f"sum(CASE WHEN part = '{part}' THEN number END)"
 
 
-def kpi_spine(star: dict[str, DataFrame]) -> DataFrame:
-    """One row per month with activity in any fact; absent measures are 0, an undefined CAC stays NULL."""
-    merged = merge_on_period(*_spine_parts(star))
-    return merged.selectExpr("period", *_zero_filled(SPINE_MEASURES, keep_null=("cac",)))
+# The measures of a month as sums of its states.
+_STATE_MEASURES = {
+    "revenue": _total("revenue"),
+    "new_customers": _number("bookings"),
+    "new_arr_booked": _total("bookings"),
+    "total_marketing_spend": _total("marketing", "spend"),
+    "leads": _total("marketing", "leads"),
+    "marketing_won_customers": _total("marketing", "won_customers"),
+    "churned_customers": _number("churned"),
+    "change": _number("presence"),
+}
+_SPINE_PARTS = ["revenue", "bookings", "ledger", "marketing", "cash"]
+_CAC = ratio("total_marketing_spend", "marketing_won_customers", when="marketing_won_customers > 0")
+
+
+def _zero_filled(columns: list[str], keep_null: tuple[str, ...] = ()) -> list[str]:
+    return [c if c in keep_null else f"coalesce(`{c}`, 0) AS `{c}`" for c in columns]
 
 
-def _with_customer_counts(spine_parts: list[DataFrame], subscriptions: DataFrame, *beside: DataFrame) -> DataFrame:
-    """Merge the spine with churn, active customers and what else is given, keeping the spine's months only.
+def _months(states: DataFrame, in_spine: str, measures: dict[str, str]) -> DataFrame:
+    """One row per month of the spine, with the customers who are present at its start.
 
-    Months that only carry a presence change still count towards the running
-    sum, so they leave after it.
+    Months that only carry a presence change count towards the running sum, so they leave after it.
     """
-    spine = [part.selectExpr("*", "true AS in_spine") for part in spine_parts]
+    all_months = aggregate(states, ["period"], {**_STATE_MEASURES, **measures, "in_spine": f"count_if({in_spine}) > 0"})
     return (
-        merge_on_period(*spine, *beside, churned_customers(subscriptions), _active_changes(subscriptions))
-        .selectExpr("*", f"coalesce({running_presence('change')}, 0) AS active_customers")
+        all_months.selectExpr("*", f"coalesce({running_presence('change')}, 0) AS active_customers")
         .filter("in_spine")
         .drop("in_spine", "change")
     )
 
 
+def spine_of(states: DataFrame) -> DataFrame:
+    """The spine and the customer counts from month states."""
+    ledger = {name: _total("ledger", category) for name, category in GL_MEASURES.items()}
+    measures = {**ledger, "ending_cash": _total("cash")}
+    return _months(states, f"part IN ({literals(_SPINE_PARTS)})", measures).selectExpr("*", f"{_CAC} AS cac")
+
+
+def kpi_spine(star: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per month with activity in any fact; absent measures are 0, an undefined CAC stays NULL."""
+    spine = spine_of(month_states(star, VIEW_FACTS))
+    return spine.selectExpr("period", *_zero_filled(SPINE_MEASURES, keep_null=("cac",)))
+
+
 def _margins(cogs: str, burn: str) -> list[str]:
     """Churn, margin, burn and ARPU; a ratio is NULL where it is undefined."""
     return [
@@ -199,13 +222,12 @@ _LIFETIME = [
 _LTV_CAC = f"{ratio('ltv', 'cac', when='cac > 0')} AS ltv_cac"
 
 
-def monthly_kpis(star: dict[str, DataFrame]) -> DataFrame:
-    """The monthly KPI view: one row per month with activity, in month order."""
-    counted = _with_customer_counts(_spine_parts(star), star["fact_subscription"])
+def monthly_kpis_of(states: DataFrame) -> DataFrame:
+    """The monthly KPI view from month states: one row per month with activity, in month order."""
+    measures = [*SPINE_MEASURES, "active_customers", "churned_customers"]
     kpis = (
-        counted.selectExpr(
-            "period", *_zero_filled([*SPINE_MEASURES, "active_customers", "churned_customers"], keep_null=("cac",))
-        )
+        spine_of(states)
+        .selectExpr("period", *_zero_filled(measures, keep_null=("cac",)))
         .selectExpr("*", *_margins("cogs", "sales_marketing + rnd + ga + cogs"))
         .selectExpr("*", *_LIFETIME)
         .selectExpr("*", _LTV_CAC)
@@ -213,6 +235,11 @@ def monthly_kpis(star: dict[str, DataFrame]) -> DataFrame:
     return with_arr_growth(kpis).select(*MONTHLY_KPI_COLUMNS).orderBy("period")
 
 
+def monthly_kpis(star: Mapping[str, DataFrame]) -> DataFrame:
+    """The monthly KPI view over a star schema."""
+    return monthly_kpis_of(month_states(star, VIEW_FACTS))
+
+
 def with_arr_growth(months: DataFrame) -> DataFrame:
     """Booked ARR of the previous row and the growth over it; a month gap is stepped over."""
     growth = ratio("new_arr_booked - prior_month_arr", "prior_month_arr", when="prior_month_arr <> 0")
@@ -238,23 +265,20 @@ def exec_summary(kpis: DataFrame) -> DataFrame:
     )
 
 
-def kpi_base(star: dict[str, DataFrame]) -> DataFrame:
-    """The wide monthly base table.
+def kpi_base_of(states: DataFrame) -> DataFrame:
+    """The wide monthly base table from month states.
 
     It differs from ``monthly_kpis``: signups and every ledger category are
     columns, cash-only months are left out, a month has one row per cash entity,
     CAC is rounded and 0 where undefined.
     """
-    parts = [
-        monthly_revenue(star["fact_revenue"], keep_void_months=False),
-        monthly_bookings(star["fact_subscription"]),
-        monthly_signups(star["dim_customer"]),
-        gl_pivot(star["fact_gl"]),
-        monthly_marketing(star["fact_sales_marketing"], round_cac=True),
-    ]
-    cash = star["fact_cash"].select("period", "entity", "ending_cash")
-    first_entity = aggregate(cash, ["period"], {"first_entity": "min(entity)"})
-    counted = _with_customer_counts(parts, star["fact_subscription"], first_entity)
+    # a month of void invoices only is none of the spine's
+    in_spine = "part IN ('bookings', 'signups', 'ledger', 'marketing') OR part = 'revenue' AND number > 0"
+    ledger = {category: _total("ledger", category) for category in GL_CATEGORIES}
+    first_entity = {"first_entity": "min(CASE WHEN part = 'cash' THEN label END)"}
+    counted = _months(states, in_spine, {**ledger, "customer_signups": _number("signups"), **first_entity})
+    counted = counted.selectExpr("*", f"{round2(_CAC)} AS cac")
+    cash = aggregate(states.filter("part = 'cash'"), ["period", "label AS entity"], {"ending_cash": _total("cash")})
     months = [c for c in counted.columns if c not in ("period", "first_entity")]
     counted = counted.selectExpr("period", "first_entity", *_zero_filled(months)).selectExpr(
         "*", "lag(new_arr_booked) OVER (ORDER BY period) AS earlier_month_arr"
@@ -273,6 +297,11 @@ def kpi_base(star: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+def kpi_base(star: Mapping[str, DataFrame]) -> DataFrame:
+    """The wide monthly base table over a star schema."""
+    return kpi_base_of(month_states(star))
+
+
 def first_months(kpis: DataFrame, n: int = 12) -> DataFrame:
     """The first ``n`` months, as the mart preview shows them."""
     return kpis.orderBy("period").limit(n)

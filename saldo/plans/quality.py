@@ -8,7 +8,8 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from saldo.functions.text import clean_value, literals
 from saldo.functions.values import parse_date, parse_number, round2
@@ -226,10 +227,41 @@ def rejected_values(raw: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
-def issue_summary(tables: Mapping[str, DataFrame], as_of: str | None = None) -> DataFrame:
-    """All 32 counters with their total and the verdict; the critical NULL counts are one counter."""
-    groups = [CRITICAL_NULLS, date_order(as_of), BUSINESS_RULES, INVOICE_MATH, CAC, KPI_RANGES]
-    counters = check_tables(tables, *groups, duplicates=True, labels=True)
+class Watched:
+    """A clean table whose counters are observed while it is written.
+
+    ``table`` is the table with the observation in it. The counters are complete when it has been written: a task of
+    a write counts once, however often it is repeated. Rows are numbered per key on the partitioning that the dedup
+    left, so that duplicates need no pass of their own. Only for labels outside the allowed ones, their number is
+    counted in the written table.
+    """
+
+    def __init__(self, df: DataFrame, name: str, as_of: str | None = None) -> None:
+        self.name, self.observation = name, Observation()
+        groups = [CRITICAL_NULLS, date_order(as_of), BUSINESS_RULES, INVOICE_MATH, CAC]
+        counters = {check: counter for group in groups for check, counter in group.get(name, {}).items()}
+        self.labels = ALLOWED_VALUES.get(name, {})
+        for check, (column, allowed) in self.labels.items():
+            counters[check] = count_if(f"{column} NOT IN ({literals(allowed)})")
+        if name in DUPLICATES:
+            check, keys = DUPLICATES[name]
+            key = ", ".join(keys)
+            df = df.selectExpr("*", f"row_number() OVER (PARTITION BY {key} ORDER BY {key}) AS _nth")
+            counters[check] = count_if("_nth > 1")
+        observed = [F.expr(counter).alias(check) for check, counter in counters.items()]
+        self.table = df.observe(self.observation, *observed).drop("_nth")
+
+    def counters(self, written: DataFrame) -> DataFrame:
+        """The counters as rows (table_name, check_name, issues)."""
+        found = self.observation.get
+        odd = {check: allowed for check, allowed in self.labels.items() if found[check]}
+        rows = [(self.name, check, issues or 0) for check, issues in found.items() if check not in odd]
+        counted = written.sparkSession.createDataFrame(rows, "table_name string, check_name string, issues long")
+        return counted.unionByName(run_label_checks(written, self.name, odd)) if odd else counted
+
+
+def summarised(counters: DataFrame) -> DataFrame:
+    """Counters with their total and the verdict; the critical NULL counts are one counter."""
     critical = literals([name for checks in CRITICAL_NULLS.values() for name in checks])
     name = f"CASE WHEN check_name IN ({critical}) THEN 'critical_nulls_total' ELSE check_name END AS check_name"
     return (
@@ -239,6 +271,19 @@ def issue_summary(tables: Mapping[str, DataFrame], as_of: str | None = None) ->
     )
 
 
+def base_checks(kpi_base: DataFrame) -> DataFrame:
+    """The counters of the monthly base table."""
+    checks = {"kpi_base": {**CRITICAL_NULLS["kpi_base"], **KPI_RANGES["kpi_base"]}}
+    name, keys = DUPLICATES["kpi_base"]
+    return run_keyed_checks(kpi_base, "kpi_base", keys, name, checks["kpi_base"])
+
+
+def issue_summary(tables: Mapping[str, DataFrame], as_of: str | None = None) -> DataFrame:
+    """All 32 counters of tables that are not watched, with their total and the verdict."""
+    groups = [CRITICAL_NULLS, date_order(as_of), BUSINESS_RULES, INVOICE_MATH, CAC, KPI_RANGES]
+    return summarised(check_tables(tables, *groups, duplicates=True, labels=True))
+
+
 # Counters of the raw audit, by table and figure.
 AUDIT_COUNTS: Checks = {
     "customers": {

@@ -153,6 +153,15 @@ BUILDERS = {
 }
 
 
+# The keys by which written tables of the schema are bucketed.
+KEYS = {
+    "dim_customer": ("customer_id",),
+    "fact_revenue": ("invoice_id",),
+    "fact_subscription": ("subscription_id",),
+    "fact_gl": ("gl_txn_id",),
+}
+
+
 def kpi_star(clean: Mapping[str, DataFrame]) -> Mapping[str, DataFrame]:
     """The tables that the KPIs read. None of them looks at a plan, so they skip the plan lookup."""
 

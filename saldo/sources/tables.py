@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +21,16 @@ class LazyTables(dict):
         return self[name]
 
 
+def dealt_out(df: DataFrame, key: str) -> DataFrame:
+    """Deal a scan of fewer splits than there are cores out by a key.
+
+    A file of a single row group is one task's, however many splits it counts as; what follows the scan would
+    run in that task too, up to the next shuffle. A table of many splits is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+
+
 def write_table(df: DataFrame, path: str) -> DataFrame:
     """Write a parquet table, replacing what is there, and return a scan of it.
 
@@ -33,12 +45,59 @@ def write_tables(tables: dict[str, DataFrame], folder: str) -> dict[str, DataFra
     return {name: write_table(df, f"{folder}/{name}") for name, df in tables.items()}
 
 
-def save_tables(tables: dict[str, DataFrame], database: str) -> dict[str, DataFrame]:
-    """Drop and recreate catalog tables, so that a build can be repeated; scans of them."""
-    spark = next(iter(tables.values())).sparkSession
+def _written_version(database: str, name: str) -> str | None:
+    """The version that the view of this name reads, if there is one."""
+    spark = SparkSession.active()
+    if not spark.catalog.tableExists(f"{database}.{name}"):
+        return None
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {database}.{name}").filter("col_name = 'View Text'").collect()
+    found = re.search(rf"{name}__v\w+", described[0].data_type) if described else None
+    return found[0] if found else None
+
+
+def write_version(df: DataFrame, database: str, name: str, version: str, key: Sequence[str] = (), buckets: int = 0) -> str:
+    """Write one table of a build that nobody reads yet, in buckets of its key where it has one; the table's name.
+
+    A reader that groups or joins by the key of a bucketed table needs no shuffle of it. Choose the buckets so that
+    one of them suits a task; by default there are as many as shuffle partitions.
+    """
+    spark = df.sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    for name, df in tables.items():
-        df.write.mode("overwrite").saveAsTable(f"{database}.{name}")
+    table = f"{database}.{name}__v{version}"
+    writer = df.write.mode("overwrite")
+    if key:
+        writer = writer.bucketBy(buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), *key).sortBy(*key)
+    writer.saveAsTable(table)
+    return table
+
+
+def publish(written: Mapping[str, str], database: str) -> None:
+    """Switch the views of a database to newly written tables.
+
+    Until then readers see the former tables whole, and from then on the new ones; a build that fails before it
+    changes nothing. The tables that the views read before are kept for whoever still reads them, up to the
+    next switch; versions older than those, and versions that were never published, are dropped.
+    """
+    spark = SparkSession.active()
+    former = {name: _written_version(database, name) for name in written}
+    for name, table in written.items():
+        if former[name] is None:
+            spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT * FROM {table}")
+    for name, table in written.items():
+        kept = {table.split(".")[-1], former[name]}
+        for row in spark.sql(f"SHOW TABLES IN {database} LIKE '{name}__v*'").collect():
+            if row.tableName not in kept:
+                spark.sql(f"DROP TABLE IF EXISTS {database}.{row.tableName}")
+
+
+def save_tables(
+    tables: Mapping[str, DataFrame], database: str, keys: Mapping[str, Sequence[str]] | None = None, buckets: int = 0
+) -> dict[str, DataFrame]:
+    """Write all tables beside the published ones, then publish them together; scans of them by name."""
+    version, spark = uuid.uuid4().hex, next(iter(tables.values())).sparkSession
+    written = {n: write_version(df, database, n, version, (keys or {}).get(n, ()), buckets) for n, df in tables.items()}
+    publish(written, database)
     return {name: spark.table(f"{database}.{name}") for name in tables}
 
 
