@@ -246,7 +246,7 @@ PLANS: dict[str, Plan] = {
     "dq_summary": lambda f: quality.summarised(_watched_build(f)),
     "kpi_describe": _kpi_describe,
     "raw_audit": lambda f: quality.raw_audit(f.raw),
-    "mart_row_counts": lambda f: star.mart_row_counts(f.kpi_star),
+    "mart_row_counts": lambda f: star.kept_row_counts(f.raw, f.clean),
     "top12_months": lambda f: kpis.first_months(kpis.monthly_kpis(f.kpi_star), 12),
     "billing_schedule": lambda f: billing.billing_schedule(f.raw["subscriptions"], oracles.HORIZON),
 }

@@ -19,10 +19,15 @@ def _replace(df: DataFrame, **columns: str) -> DataFrame:
     return df.selectExpr(*[f"{columns[c]} AS {c}" if c in columns else c for c in df.columns])
 
 
+def keyed_customers(raw: DataFrame) -> DataFrame:
+    """Customers before the dedup, with their key and date."""
+    return _replace(raw, customer_id=X.clean_id(raw, "customer_id"), signup_date=parse_date(raw, "signup_date"))
+
+
 def clean_customers(raw: DataFrame) -> DataFrame:
     """One row per customer: the earliest signup."""
-    keyed = _replace(raw, customer_id=X.clean_id(raw, "customer_id"), signup_date=parse_date(raw, "signup_date"))
-    return X.trim_text_columns(keep_first(keyed, "customer_id", ["signup_date"]), "customer_id").selectExpr(
+    first = keep_first(keyed_customers(raw), "customer_id", ["signup_date"])
+    return X.trim_text_columns(first, "customer_id").selectExpr(
         "customer_id",
         f"coalesce({X.title_case('customer_name')}, 'Unknown Customer') AS customer_name",
         f"coalesce({X.title_case('industry')}, 'Unknown') AS industry",
@@ -36,20 +41,25 @@ def clean_customers(raw: DataFrame) -> DataFrame:
     )
 
 
-def valid_subscriptions(raw: DataFrame) -> DataFrame:
-    """One row per subscription: positive MRR, possible dates, the latest start wins.
-
-    An open end sorts after every date, so it wins over an ended row of the same
-    start. The plan is the row's own; ``fill_plans`` looks missing ones up.
-    """
-    keyed = _replace(
+def keyed_subscriptions(raw: DataFrame) -> DataFrame:
+    """Subscriptions with a positive MRR and possible dates, before the dedup."""
+    return _replace(
         raw.drop("arr"),
         subscription_id=X.clean_id(raw, "subscription_id"),
         start_date=parse_date(raw, "start_date"),
         end_date=parse_date(raw, "end_date"),
         mrr=parse_number(raw, "mrr"),
     ).filter("mrr > 0 AND start_date IS NOT NULL AND (end_date IS NULL OR end_date >= start_date)")
-    t = X.trim_text_columns(keep_last(keyed, "subscription_id", ["start_date", "end_date"]), "subscription_id")
+
+
+def valid_subscriptions(raw: DataFrame) -> DataFrame:
+    """One row per subscription: positive MRR, possible dates, the latest start wins.
+
+    An open end sorts after every date, so it wins over an ended row of the same
+    start. The plan is the row's own; ``fill_plans`` looks missing ones up.
+    """
+    last = keep_last(keyed_subscriptions(raw), "subscription_id", ["start_date", "end_date"])
+    t = X.trim_text_columns(last, "subscription_id")
     return t.selectExpr(
         "subscription_id",
         f"{X.std_id('customer_id')} AS customer_id",
@@ -96,13 +106,17 @@ def clean_subscriptions(raw: DataFrame, customers: DataFrame) -> DataFrame:
     return fill_plans(valid_subscriptions(raw), customers)
 
 
-def clean_invoices(raw: DataFrame) -> DataFrame:
-    """One row per invoice: the latest date; due dates and totals repaired, void rows flagged."""
+def keyed_invoices(raw: DataFrame) -> DataFrame:
+    """Invoices with an id, a customer and a date, before the dedup."""
     named = raw.drop("total_amount").filter(f"{X.has_text(raw, 'invoice_id')} AND {X.has_text(raw, 'customer_id')}")
-    keyed = _replace(
+    return _replace(
         named, invoice_id=X.clean_id(raw, "invoice_id"), invoice_date=parse_date(raw, "invoice_date")
     ).filter("invoice_date IS NOT NULL")
-    t = X.trim_text_columns(keep_last(keyed, "invoice_id", ["invoice_date"]), "invoice_id")
+
+
+def clean_invoices(raw: DataFrame) -> DataFrame:
+    """One row per invoice: the latest date; due dates and totals repaired, void rows flagged."""
+    t = X.trim_text_columns(keep_last(keyed_invoices(raw), "invoice_id", ["invoice_date"]), "invoice_id")
     due = parse_date(t, "due_date")
     return t.selectExpr(
         "invoice_id",
@@ -116,16 +130,20 @@ def clean_invoices(raw: DataFrame) -> DataFrame:
     ).selectExpr("*", f"{round2('amount + tax')} AS total_amount", "invoice_status = 'Void' AS is_void")
 
 
-def clean_gl(raw: DataFrame) -> DataFrame:
-    """One row per ledger transaction: the latest date; accounts mapped to categories."""
-    keyed = _replace(
+def keyed_gl(raw: DataFrame) -> DataFrame:
+    """Ledger rows with an id, a date and an amount, before the dedup."""
+    return _replace(
         raw.filter(X.has_text(raw, "gl_txn_id")),
         gl_txn_id=X.clean_id(raw, "gl_txn_id"),
         txn_date=parse_date(raw, "txn_date"),
         amount=parse_number(raw, "amount"),
     ).filter("txn_date IS NOT NULL AND amount IS NOT NULL")
+
+
+def clean_gl(raw: DataFrame) -> DataFrame:
+    """One row per ledger transaction: the latest date; accounts mapped to categories."""
     return (
-        X.trim_text_columns(keep_last(keyed, "gl_txn_id", ["txn_date"]), "gl_txn_id")
+        X.trim_text_columns(keep_last(keyed_gl(raw), "gl_txn_id", ["txn_date"]), "gl_txn_id")
         .selectExpr(
             "gl_txn_id",
             "txn_date",

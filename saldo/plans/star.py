@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 
 from saldo.functions.values import month_start
 from saldo.operators.aggregate import aggregate
+from saldo.plans import cleaning
 from saldo.sources.tables import LazyTables
 
 # Date columns that feed the date dimension. Dates need neither a
@@ -23,19 +24,47 @@ DATE_COLUMNS = {
 }
 
 
+# Days of one bitmap: what Spark's bitmap functions hold in a bucket.
+_BITMAP_BYTES = 4096
+
+
+def date_bitmaps(dates: DataFrame) -> DataFrame:
+    """Bitmaps of the days in column ``date_key``: (bucket, days), a row for each 90 years that occur.
+
+    A task hands on one bitmap however many rows it has; bitmaps of several tables or builds merge by
+    ``bitmap_or_agg``.
+    """
+    day = "unix_date(date_key)"
+    placed = dates.filter("date_key IS NOT NULL").selectExpr(
+        f"bitmap_bucket_number({day}) AS bucket", f"bitmap_bit_position({day}) AS position"
+    )
+    return aggregate(placed, ["bucket"], {"days": "bitmap_construct_agg(position)"})
+
+
+def days_of_bitmaps(bitmaps: DataFrame) -> DataFrame:
+    """The days that bitmaps hold, each once: (date_key)."""
+    byte = "CAST(conv(hex(substr(days, k + 1, 1)), 16, 10) AS INT)"
+    day = f"CASE WHEN bucket > 0 THEN (bucket - 1) * {8 * _BITMAP_BYTES} + position + 1 ELSE bucket * {8 * _BITMAP_BYTES} - position END"
+    return (
+        bitmaps.selectExpr("bucket", "days", f"explode(sequence(0, {_BITMAP_BYTES - 1})) AS k")
+        .selectExpr("bucket", "k", f"{byte} AS byte")
+        .filter("byte > 0")
+        .selectExpr("bucket", "explode(transform(filter(sequence(0, 7), b -> getbit(byte, b) = 1), b -> 8 * k + b)) AS position")
+        .selectExpr(f"date_from_unix_date(CAST({day} AS INT)) AS date_key")
+    )
+
+
 def dim_date(clean: Mapping[str, DataFrame]) -> DataFrame:
     """Every date that occurs in a clean table, with its calendar attributes.
 
-    Each table is read once for all its dates, and one ``distinct`` follows the
-    union: its map side already reduces every task to the dates it has seen.
+    Each table is read once for all its dates, which become bits of a few bitmaps.
     """
     dates = [
-        clean[table].selectExpr(f"stack({len(columns)}, {', '.join(columns)}) AS date_key").filter("date_key IS NOT NULL")
+        clean[table].selectExpr(f"stack({len(columns)}, {', '.join(columns)}) AS date_key")
         for table, columns in DATE_COLUMNS.items()
     ]
-    return reduce(DataFrame.union, dates).distinct().selectExpr(
-        "date_key", *_calendar("date_key"), f"{month_start('date_key')} AS month_start"
-    )
+    days = days_of_bitmaps(date_bitmaps(reduce(DataFrame.union, dates)))
+    return days.selectExpr("date_key", *_calendar("date_key"), f"{month_start('date_key')} AS month_start")
 
 
 def dim_month(dates: DataFrame) -> DataFrame:
@@ -186,10 +215,35 @@ COUNTED_TABLES = (
 )
 
 
+# The raw table of each table with one row per key, its rows before the dedup, and the key.
+KEYED = {
+    "dim_customer": ("customers", cleaning.keyed_customers, "customer_id"),
+    "fact_revenue": ("invoices", cleaning.keyed_invoices, "invoice_id"),
+    "fact_subscription": ("subscriptions", cleaning.keyed_subscriptions, "subscription_id"),
+    "fact_gl": ("gl", cleaning.keyed_gl, "gl_txn_id"),
+}
+
+
 def mart_row_counts(star: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows of each table; a fact without its plan has as many rows as with it."""
+    """Rows of each table; of written tables only the file footers are read."""
     counts = [
         star[name].selectExpr("count(*) AS row_count").selectExpr(f"'{name}' AS table_name", "row_count")
         for name in COUNTED_TABLES
     ]
     return reduce(DataFrame.unionByName, counts)
+
+
+def kept_row_counts(raw: Mapping[str, DataFrame], clean: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows of each table of a star schema that is not written.
+
+    A table with one row per key has as many rows as keys, whichever row is kept, so these are counted before the
+    dedup, which would sort and shuffle whole rows.
+    """
+
+    def table(name: str) -> DataFrame:
+        if name in KEYED:
+            source, keyed, key = KEYED[name]
+            return keyed(raw[source]).select(key).distinct()
+        return BUILDERS[name](clean)
+
+    return mart_row_counts(LazyTables(table))
