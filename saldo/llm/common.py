@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 from collections.abc import Iterator
 from pathlib import Path
@@ -17,8 +18,13 @@ WHITE = "[\\x20\\x09-\\x0D]"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, else the warehouse."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    Where that is unset, a session on one machine uses a folder of its warehouse; a cluster is refused.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch").rstrip("/")
 
 
@@ -36,14 +42,19 @@ def clear_scratch(spark: SparkSession) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def scratch_folder(spark: SparkSession, kind: str = "llm") -> str:
+    """A new folder below the shared one, which :func:`clear_scratch` removes."""
+    folder = f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+    _SCRATCH_FOLDERS.append(folder)
+    return folder
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and return a scan of it.
 
     This cuts the lineage: a lost executor costs a re-read, and every later reader sees the same rows.
     """
-    folder = f"{shared_dir(df.sparkSession)}/llm-{uuid.uuid4().hex}"
-    _SCRATCH_FOLDERS.append(folder)
-    path = f"{folder}/{name}"
+    path = f"{scratch_folder(df.sparkSession)}/{name}"
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -87,6 +98,22 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def buckets_for(docs: DataFrame, bucket_bytes: int) -> int:
+    """Buckets for a table made of texts, so that a bucket holds about as much at any size of the table.
+
+    There are as many as shuffle partitions at least, and at most as many as Spark allows.
+    """
+    spark = docs.sparkSession
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    return min(most, max(partitions(spark), -(-size // bucket_bytes)))
+
+
+def as_given(docs: DataFrame) -> DataFrame:
+    """All columns of a table in one struct, ``given``, so that no name of theirs meets a name of an operator's."""
+    return docs.select(F.struct("*").alias("given"))
+
+
 def runs(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[tuple[tuple, pa.Table]]:
     """The rows of each key in turn, from batches that are sorted by the keys.
 

@@ -19,16 +19,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from saldo.llm.common import WHITE, partitions, runs, written
+from saldo.llm.common import WHITE, as_given, partitions, runs, written
 
 #: Fingerprints that a task counts before it hands its filters on.
 FILTER_SIZE = 1 << 19
 #: Rows of repeated fingerprints up to which they are sent to every task (16 bytes a row).
 BROADCAST_ROWS = 1 << 18
 
-#: The column that holds what was found about a row.
-FOUND = "_exact_dedup"
-
 _FILTER = pa.schema([("block", pa.int32()), ("filter", pa.binary())])
 
 
@@ -124,7 +121,7 @@ def normalised(text: str = "text") -> Column:
 
 
 def grouped(docs: DataFrame, rows_per_block: int = 1 << 20) -> DataFrame:
-    """Every row with one column more.
+    """Every row with all its columns in one (``given``), and what was found about it beside that.
 
     ``found`` holds the id that stays for its text, whether this row is the one, the number of equal texts, and
     the ``text_sha256`` of the normalised text. Rows whose fingerprint repeats are numbered and written once, with
@@ -132,45 +129,45 @@ def grouped(docs: DataFrame, rows_per_block: int = 1 << 20) -> DataFrame:
     """
     # blocks hold about as many fingerprints at any size of the table
     block_bits = max(6, (docs.count() // rows_per_block).bit_length())
-    print_ = F.xxhash64(normalised())
-    many = written(repeated_prints(docs.select(print_.alias("print")), block_bits), "repeated")
+    rows = as_given(docs).withColumn("print", F.xxhash64(normalised("given.text")))
+    many = written(repeated_prints(rows.select("print"), block_bits), "repeated").alias("m")
     if many.count() <= BROADCAST_ROWS:
         many = F.broadcast(many)
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    rows = docs.select("*", print_.alias("_print"))
-    numbered = rows.withColumn("_row", F.monotonically_increasing_id()).alias("d")
-    repeats = F.col("d._print") == many["print"]
-    candidates = written(numbered.join(many, repeats, "left_semi").withColumn("_sha", _sha(normalised())), "candidates")
+    rows = rows.alias("d")
+    repeats = F.col("d.print") == F.col("m.print")
+    numbered = rows.withColumn("row", F.monotonically_increasing_id()).alias("d").join(many, repeats, "left_semi")
+    candidates = written(numbered.withColumn("sha", _sha(normalised("given.text"))), "candidates").alias("d")
     # bytes decide: a group is one distinct text, of which every task sends one row
+    id_ = F.col("given.doc_id").alias("doc_id")
     groups = (
-        candidates.select("_print", normalised().alias("norm"), "doc_id", "_row")
-        .groupBy("_print", "norm")
-        .agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "_row")).alias("first"))
+        candidates.select("print", normalised("given.text").alias("norm"), F.struct(id_, "row").alias("at"))
+        .groupBy("print", "norm")
+        .agg(F.count("*").alias("n"), F.min("at").alias("first"))
         .where("n > 1")
-        .select(F.col("_print").alias("print"), _sha("norm").alias("sha"), "first", "n")
+        .select("print", _sha("norm").alias("sha"), "first", "n")
     )
     groups = written(groups, "groups").alias("g")
     if groups.count() <= BROADCAST_ROWS // 8:
         groups = F.broadcast(groups)
-    same = (F.col("d._print") == F.col("g.print")) & (F.col("d._sha") == F.col("g.sha"))
+    same = (F.col("d.print") == F.col("g.print")) & (F.col("d.sha") == F.col("g.sha"))
     single = F.col("g.n").isNull()
-    decided = candidates.alias("d").join(groups, same, "left").select(
-        *[F.col(f"d.`{c}`") for c in docs.columns],
+    decided = candidates.join(groups, same, "left").select(
+        F.col("d.given"),
         F.struct(
-            F.when(single, F.col("d.doc_id")).otherwise(F.col("g.first.doc_id")).alias("keep_id"),
+            F.when(single, F.col("d.given.doc_id")).otherwise(F.col("g.first.doc_id")).alias("keep_id"),
             F.coalesce("g.n", F.lit(1)).alias("group_size"),
-            (single | (F.col("g.first._row") == F.col("d._row"))).alias("kept"),
-            F.col("d._sha").alias("text_sha256"),
-        ).alias(FOUND),
+            (single | (F.col("g.first.row") == F.col("d.row"))).alias("kept"),
+            F.col("d.sha").alias("text_sha256"),
+        ).alias("found"),
     )
-    alone = rows.alias("d").join(many, repeats, "left_anti").select(
-        *columns,
+    alone = rows.join(many, repeats, "left_anti").select(
+        "given",
         F.struct(
-            F.col("doc_id").alias("keep_id"),
+            F.col("given.doc_id").alias("keep_id"),
             F.lit(1).cast("long").alias("group_size"),
             F.lit(True).alias("kept"),
-            _sha(normalised()).alias("text_sha256"),
-        ).alias(FOUND),
+            _sha(normalised("given.text")).alias("text_sha256"),
+        ).alias("found"),
     )
     return decided.unionAll(alone)
 
@@ -181,9 +178,9 @@ def _sha(text: str | Column) -> Column:
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The row that stays for every document's text; ``kept`` is false for all rows but that one."""
-    return grouped(docs.select("doc_id", "text")).select("doc_id", f"{FOUND}.*")
+    return grouped(docs.select("doc_id", "text")).select("given.doc_id", "found.*")
 
 
 def kept(docs: DataFrame) -> DataFrame:
     """The rows that stay, with the columns that they came with."""
-    return grouped(docs).where(f"{FOUND}.kept").drop(FOUND)
+    return grouped(docs).where("found.kept").select("given.*")

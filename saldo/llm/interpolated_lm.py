@@ -28,12 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from saldo.llm import blocks as B
-from saldo.llm.common import partitions, remainder, runs, written, written_by_key
+from saldo.llm.common import buckets_for, remainder, runs, written, written_by_key
 
 #: Documents with this remainder are scored only; those with the other one give the weights' fold.
 FOLDS, HELD_OUT, WEIGHT_FOLD = 7, 2, 3
 #: Tokens of a block.
 BLOCK_TOKENS = 500_000
+#: Bytes of text that make a token, roughly: what buckets are sized by.
+TOKEN_BYTES = 6
 #: Octaves of the frequency of the word before; 0 is for words that were never seen.
 OCTAVES = 42
 #: Steps per octave to which the ratios of two estimates are rounded for the weights.
@@ -277,8 +279,8 @@ def scored(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), remainder("doc_id", FOLDS).cast("int").alias("fold"), "text"
     )
-    # several buckets per partition: a task then holds a block or two with their answers
-    buckets = 4 * partitions(docs.sparkSession)
+    # a task holds a block or two with their answers
+    buckets = buckets_for(docs, 2 * TOKEN_BYTES * block_tokens)
     blocks = written_by_key(rows.mapInArrow(lambda it: _blocks(it, block_tokens), _BLOCK_DDL), "tokens", "home", buckets)
     bits = B.bucket_bits(blocks.count())
     asked = blocks.mapInArrow(lambda it: _ask(it, bits), B.MESSAGE_DDL)

@@ -19,12 +19,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from saldo.llm.common import remainder
+from saldo.llm.common import as_given, remainder
 
 DIMENSIONS = 1024
 UNKNOWN = "und"
 #: Characters, texts and trigrams that are turned into vectors at a time, so that memory is bounded.
 CHUNK_CHARS, CHUNK_TEXTS, CHUNK_GRAMS = 1_000_000, 256, 4096
+#: Counts of texts by trigrams that are held at a time; texts of more are halved, down to single ones.
+CHUNK_COUNTS = 1 << 22
 
 
 @functools.lru_cache(maxsize=20_000)
@@ -50,8 +52,8 @@ class Trigrams:
         return out
 
 
-def trigrams(texts: list[str]) -> tuple[np.ndarray, Trigrams]:
-    """Counts of the letter trigrams of each text, and the trigrams.
+def trigrams(texts: list[str]) -> Iterator[tuple[slice, np.ndarray, Trigrams]]:
+    """Counts of the letter trigrams of each text, and the trigrams, for parts of the texts of bounded size.
 
     All that is no letter counts as one border sign. A trigram has a letter in the middle.
     """
@@ -75,11 +77,25 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, Trigrams]:
         columns = column[grams]
     else:
         distinct, columns = np.unique(grams, return_inverse=True)
+    if len(texts) > 1 and len(texts) * len(distinct) > CHUNK_COUNTS:
+        half = len(texts) // 2
+        for shift, part in ((0, texts[:half]), (half, texts[half:])):
+            for own, counts, found in trigrams(part):
+                yield slice(own.start + shift, own.stop + shift), counts, found
+        return
     owner = np.searchsorted(ends, middle - 1, side="right")
     counts = np.bincount(owner * len(distinct) + columns, minlength=len(texts) * len(distinct))
     signs = np.array([np.ones(DIMENSIONS, np.int8), *map(letter_vector, letters.tolist())])
     numbers = np.stack([distinct // base**2, distinct // base % base, distinct % base], axis=1)
-    return counts.reshape(len(texts), len(distinct)).astype(np.float32), Trigrams(numbers, signs)
+    counts = counts.reshape(len(texts), len(distinct)).astype(np.float32)
+    yield slice(0, len(texts)), counts, Trigrams(numbers, signs)
+
+
+def counted(texts: list[str | None]) -> Iterator[tuple[slice, np.ndarray, Trigrams]]:
+    """The trigram counts of all texts, a part at a time."""
+    for whole in chunked(texts):
+        for part, counts, grams in trigrams(texts[whole]):
+            yield slice(whole.start + part.start, whole.start + part.stop), counts, grams
 
 
 def chunked(texts: list[str | None]) -> Iterator[slice]:
@@ -100,10 +116,9 @@ def _bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[str, np.ndarray] = {}
     for batch in batches:
         texts, langs = batch.column("text").to_pylist(), batch.column("lang").to_pylist()
-        for part in chunked(texts):
+        for part, counts, grams in counted(texts):
             own = langs[part]
             names = sorted(set(own))
-            counts, grams = trigrams(texts[part])
             row = np.array([names.index(x) for x in own])
             by_lang = np.array([counts[row == k].sum(axis=0, dtype=np.float64) for k in range(len(names))])
             for name, vector in zip(names, grams.bundled(by_lang), strict=True):
@@ -140,8 +155,7 @@ def prototypes(training: DataFrame) -> tuple[list[str], np.ndarray]:
 def identify(texts: list[str], names: list[str], units: np.ndarray) -> tuple[list[str], np.ndarray]:
     """The language and the cosine of every text."""
     langs, scores = [], []
-    for part in chunked(texts):
-        counts, grams = trigrams(texts[part])
+    for _, counts, grams in counted(texts):
         bundle = grams.bundled(counts)
         length = np.linalg.norm(bundle, axis=1)
         if not names:
@@ -182,9 +196,9 @@ def identified(docs: DataFrame) -> DataFrame:
 def accepted(docs: DataFrame) -> DataFrame:
     """The documents in which a language is found, with the columns that they came with.
 
-    Rejected are texts without a letter, and those whose best cosine is 0 or below. The latter is no test of
+    They have columns ``doc_id``, ``text`` and ``lang``; further ones may have any name. Rejected are texts without a letter, and those whose best cosine is 0 or below. The latter is no test of
     resemblance: a text in an unlearned script stays or goes by chance.
     """
     model = prototypes(training_rows(docs))
-    rows = docs.withColumn("_found", predicted("text", model))
-    return rows.where((F.col("_found.lang") != UNKNOWN) & (F.col("_found.score") > 0)).drop("_found")
+    rows = as_given(docs).withColumn("found", predicted("given.text", model))
+    return rows.where((F.col("found.lang") != UNKNOWN) & (F.col("found.score") > 0)).select("given.*")

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from saldo.llm.common import partitions, runs, written
+from saldo.llm.common import as_given, partitions, runs, written
 from saldo.llm.components import components
 
 BITS = 64
@@ -252,18 +252,16 @@ def kept(
     texts = written(texts, "texts")
     if texts.count() <= BROADCAST_TEXTS:
         texts = F.broadcast(texts)
-    rows = docs.withColumn("_text", F.xxhash64("text"))
-    several = F.col("_text") == texts["text"]
-    near = rows.withColumn("_row", F.monotonically_increasing_id()).join(texts, several, "left_semi")
-    near = written(near.withColumn("_print", fingerprint("text", words_per_shingle)), "near")
-    id_ = F.col("doc_id").cast("long")
-    first = F.min(F.struct(F.isnull(id_).alias("no_id"), id_.alias("doc_id"), "_row")).alias("first")
-    classes = near.groupBy("_print").agg(first)
-    roots = found.select("print", "root")
-    firsts = classes.join(roots, F.col("_print") == F.col("print")).groupBy("root").agg(F.min("first").alias("first"))
-    firsts = written(firsts.select(F.col("first._row").alias("_first")), "firsts")
+    rows = as_given(docs).withColumn("hash", F.xxhash64("given.text"))
+    several = F.col("hash") == texts["text"]
+    near = rows.withColumn("row", F.monotonically_increasing_id()).join(texts, several, "left_semi")
+    near = written(near.withColumn("print", fingerprint("given.text", words_per_shingle)), "near")
+    id_ = F.col("given.doc_id").cast("long")
+    first = F.min(F.struct(F.isnull(id_).alias("no_id"), id_.alias("doc_id"), "row")).alias("first")
+    classes = near.groupBy("print").agg(first)
+    firsts = classes.join(found.select("print", "root"), "print").groupBy("root").agg(F.min("first").alias("first"))
+    firsts = written(firsts.select(F.col("first.row").alias("row")), "firsts")
     if firsts.count() <= BROADCAST_ROWS:
         firsts = F.broadcast(firsts)
-    columns = [f"`{c}`" for c in docs.columns]
-    chosen = near.join(firsts, F.col("_row") == F.col("_first"), "left_semi").select(*columns)
-    return chosen.unionAll(rows.join(texts, several, "left_anti").select(*columns))
+    chosen = near.join(firsts, "row", "left_semi").select("given.*")
+    return chosen.unionAll(rows.join(texts, several, "left_anti").select("given.*"))

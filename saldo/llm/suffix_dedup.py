@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from saldo.llm import blocks as B
-from saldo.llm.common import partitions, runs, written, written_by_key
+from saldo.llm.common import as_given, buckets_for, runs, written, written_by_key
 
 LENGTH = 100
 #: Bytes of the q-grams that may be anchors, and the number of them in a window.
@@ -180,7 +180,9 @@ def _blocks(batches: Iterator[pa.RecordBatch], limits: Limits) -> Iterator[pa.Re
         held.sort(key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
         ids, rows, texts = zip(*held, strict=True)
         ends = np.cumsum([len(t) for t in texts]).tolist()
-        columns = [[home], [(home << 32) + count], [list(rows)], [list(ids)], [ends], [b"".join(texts)]]
+        # a home of its own for each block, so that it gets its own answers alone
+        own = (home << 10) + count & 0x7FFFFFFF
+        columns = [[own], [(home << 32) + count], [list(rows)], [list(ids)], [ends], [b"".join(texts)]]
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _BLOCK, strict=True)], schema=_BLOCK)
 
     for batch in batches:
@@ -454,7 +456,8 @@ def found_repeats(
     """
     number = F.col(row) if row else F.monotonically_increasing_id()
     texts = docs.select(number.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    buckets = partitions(docs.sparkSession)
+    # a task holds a block or two with their answers
+    buckets = buckets_for(docs, 2 * limits.block_bytes)
     blocks = written_by_key(texts.mapInArrow(lambda it: _blocks(it, limits), _BLOCK_DDL), "blocks", "home", buckets)
     bits = B.bucket_bits(blocks.count())
 
@@ -478,16 +481,16 @@ def shortened(docs: DataFrame) -> DataFrame:
     Documents of which nothing is left are dropped; those that were empty before stay. Rows are numbered once, in
     a table written with all their columns, and the passages are found and cut in that table.
     """
-    numbered = written(docs.select("*", F.monotonically_increasing_id().alias("_row")), "numbered")
-    found = found_repeats(numbered, with_text=True, row="_row").where("n_removed > 0")
-    left = written(found.select("row", "n_bytes", "n_removed", "kept"), "left")
-    joined = numbered.alias("d").join(left.alias("l"), F.col("d._row") == F.col("l.row"), "left")
-    joined = joined.where("l.row IS NULL OR l.n_removed < l.n_bytes")
-    text = F.when(F.col("l.row").isNull(), F.col("d.text")).otherwise(_decoded("l.kept"))
-    kept = joined.select(*[text.alias("text") if c == "text" else F.col(f"d.`{c}`") for c in docs.columns])
+    numbered = written(as_given(docs).withColumn("row", F.monotonically_increasing_id()), "numbered")
+    found = found_repeats(numbered.select("row", "given.doc_id", "given.text"), with_text=True, row="row")
+    left = written(found.where("n_removed > 0").select("row", "n_bytes", "n_removed", "kept"), "left")
+    joined = numbered.join(left, "row", "left").where("kept IS NULL OR n_removed < n_bytes")
+    text = F.when(F.isnull("kept"), F.col("given.text")).otherwise(_decoded("kept"))
+    cut = joined.select(F.col("given").withField("text", text).alias("given"))
     if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return kept
+        size = F.char_length("given.text").cast(docs.schema["n_chars"].dataType)
+        cut = cut.select(F.col("given").withField("n_chars", size).alias("given"))
+    return cut.select("given.*")
 
 
 def _decoded(column: str):

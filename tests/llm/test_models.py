@@ -112,12 +112,44 @@ def test_language_odd_rows(table):
     assert alone[0].lang_pred == "und"
 
 
+def plain_bundle(text):
+    """The sum of the vectors of all trigrams around a letter, one after the other."""
+    signs = [language.letter_vector(ord(c)) if c.isalpha() else np.ones(language.DIMENSIONS, int) for c in f" {text.lower()} "]
+    letters = [k for k, c in enumerate(f" {text.lower()} ") if c.isalpha()]
+    parts = [np.roll(signs[k - 1], 2) * np.roll(signs[k], 1) * signs[k + 1] for k in letters]
+    return np.sum(parts, axis=0, dtype=float) if parts else np.zeros(language.DIMENSIONS)
+
+
+@pytest.mark.parametrize("counts", [1, 5_000, 1 << 22])
+def test_language_equals_a_plain_cosine(docs, monkeypatch, counts):
+    """Labels and scores, however many counts are held at a time."""
+    monkeypatch.setattr(language, "CHUNK_COUNTS", counts)
+    rows = [(r.text[:300], r.lang) for r in docs.orderBy("doc_id").limit(60).collect()]
+    sums = {}
+    for text, lang in rows[:40]:
+        sums[lang] = sums.get(lang, 0) + plain_bundle(text)
+    names = sorted(sums)
+    units = np.array([sums[n] / np.linalg.norm(sums[n]) for n in names])
+    table = docs.sparkSession.createDataFrame(rows[:40], "text string, lang string").coalesce(1)
+    if counts == 1 << 22:
+        learned, vectors = language.prototypes(table)
+        assert learned == names and np.allclose(vectors, units, atol=1e-6)
+    texts = [t for t, _ in rows[40:]] + ["", "1 2", "語語文 Ünïcode", "x"]
+    langs, scores = language.identify(texts, names, units)
+    for text, lang, score in zip(texts, langs, scores, strict=True):
+        bundle = plain_bundle(text)
+        length = np.linalg.norm(bundle)
+        cosine = units @ bundle / length if length else np.zeros(len(names))
+        assert lang == (names[int(cosine.argmax())] if length else "und")
+        assert score == pytest.approx(max(0.0, cosine.max()), abs=1e-4)
+
+
 def test_trigrams_of_large_alphabets():
     """The way for small alphabets and the one for large ones count alike."""
     small = ["the house", "", "x", "a b c"]
     large = "".join(map(chr, range(0x4E00, 0x4F00)))
-    counts, grams = language.trigrams(small)
-    more, others = language.trigrams([*small, large])
+    ((_, counts, grams),) = language.trigrams(small)
+    ((_, more, others),) = language.trigrams([*small, large])
     assert np.allclose(grams.bundled(counts), others.bundled(more)[:4])
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import brute
 import corpus_pipeline
+import pytest
 from test_tokens import check_packing
 from tokenizers import Tokenizer
 
@@ -47,6 +48,39 @@ def test_stages_keep_columns_and_clean_documents(spark, table, odd_rows, folder)
     assert corpus_pipeline.STAGES[-1][1](spark, current, folder).count() > 0
 
 
+#: Names that stages have, or had, for columns of their own, and names that need quoting.
+EXTRA = """given found hash sha kept removed n_removed n_bytes _text _found _row _print _exact_dedup _first a`b a.b a,b
+    lang_pred n at m d g l root""".split()
+
+
+def test_stages_leave_every_extra_column_as_it_is(spark, folder, tmp_path):
+    prose = "the house and the tree of the lake in the wood by the sea with the sky "
+    texts = [prose + f"number {k} " + prose[k:] for k in range(20)] + [prose * 3, prose * 3, None, "", "1 2 3"]
+    rows = [(k, t, "en", "src", len(t or ""), *(f"{c} {k}" for c in EXTRA)) for k, t in enumerate(texts)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    columns = ", ".join(f"`{c.replace('`', '``')}` string" for c in EXTRA)
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(rows, f"{schema}, {columns}").write.parquet(path)
+    docs = spark.read.parquet(path)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        left = stage(spark, docs, folder)
+        assert left.columns == docs.columns and [f.dataType for f in left.schema] == [f.dataType for f in docs.schema]
+        kept = left.collect()
+        assert kept and all(list(r)[5:] == [f"{c} {r.doc_id}" for c in EXTRA] for r in kept)
+
+
+def test_a_cluster_without_a_shared_folder_is_refused(spark, monkeypatch):
+    class Conf:
+        def get(self, name, default=None):
+            return default
+
+    class Session:
+        conf, sparkContext = Conf(), type("Context", (), {"master": "spark://somewhere:7077"})
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        common.shared_dir(Session())
+
+
 def test_stages_take_empty_tables(spark, table, folder):
     empty = table([])
     assert all(stage(spark, empty, folder).count() == 0 for _, stage in corpus_pipeline.STAGES)
@@ -68,5 +102,5 @@ def test_registered():
 
     names = set(registry.queries())
     assert names >= {*queries.QUERIES, "pipeline"}
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
     assert set(registry.oracle_sql()) <= names
