@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,9 +49,12 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages in order; each one's result is written and read again."""
+    """Apply the stages in order; each one's result is written and read again.
+
+    What is written stays until ``common.clear_scratch``, as the result reads it.
+    """
     docs = common.documents(spark, sf_dir)
-    folder = f"{common.shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    folder = common.scratch_folder(spark, "pipeline")
     for k, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{k}_{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
