@@ -28,7 +28,9 @@ from saldo.sources.tables import LazyTables, write_csv, write_version
 try:  # the operators for training data live in a subpackage that may be left out
     import corpus_pipeline
     from saldo.llm import queries as llm_queries
-except ImportError:
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "saldo.llm"):
+        raise
     corpus_pipeline = llm_queries = None
 
 Query = Callable[[SparkSession, str], DataFrame]
