@@ -144,6 +144,15 @@ def _mart_export(f: Finance) -> DataFrame:
         return checkpointed(_contents(pipeline.export_mart(layers, folder)))
 
 
+def _mart_checksums(f: Finance) -> DataFrame:
+    """The content of every exported column, as it was written and as it is read back."""
+    layers = {"mart": f.star, "kpis": {"vw_saas_monthly_kpis": kpis.monthly_kpis(f.kpi_star)}}
+    for name in star.BUILDERS:
+        f.star[name]
+    with scratch_folder(f.spark) as folder:
+        return checkpointed(pipeline.checked_export(layers, folder))
+
+
 def _catalog_build(f: Finance) -> DataFrame:
     """The star schema as catalog tables with the KPI views over them, and what they hold read back by name."""
     database = f"saldo_{uuid.uuid4().hex}"
@@ -189,6 +198,7 @@ PLANS: dict[str, Plan] = {
     "csv_scan": _csv_scan,
     "csv_malformed": _csv_malformed,
     "mart_export": _mart_export,
+    "mart_checksums": _mart_checksums,
     "catalog_build": _catalog_build,
     "clean_text": _clean_text,
     "title_case": lambda f: f.source["part"].selectExpr(
