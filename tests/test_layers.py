@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as registry
 from compare import spark_rows
 from saldo import pipeline
+from saldo.operators import quantiles
 from saldo.operators.checks import checksum_rows
 from saldo.plans import kpis, months, quality, star
 from saldo.sources.tables import dealt_out, publish, save_tables, write_table, write_version
@@ -200,3 +201,19 @@ def test_small_scans_are_dealt_out(spark, tmp_path):
     assert dealt_out(spark.read.parquet(path), "id").rdd.getNumPartitions() == 8
     spark.range(1000).repartition(20).write.mode("overwrite").parquet(path)
     assert "Exchange" not in plan_of(dealt_out(spark.read.parquet(path), "id"))
+
+
+@pytest.mark.parametrize("held, accuracy", [(1 << 20, 10_000), (50, 100), (5, 20)])
+def test_quantiles_are_exact(spark, held, accuracy):
+    """Brackets narrowed several times give what ``percentile`` gives, which holds all distinct values."""
+    rows = spark.range(4_000).selectExpr(
+        "stack(5, 'spread', CAST(pmod(xxhash64(id), 100003) AS DOUBLE), 'ties', CAST(id % 3 AS DOUBLE), "
+        "'one', CASE WHEN id = 7 THEN 2.5D END, 'none', CAST(NULL AS DOUBLE), "
+        "'heavy', CASE WHEN id % 3 = 0 THEN CAST(id AS DOUBLE) ELSE 1000D END) AS (metric, value)"
+    )
+    shares = [0.0, 0.25, 0.5, 0.731, 1.0]
+    found = {(r.metric, r.share): r.quantile for r in quantiles.exact_quantiles(rows, shares, held, accuracy).collect()}
+    exact = rows.groupBy("metric").agg(*[F.expr(f"percentile(value, {s}D) AS p{k}") for k, s in enumerate(shares)]).collect()
+    expected = {(r.metric, s): r[f"p{k}"] for r in exact for k, s in enumerate(shares) if r[f"p{k}"] is not None}
+    assert found == pytest.approx(expected)
+    assert quantiles.exact_quantiles(rows.limit(0), shares).count() == 0
