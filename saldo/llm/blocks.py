@@ -87,9 +87,9 @@ def answers(table: pa.Table, kind: str, bucket: int, sizes: list[int], codes: np
     ]
 
 
-def dealt(questions: DataFrame, *keys: str) -> DataFrame:
-    """The messages of each bucket together, in the order of their blocks."""
-    n = partitions(questions.sparkSession)
+def dealt(questions: DataFrame, bits: int, *keys: str) -> DataFrame:
+    """The messages of each bucket together, in the order of their blocks; as many tasks as buckets."""
+    n = max(partitions(questions.sparkSession), 1 << bits)
     return questions.repartition(n, *keys).sortWithinPartitions(*keys, "block")
 
 

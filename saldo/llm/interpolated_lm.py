@@ -284,7 +284,7 @@ def scored(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     blocks = written_by_key(rows.mapInArrow(lambda it: _blocks(it, block_tokens), _BLOCK_DDL), "tokens", "home", buckets)
     bits = B.bucket_bits(blocks.count())
     asked = blocks.mapInArrow(lambda it: _ask(it, bits), B.MESSAGE_DDL)
-    replies = written(B.dealt(asked, "kind", "bucket").mapInArrow(_count, B.MESSAGE_DDL), "counts")
+    replies = written(B.dealt(asked, bits, "kind", "bucket").mapInArrow(_count, B.MESSAGE_DDL), "counts")
     # one row of four numbers per bucket
     sums = [np.frombuffer(r.data, np.int64) for r in replies.where("home = -1").select("data").toLocalIterator()]
     totals = Totals(*np.sum(sums, axis=0).tolist()) if sums else Totals()

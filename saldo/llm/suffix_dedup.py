@@ -462,9 +462,9 @@ def found_repeats(
     bits = B.bucket_bits(blocks.count())
 
     asked = blocks.mapInArrow(lambda it: _ask(it, bits, limits), B.MESSAGE_DDL)
-    first = written(B.dealt(asked, "bucket").mapInArrow(lambda it: _answer(it, limits), B.MESSAGE_DDL), "answers")
+    first = written(B.dealt(asked, bits, "bucket").mapInArrow(lambda it: _answer(it, limits), B.MESSAGE_DDL), "answers")
     again = B.with_answers(blocks, first, buckets).mapInArrow(lambda it: _ask_again(it, bits, limits), B.MESSAGE_DDL)
-    second = written(B.dealt(again, "kind", "bucket").mapInArrow(_refine, B.MESSAGE_DDL), "refined")
+    second = written(B.dealt(again, bits, "kind", "bucket").mapInArrow(_refine, B.MESSAGE_DDL), "refined")
     ddl = "row long, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     return B.with_answers(blocks, first.unionAll(second), buckets).mapInArrow(lambda it: _result(it, with_text, limits), ddl)
 
