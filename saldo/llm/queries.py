@@ -186,4 +186,59 @@ SQL: dict[str, str] = {
             CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0) END AS score
         FROM docs LEFT JOIN based USING (r) LEFT JOIN own USING (r)
     """,
+    "op13_manifest": r"""
+        WITH RECURSIVE docs AS (
+            SELECT doc_id, lang, source, text, n_chars, coalesce(CAST(doc_id AS VARCHAR), '') AS key FROM documents
+        ), hashed AS (
+            SELECT *, list_reduce(list_prepend(4294967295, list_transform(range(1, length(key) + 1), lambda i: CAST(ord(key[i]) AS BIGINT))),
+                lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+                    lambda x, none: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS crc
+            FROM docs
+        ), fields AS (
+            SELECT doc_id, lang, xor(crc, 4294967295) % 7 = 0 AS changed, n_chars,
+                coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                    || coalesce(strlen(lang) || ':' || lang, '-') AS before,
+                coalesce(strlen(text) || ':' || text, '-') AS after
+            FROM hashed
+        ), leaves AS (
+            SELECT doc_id, lang, sha256(before || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || after) AS leaf,
+                sha256(before || coalesce(strlen((n_chars + changed::INT)::VARCHAR) || ':' || (n_chars + changed::INT), '-') || after) AS tried
+            FROM fields
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n
+            FROM leaves
+        ), levels(lang, level, pos, n, h) AS (
+            SELECT lang, 0, pos, n, leaf FROM ranked
+            UNION ALL
+            SELECT lang, level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos))
+            FROM levels WHERE n > 1 GROUP BY lang, level, n, pos // 2
+        ), subroots AS (
+            SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM levels WHERE n = 1
+        ), tops(level, pos, n, h) AS (
+            SELECT 0, pos, n, subroot FROM subroots
+            UNION ALL
+            SELECT level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM tops WHERE n > 1 GROUP BY level, n, pos // 2
+        ), steps AS (
+            SELECT a.lang, a.pos, 0 AS tree, b.level, xor(a.pos >> b.level, 1) AS sibling, a.pos >> b.level AS own
+            FROM ranked a JOIN (SELECT DISTINCT lang, level FROM levels WHERE n > 1) b ON a.lang IS NOT DISTINCT FROM b.lang
+        ), siblings AS (
+            SELECT s.lang, s.pos, s.tree, s.level, CASE WHEN sibling < own THEN coalesce(h, '') || '|' ELSE '|' || coalesce(h, '') END AS step
+            FROM steps s LEFT JOIN levels l ON l.lang IS NOT DISTINCT FROM s.lang AND l.level = s.level AND l.pos = s.sibling
+            UNION ALL
+            SELECT r.lang, r.pos, 1, t.level,
+                CASE WHEN xor(s.pos >> t.level, 1) < s.pos >> t.level THEN coalesce(h, '') || '|' ELSE '|' || coalesce(h, '') END
+            FROM ranked r JOIN subroots s ON r.lang IS NOT DISTINCT FROM s.lang CROSS JOIN (SELECT DISTINCT level FROM tops WHERE n > 1) t
+            LEFT JOIN tops o ON o.level = t.level AND o.pos = xor(s.pos >> t.level, 1)
+        ), paths AS (
+            SELECT lang, pos, list(step ORDER BY tree, level) AS path FROM siblings GROUP BY lang, pos
+        ), found AS (
+            SELECT r.doc_id, r.leaf, s.subroot, (SELECT h FROM tops WHERE n = 1) AS root,
+                sha256(replace(array_to_string(coalesce(path, []), ''), '|', '')) AS proof_sha256,
+                list_reduce(list_prepend(r.tried, coalesce(path, [])),
+                    lambda x, step: sha256(split_part(step, '|', 1) || x || split_part(step, '|', 2))) AS folded_root
+            FROM ranked r JOIN subroots s ON r.lang IS NOT DISTINCT FROM s.lang
+            LEFT JOIN paths p ON p.lang IS NOT DISTINCT FROM r.lang AND p.pos = r.pos
+        )
+        SELECT *, folded_root = root AS verified FROM found
+    """,
 }

@@ -264,6 +264,10 @@ def test_manifest_of_documents(spark, folder):
     assert found == Counter(plain_manifest(documents_of(spark, folder)))
 
 
+def test_manifest_equals_sql(spark, folder):
+    assert_same(queries.op13_manifest(spark, folder), connect(folder), queries.SQL["op13_manifest"])
+
+
 def test_ranks_of_a_hot_tree(spark):
     """Equal keys, and a tree with nearly all rows, are dealt over tasks and numbered without gaps."""
     rows = spark.range(5_000).selectExpr("IF(id % 100 = 0, 'b', 'a') AS tree", "1L AS order", "'d' AS digest")
