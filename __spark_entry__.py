@@ -23,7 +23,7 @@ from saldo.plans import billing, cleaning, kpis, quality, star
 from saldo.plans.months import month_states
 from saldo.session import checkpointed, scratch_folder
 from saldo.sources.csv_tables import RAW_COLUMNS, malformed_records, read_raw_csv
-from saldo.sources.tables import LazyTables, write_csv, write_version
+from saldo.sources.tables import LazyTables, write_csv, write_table
 
 try:  # the operators for training data live in a subpackage that may be left out
     import corpus_pipeline
@@ -170,17 +170,12 @@ def _catalog_build(f: Finance) -> DataFrame:
 
 def _watched_build(f: Finance) -> DataFrame:
     """Counters of all checks: the clean tables written once, counted in the same pass, and the base table over them."""
-    database = f"saldo_{uuid.uuid4().hex}"
-
-    def write(df: DataFrame, name: str) -> DataFrame:
-        return f.spark.table(write_version(df, database, name, "1", pipeline.CLEAN_KEYS.get(name, ())))
-
-    try:
-        clean, counters = pipeline.checked_layer(f.raw, write, oracles.AS_OF)
-        base = kpis.kpi_base_of(checkpointed(month_states(star.kpi_star(clean))))
+    with scratch_folder(f.spark) as folder:
+        clean, counters = pipeline.checked_layer(
+            f.raw, lambda df, name: write_table(df, f"{folder}/{name}"), oracles.AS_OF, narrow=True
+        )
+        base = kpis.kpi_base_of(checkpointed(month_states(star.kpi_facts(clean))))
         return checkpointed(counters.unionByName(quality.base_checks(base)))
-    finally:
-        f.spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
 
 
 def _dq_duplicates(f: Finance) -> DataFrame:

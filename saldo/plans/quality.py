@@ -100,6 +100,36 @@ ALLOWED_VALUES: dict[str, dict[str, tuple[str, list[str]]]] = {
 }
 
 
+# The columns that checks, labels and month states read, for a build that keeps nothing else.
+CHECKED_COLUMNS = {
+    "customers": ["customer_id", "customer_name", "signup_date", "account_status", "region"],
+    "valid_subscriptions": [
+        "subscription_id",
+        "customer_id",
+        "start_date",
+        "end_date",
+        "mrr",
+        "arr",
+        "subscription_status",
+        "currency",
+    ],
+    "invoices": [
+        "invoice_id",
+        "customer_id",
+        "invoice_date",
+        "due_date",
+        "amount",
+        "tax",
+        "total_amount",
+        "invoice_status",
+        "is_void",
+    ],
+    "gl": ["gl_txn_id", "txn_date", "amount", "account_category"],
+    "sales_marketing": ["period", "spend", "leads", "won_customers", "cac"],
+    "cash": ["period", "entity", "beginning_cash", "ending_cash"],
+}
+
+
 def date_order(as_of: str | None = None) -> Checks:
     """Dates out of order; a signup is in the future of the given day or of today."""
     today = f"DATE'{as_of}'" if as_of else "current_date()"

@@ -182,6 +182,19 @@ BUILDERS = {
 }
 
 
+def kpi_facts(clean: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """What the month states read, from clean tables that may hold no more than that."""
+    subscription = ["customer_id", "start_date", "end_date", "arr", "subscription_status"]
+    return {
+        "fact_revenue": clean["invoices"].selectExpr(f"{month_start('invoice_date')} AS period", "amount", "is_void"),
+        "fact_subscription": clean["valid_subscriptions"].selectExpr(*subscription, f"{month_start('start_date')} AS period"),
+        "fact_gl": clean["gl"].selectExpr(f"{month_start('txn_date')} AS period", "account_category", "amount"),
+        "fact_sales_marketing": clean["sales_marketing"].select("period", "spend", "leads", "won_customers"),
+        "fact_cash": clean["cash"].select("period", "entity", "ending_cash"),
+        "dim_customer": clean["customers"].select("customer_id", "signup_date"),
+    }
+
+
 # The keys by which written tables of the schema are bucketed.
 KEYS = {
     "dim_customer": ("customer_id",),
