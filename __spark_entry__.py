@@ -44,10 +44,14 @@ class Finance:
         self.source = order_domain.source_tables(spark, folder)
         self.raw = LazyTables(lambda name: order_domain.BUILDERS[name](self.source))
         self.clean = LazyTables(self._clean)
-        self.star = LazyTables(lambda name: star.BUILDERS[name](self.clean))
+        self.dates = LazyTables(lambda name: cleaning.DATES[name](self.raw))
+        self.star = LazyTables(self._star)
         self.kpi_star = star.kpi_star(self.clean)
         self.checked = quality.checked_tables(self.clean)
 
+    def _star(self, name: str) -> DataFrame:
+        return star.BUILDERS[name](self.dates if name in ("dim_date", "dim_month") else self.clean)
+
     def _clean(self, name: str) -> DataFrame:
         if name == "kpi_base":
             return kpis.kpi_base_of(checkpointed(month_states(self.kpi_star)))

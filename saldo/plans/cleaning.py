@@ -114,16 +114,20 @@ def keyed_invoices(raw: DataFrame) -> DataFrame:
     ).filter("invoice_date IS NOT NULL")
 
 
+def _repaired_due(invoices: DataFrame) -> str:
+    due = parse_date(invoices, "due_date")
+    return f"CASE WHEN {due} >= invoice_date THEN {due} ELSE date_add(invoice_date, 30) END"
+
+
 def clean_invoices(raw: DataFrame) -> DataFrame:
     """One row per invoice: the latest date; due dates and totals repaired, void rows flagged."""
     t = X.trim_text_columns(keep_last(keyed_invoices(raw), "invoice_id", ["invoice_date"]), "invoice_id")
-    due = parse_date(t, "due_date")
     return t.selectExpr(
         "invoice_id",
         f"{X.std_id('customer_id')} AS customer_id",
         f"{X.std_id('subscription_id')} AS subscription_id",
         "invoice_date",
-        f"CASE WHEN {due} >= invoice_date THEN {due} ELSE date_add(invoice_date, 30) END AS due_date",
+        f"{_repaired_due(t)} AS due_date",
         f"coalesce({parse_number(t, 'amount')}, 0) AS amount",
         f"coalesce({parse_number(t, 'tax')}, 0) AS tax",
         f"{X.std_status('invoice_status')} AS invoice_status",
@@ -214,3 +218,39 @@ STEPS = {
     "campaigns": lambda raw: campaigns(raw["sales_marketing"]),
     "balances": lambda raw: balances(raw["cash"]),
 }
+
+
+def invoice_dates(raw: DataFrame) -> DataFrame:
+    """The dates of ``clean_invoices``, a row per invoice; a repaired due date depends on which row is kept."""
+    kept = keep_last(keyed_invoices(raw), "invoice_id", ["invoice_date"], ["due_date"])
+    t = X.trim_text_columns(kept, "invoice_id")
+    return t.selectExpr("invoice_date", f"{_repaired_due(t)} AS due_date")
+
+
+def subscription_dates(raw: DataFrame) -> DataFrame:
+    """The dates of ``valid_subscriptions``, a row per subscription.
+
+    Both dates are one number, the start in its upper half and an open end as the largest lower half, so the row that
+    is kept holds the largest.
+    """
+    both = "shiftleft(CAST(unix_date(start_date) AS BIGINT), 32) + coalesce(unix_date(end_date) + 2147483648, 4294967295)"
+    latest = aggregate(keyed_subscriptions(raw), ["subscription_id"], {"latest": f"max({both})"})
+    end = "CAST((latest & 4294967295) - 2147483648 AS INT)"
+    return latest.selectExpr(
+        "date_from_unix_date(CAST(shiftright(latest, 32) AS INT)) AS start_date",
+        f"CASE WHEN (latest & 4294967295) <> 4294967295 THEN date_from_unix_date({end}) END AS end_date",
+    )
+
+
+# The dates of the rows that clean tables keep, without sorting and shuffling the rows themselves. Where the
+# order of the dedup starts with the date, its extreme is the kept row's.
+DATES = {
+    "customers": lambda raw: aggregate(
+        keyed_customers(raw["customers"]), ["customer_id"], {"signup_date": "min(signup_date)"}
+    ),
+    "valid_subscriptions": lambda raw: subscription_dates(raw["subscriptions"]),
+    "invoices": lambda raw: invoice_dates(raw["invoices"]),
+    "gl": lambda raw: aggregate(keyed_gl(raw["gl"]), ["gl_txn_id"], {"txn_date": "max(txn_date)"}),
+    "campaigns": STEPS["campaigns"],
+    "balances": STEPS["balances"],
+}

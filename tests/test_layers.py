@@ -12,7 +12,7 @@ from compare import spark_rows
 from saldo import pipeline
 from saldo.operators import quantiles
 from saldo.operators.checks import checksum_rows
-from saldo.plans import kpis, months, quality, star
+from saldo.plans import cleaning, kpis, months, quality, star
 from saldo.sources.tables import dealt_out, publish, save_tables, write_table, write_version
 
 FOLDER = "/root/testdata/sf0.001"
@@ -172,6 +172,40 @@ def test_bitmaps_hold_every_day(spark):
     assert star.days_of_bitmaps(merged).count() == len(days)
 
 
+def dates_of(df, columns):
+    return spark_rows(df.select(*columns))
+
+
+@pytest.mark.parametrize("table", ["invoices", "gl", "customers", "valid_subscriptions"])
+def test_dates_without_the_rows(spark, written, table):
+    columns = star.DATE_COLUMNS[table]
+    found = registry.Finance(spark, FOLDER).dates[table]
+    assert dates_of(found, columns) == dates_of(written[0][table], columns)
+    assert "Window" not in plan_of(found) or table == "invoices"
+
+
+def test_dates_of_tied_open_and_early_rows(spark):
+    day = dt.date
+    rows = [
+        ("a", day(2020, 1, 1), day(2020, 5, 1)),
+        ("a", day(2020, 1, 1), None),
+        ("b", day(1931, 2, 3), day(1969, 12, 31)),
+        ("b", day(1931, 2, 3), day(1931, 2, 3)),
+        ("b", day(1930, 2, 3), None),
+        (None, day(2020, 1, 1), day(9999, 12, 31)),
+        ("late", day(2020, 1, 1), day(2019, 1, 1)),
+        ("a ", day(2020, 1, 1), None),
+    ]
+    raw = spark.createDataFrame(rows, "subscription_id string, start_date date, end_date date").selectExpr(
+        "subscription_id", "'c' AS customer_id", "start_date", "end_date", "'Pro' AS plan_name", "1D AS mrr", "12D AS arr",
+        "'Active' AS subscription_status", "0D AS discount_pct", "'USD' AS currency",
+    )
+    columns = ["start_date", "end_date"]
+    for given in (raw, raw.limit(0)):
+        kept = cleaning.valid_subscriptions(given)
+        assert dates_of(cleaning.subscription_dates(given), columns) == dates_of(kept, columns)
+
+
 def test_row_counts_read_footers_alone(written):
     _, mart, _ = written
     text = plan_of(star.mart_row_counts(mart))

@@ -68,6 +68,17 @@ def test_dedup_limits_groups_before_the_shuffle(spark):
         assert kept.filter("k = 'hot'").first()["v"] == value and kept.count() == 667
 
 
+@pytest.mark.parametrize("seq", [[], ["id * 7 % 500 AS _seq"]])
+def test_dedup_of_needed_columns(spark, seq):
+    some = [f"CAST(pmod(hash(id, {k}), 3) AS INT) AS {c}" for k, c in enumerate("vabc")]
+    df = spark.range(500).selectExpr("CAST(id % 40 AS STRING) AS k", *some, *seq)
+    whole = keep_last(df, "k", ["v"])
+    for needed in (["v"], ["a"], ["b"], ["c", "a"]):
+        narrow = keep_last(df, "k", ["v"], needed)
+        assert Counter(narrow.select("k", *needed).collect()) == Counter(whole.select("k", *needed).collect())
+    assert ("c" in keep_last(df, "k", ["v"], ["b"]).columns) is False
+
+
 @pytest.mark.parametrize(
     "values, total",
     [
