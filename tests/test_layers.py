@@ -237,6 +237,17 @@ def test_small_scans_are_dealt_out(spark, tmp_path):
     assert "Exchange" not in plan_of(dealt_out(spark.read.parquet(path), "id"))
 
 
+def test_dealt_tasks_grow_with_the_rows(spark, tmp_path):
+    """Few files or many, a task gets no more rows than it may hold, however large the table is."""
+    path = str(tmp_path / "t")
+    for files in (1, 20):
+        spark.range(10_000).repartition(files).write.mode("overwrite").parquet(path)
+        dealt = dealt_out(spark.read.parquet(path), "id", rows=100)
+        assert dealt.rdd.getNumPartitions() == 100
+        assert dealt.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < 200
+        assert dealt.distinct().count() == 10_000
+
+
 @pytest.mark.parametrize("held, accuracy", [(1 << 20, 10_000), (50, 100), (5, 20)])
 def test_quantiles_are_exact(spark, held, accuracy):
     """Brackets narrowed several times give what ``percentile`` gives, which holds all distinct values."""
