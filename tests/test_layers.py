@@ -13,6 +13,7 @@ from saldo import pipeline
 from saldo.operators import quantiles
 from saldo.operators.checks import checksum_rows
 from saldo.plans import cleaning, kpis, months, quality, star
+from saldo.sources.csv_tables import RAW_COLUMNS
 from saldo.sources.tables import dealt_out, publish, save_tables, write_table, write_version
 
 FOLDER = "/root/testdata/sf0.001"
@@ -248,6 +249,39 @@ def test_dealt_tasks_grow_with_the_rows(spark, tmp_path):
         assert dealt.distinct().count() == 10_000
 
 
+def test_ledger_amounts_are_those_of_the_clean_ledger(spark):
+    """Rows that differ in late columns only, or in a deciding one, give the same kept values with fewer columns sorted."""
+    columns = RAW_COLUMNS["gl"]
+    rows = [
+        ("a", "2024-01-01", "1", "Cash", "x", "c", "v", "5", "DR", "e", "m1"),
+        ("a", "2024-01-01", "1", "Cash", "x", "c", "v", "5", "CR", "f", "m2"),
+        ("b", "2024-01-01", None, "R&D", None, "c", "v", "7", None, "e", None),
+        ("b", "2024-01-01", None, "R&D", "y", "c", "v", "6", None, "e", "m"),
+        ("b", "2023-01-01", "9", "S&M", "z", "c", "v", "8", None, "e", "m"),
+        (None, "2024-01-01", "1", "Cash", "x", "c", "v", "5", "DR", "e", "m1"),
+    ]
+    raw = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns))
+    narrow = cleaning.ledger_amounts(raw)
+    assert spark_rows(narrow) == spark_rows(cleaning.clean_gl(raw).select(*narrow.columns))
+    assert "memo" not in plan_of(narrow).split("Scan ")[0]
+
+
+def test_mart_queries_write_each_clean_table_once(spark, monkeypatch):
+    """Exports, catalog and NULL checks read written clean tables: each is deduplicated once a query."""
+    calls = []
+    for name in ("clean_invoices", "clean_gl", "ledger_amounts"):
+        plan = getattr(cleaning, name)
+        monkeypatch.setattr(cleaning, name, lambda raw, name=name, plan=plan: calls.append(name) or plan(raw))
+    stored = []
+    monkeypatch.setattr(registry, "write_table", lambda df, path, **o: stored.append(path) or write_table(df, path, **o))
+    for query in ("mart_export", "mart_checksums", "catalog_build", "dq_nulls"):
+        calls.clear(), stored.clear()
+        assert registry.queries()[query](spark, FOLDER).count() > 0
+        assert sorted(calls) == ["clean_gl", "clean_invoices"] if query != "dq_nulls" else ["clean_invoices", "ledger_amounts"]
+        names = [path.rsplit("/", 1)[1] for path in stored]
+        assert sorted(names) == ["cash", "customers", "gl", "invoices", "sales_marketing", "valid_subscriptions"]
+
+
 @pytest.mark.parametrize("held, accuracy", [(1 << 20, 10_000), (50, 100), (5, 20)])
 def test_quantiles_are_exact(spark, held, accuracy):
     """Brackets narrowed several times give what ``percentile`` gives, which holds all distinct values."""
