@@ -173,6 +173,13 @@ def test_bitmaps_hold_every_day(spark):
     assert star.days_of_bitmaps(merged).count() == len(days)
 
 
+def test_no_task_sorts_its_rows_for_the_bitmaps(spark):
+    """What reads the rows, below the first shuffle, hands on distinct days from a hash table."""
+    text = plan_of(star.date_bitmaps(spark.range(10).selectExpr("date_from_unix_date(CAST(id AS INT)) AS date_key")))
+    over_rows = text[text.rindex("Exchange") :]
+    assert "HashAggregate" in over_rows and "Sort" not in over_rows
+
+
 def dates_of(df, columns):
     return spark_rows(df.select(*columns))
 
