@@ -273,6 +273,32 @@ def test_ledger_amounts_are_those_of_the_clean_ledger(spark):
     assert "memo" not in plan_of(narrow).split("Scan ")[0]
 
 
+def test_subscription_intervals_are_those_of_valid_subscriptions(spark):
+    """Rows that differ in late columns only, or in a deciding one, give the same kept values with fewer columns sorted."""
+    columns = RAW_COLUMNS["subscriptions"]
+    rows = [
+        ("a", "c1", "2024-01-01", "2024-05-01", "Pro", "5", "60", "active", "0", "USD"),
+        ("a", "c1", "2024-01-01", None, "Pro", "5", "60", "active", "0", "USD"),
+        ("a", "c1", "2024-01-01", None, "Pro", "5", "60", "active", "5", "cad"),
+        ("b", " c2 ", "2024-02-01", None, None, "7", None, "paused ", None, None),
+        ("b", " c2 ", "2024-02-01", None, "Basic", "6", None, "CANCELLED", None, "usd"),
+        ("c", None, "2024-02-01", "2024-03-01", "Basic", "6", None, None, None, "usd"),
+        ("c", "c3", "2024-02-01", "2024-03-01", "Basic", "6", None, "active", None, "usd"),
+        ("d", "c4", "2024-02-01", "2024-01-01", "Basic", "6", None, "active", None, "usd"),
+        ("e", "c4", "2024-02-01", None, "Basic", "-6", None, "active", None, "usd"),
+        (None, "c5", "2024-02-01", None, "Basic", "6", None, "active", None, "usd"),
+        (None, "c5", "2024-02-01", None, "Basic", "9", None, "cancelled", None, "usd"),
+    ]
+    raw = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns))
+    narrow = cleaning.subscription_intervals(raw)
+    assert spark_rows(narrow) == spark_rows(cleaning.valid_subscriptions(raw).select(*narrow.columns))
+
+
+def test_active_customers_sort_deciding_columns_only(spark):
+    text = plan_of(registry.queries()["active_customers"](spark, FOLDER))
+    assert "subscription_status" in text and "discount_pct" not in text and "currency" not in text
+
+
 def test_mart_queries_write_each_clean_table_once(spark, monkeypatch):
     """Exports, catalog and NULL checks read written clean tables: each is deduplicated once a query."""
     calls = []
