@@ -180,6 +180,13 @@ def test_no_task_sorts_its_rows_for_the_bitmaps(spark):
     assert "HashAggregate" in over_rows and "Sort" not in over_rows
 
 
+def test_tasks_over_rows_sort_no_dates_for_the_bitmaps(spark):
+    """In the whole plan of a query over the date dimension, days are distinct and shuffled before the bitmaps."""
+    lines = plan_of(registry.queries()["dim_month"](spark, FOLDER)).splitlines()
+    built = [k for k, line in enumerate(lines) if "partial_bitmap_construct_agg" in line]
+    assert built and all("Exchange" in "".join(lines[k + 1 : k + 5]) for k in built)
+
+
 def dates_of(df, columns):
     return spark_rows(df.select(*columns))
 
