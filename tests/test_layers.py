@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
+import order_domain
 from compare import spark_rows
 from saldo import pipeline
 from saldo.operators import quantiles
@@ -263,6 +264,25 @@ def test_dealt_tasks_grow_with_the_rows(spark, tmp_path):
         assert dealt.distinct().count() == 10_000
 
 
+def test_orders_in_one_row_group_are_not_one_tasks(spark, tmp_path, monkeypatch):
+    """Each order is a row that the scan would sort or aggregate, so many are dealt out; few stay as they are."""
+    path = str(tmp_path / "orders")
+    columns = ["id AS o_orderkey", "id % 7 AS o_custkey", "'F' AS o_orderstatus", "id + 0.5D AS o_totalprice",
+               "CAST(date_add(DATE '2024-01-01', CAST(id % 400 AS INT)) AS TIMESTAMP_NTZ) AS o_orderdate",
+               "'1-URGENT' AS o_orderpriority"]
+    rows = spark.range(10_000).selectExpr(*columns)
+    rows = rows.union(rows.limit(3000).selectExpr("CAST(NULL AS BIGINT)", *rows.columns[1:]))
+    rows.union(rows.filter("o_orderkey < 50")).coalesce(1).write.parquet(path)
+    orders = {"orders": spark.read.schema(order_domain.SCHEMAS["orders"]).parquet(path)}
+    whole = order_domain.raw_subscriptions(orders)
+    assert "Exchange" not in plan_of(whole)
+    monkeypatch.setattr(order_domain, "ORDERS_A_TASK", 500, raising=False)
+    dealt = order_domain.raw_subscriptions(orders)
+    assert dealt.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < 1000
+    assert spark_rows(dealt) == spark_rows(whole)
+    assert spark_rows(cleaning.subscription_dates(dealt)) == spark_rows(cleaning.subscription_dates(whole))
+
+
 def test_ledger_amounts_are_those_of_the_clean_ledger(spark):
     """Rows that differ in late columns only, or in a deciding one, give the same kept values with fewer columns sorted."""
     columns = RAW_COLUMNS["gl"]
