@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,6 +16,7 @@ from saldo import pipeline
 from saldo.operators import quantiles
 from saldo.operators.checks import checksum_rows
 from saldo.plans import cleaning, kpis, months, quality, star
+from saldo.session import shuffles_dropped
 from saldo.sources.csv_tables import RAW_COLUMNS
 from saldo.sources.tables import dealt_out, publish, save_tables, write_table, write_version
 
@@ -342,6 +345,73 @@ def test_mart_queries_write_each_clean_table_once(spark, monkeypatch):
         assert sorted(names) == ["cash", "customers", "gl", "invoices", "sales_marketing", "valid_subscriptions"]
 
 
+def shuffle_files(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    names = manager.getAllFiles().mkString("\n").splitlines()
+    return {name.rsplit("/", 1)[-1] for name in names if "/shuffle_" in name}
+
+
+def shuffles_left(spark, before):
+    """Shuffle files that have come since; they are removed in the background, so a few seconds are allowed."""
+    for _ in range(50):
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.1)
+    return left
+
+
+@pytest.mark.parametrize("query", ["mart_checksums"])
+def test_mart_queries_hold_no_shuffles_of_what_is_written(spark, monkeypatch, query):
+    """Neither while later tables are written, nor at the end; the session is left as it was."""
+    before, left = shuffle_files(spark), {}
+
+    def written(df, path, **options):
+        table, name = write_table(df, path, **options), path.rsplit("/", 1)[1]
+        if name in ("gl", "invoices"):
+            left[name] = shuffles_left(spark, before)
+        return table
+
+    monkeypatch.setattr(registry, "write_table", written)
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    assert len(registry.queries()[query](spark, FOLDER).collect()) > 0
+    assert left == {"gl": set(), "invoices": set()}
+    assert not shuffles_left(spark, before)
+    assert spark.conf.get(setting) == "false"
+
+
+def test_shuffles_are_dropped_within_the_block_only(spark):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = shuffle_files(spark)
+    with pytest.raises(ValueError), shuffles_dropped(spark):
+        twice = spark.range(100).repartition(3, "id").groupBy("id").count()
+        # a statement that runs again makes its shuffles again
+        assert len(twice.collect()) == 100 and not shuffles_left(spark, before) and len(twice.collect()) == 100
+        raise ValueError
+    assert spark.conf.get(setting) == "false"
+    kept = spark.range(100).repartition(3, "id")
+    assert len(kept.collect()) == 100 and shuffle_files(spark) - before
+
+
+def test_large_clean_tables_are_written_alone(spark):
+    """Their shuffles are the most of the disk; the other tables are written side by side."""
+    lock, writing, beside = threading.Lock(), set(), {}
+
+    def write(df, name):
+        with lock:
+            writing.add(name)
+            for one in writing:
+                beside[one] = beside.get(one, set()) | writing - {one}
+        time.sleep(0.3)
+        with lock:
+            beside[name] |= writing - {name}
+            writing.remove(name)
+        return df
+
+    pipeline.written_layer(registry.Finance(spark, FOLDER).raw, write)
+    assert set(beside) == {"customers", "valid_subscriptions", "invoices", "gl", "sales_marketing", "cash"}
+    assert beside["gl"] == beside["invoices"] == set() != beside["customers"]
+
+
 @pytest.mark.parametrize("held, accuracy", [(1 << 20, 10_000), (50, 100), (5, 20)])
 def test_quantiles_are_exact(spark, held, accuracy):
     """Brackets narrowed several times give what ``percentile`` gives, which holds all distinct values."""
