@@ -360,7 +360,7 @@ def shuffles_left(spark, before):
     return left
 
 
-@pytest.mark.parametrize("query", ["mart_checksums", "mart_export"])
+@pytest.mark.parametrize("query", ["mart_checksums", "mart_export", "catalog_build"])
 def test_mart_queries_hold_no_shuffles_of_what_is_written(spark, monkeypatch, query):
     """Neither while later tables are written, nor at the end; the session is left as it was."""
     before, left = shuffle_files(spark), {}
